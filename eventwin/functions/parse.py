@@ -22,9 +22,7 @@ def utc_time(name: str) -> Column:
 
 def number(text: str) -> str:
     """SQL for text -> DOUBLE. Java's `1d`/`1f` spellings are not numbers here, NaN is missing."""
-    t = f"trim({text})"
-    last = f"lower(right({t}, 1)) in ('d', 'f') and lower({t}) not in ('inf', '+inf', '-inf')"
-    return f"if({last}, null, nullif(try_cast({t} as double), double('NaN')))"
+    return f"nanvl(try_cast(if({text} rlike '(?i)^[^i]*[df] *$', null, {text}) as double), null)"
 
 
 def no_nan(df: DataFrame) -> DataFrame:

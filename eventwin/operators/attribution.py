@@ -9,18 +9,23 @@ rows are handled in bulk per leaf.
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Iterator, Sequence
 from math import factorial
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from eventwin.operators.scan import _q
 from eventwin.session import shared_dir
 
+# executors get the functions below by value and need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TABLE_BITS = 6  # longer paths are tabulated for the patterns that occur only
 
 

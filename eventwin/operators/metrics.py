@@ -117,7 +117,7 @@ def thin_curve(curve: DataFrame, by: Sequence[str], x: str, y: str, bins: int =
     """The points with lowest and highest `y` in each of `bins` equal steps of `x` (in 0..1), for drawing."""
     columns = f"struct({', '.join(_q(curve.columns))})"
     cells = curve.groupBy(*_q(by), F.expr(f"cast(least(floor(`{x}` * {bins}), {bins - 1}) as int) as _bin")).agg(
-        F.expr(f"array_distinct(array(min_by({columns}, `{y}`), max_by({columns}, `{y}`))) as _points"))
+        F.expr(f"array_distinct(array(min_by({columns}, struct(`{y}`, `{x}`)), max_by({columns}, struct(`{y}`, `{x}`)))) as _points"))
     return cells.selectExpr("inline(_points)")
 
 

@@ -30,8 +30,9 @@ def from_year_day(year: Column, day: Column, hour: Column, minute: Column) -> Co
 
 def from_date_and_hours(year: Column, month: Column, day: Column, hours: Column) -> Column:
     """Timestamp from a calendar date plus fractional hours; impossible dates give null."""
-    text = F.format_string("%04d-%02d-%02d", year.cast("int"), month.cast("int"), day.cast("int"))
-    midnight = F.unix_micros(F.try_to_timestamp(text, F.lit("yyyy-MM-dd")))
+    zero = F.lit(0)
+    midnight = F.unix_micros(F.try_make_timestamp(year.cast("int"), month.cast("int"), day.cast("int"), zero, zero,
+                                                  zero.cast("decimal(8,6)")))
     return F.timestamp_micros(midnight + F.round(hours * F.lit(float(HOUR))).cast("bigint"))
 
 

@@ -61,8 +61,14 @@ def parse_solar_wind_lines(lines: DataFrame, *, year_min: int = 1995, year_max:
     a valid year, day, hour and minute (headers among them) are dropped.
     """
     kept = [c for c in lines.columns if c != "value"]
-    parts = lines.withColumn("_p", F.split(F.trim("value"), r"\s+"))
-    cells = parts.selectExpr(*kept, *[f"{number(f'get(_p, {i})')} as `{c}`" for i, c in enumerate(SOLAR_WIND_COLUMNS)])
+    words = r"split(trim(value), '\\s+')"
+    # numbers spelled `1d` or `1f` are rare: look for them once per line
+    checked = (rf"if(value rlike '(?i)[0-9.][df](\\s|$)', transform({words}, x -> if(x rlike '(?i)^[^i]*[df]$', null, x)), "
+               f"{words})")
+    # the generator keeps the filters below from splitting each line once per condition
+    parts = lines.selectExpr(*kept, f"explode(array({checked})) as _p")
+    cells = parts.selectExpr(*kept, *[f"nanvl(try_cast(get(_p, {i}) as double), null) as `{c}`"
+                                      for i, c in enumerate(SOLAR_WIND_COLUMNS)])
     valid = keep_between(cells, {"year": (year_min, year_max), "day": (1, 366), "hour": (0, 23), "minute": (0, 59)})
     timed = valid.withColumn("time", from_year_day(*[F.col(c) for c in ("year", "day", "hour", "minute")]))
     return fills_to_null(timed, SOLAR_WIND_COLUMNS[4:], fills)

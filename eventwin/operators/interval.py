@@ -25,6 +25,8 @@ from eventwin.functions.times import HOUR, time_micros
 STATS = ("rows", "count", "mean", "min", "max", "std")
 TILE = 60_000_000  # microseconds; upper bound for the number of instants of one key in a tile
 
+NO_TIME = -9_000_000_000_000_000_000  # far below the first representable timestamp
+
 _ITEM, _TAIL, _HEAD = 0, 1, 2
 
 
@@ -173,7 +175,8 @@ def interval_stats(
     stat: `rows` (series rows in the interval, column None), `count` (non-missing values), `mean`,
     `min`, `max`, `std` (population). Intervals without values give null, `rows`/`count` give 0.
     A null event time, or a null key, matches nothing. DECIMAL columns are summed exactly;
-    other columns are summed as DOUBLE around their overall mean when `std` is asked for.
+    other columns are summed as DOUBLE around their overall mean when `std` is asked for, which keeps
+    about eight digits of a deviation relative to the distance from that mean.
     """
     keys = list(keys)
     for frame, needed, what in ((events, [event_time, *keys], "events"),
@@ -217,9 +220,9 @@ def interval_stats(
             if exact:
                 square = f"cast({square} as decimal(38, {min(2 * kind.scale, 18)}))"
             parts.append(_Part(f"_q{i}", f"sum({square})", "sum"))
-        if "min" in stats:
+        if "min" in stats or column in centres:
             parts.append(_Part(f"_lo{i}", f"min(_v{i})", "min"))
-        if "max" in stats:
+        if "max" in stats or column in centres:
             parts.append(_Part(f"_hi{i}", f"max(_v{i})", "max"))
 
     k = _quoted(keys)
@@ -242,13 +245,20 @@ def interval_stats(
         mean = f"(cast(_s{i} as double) / nullif(_n{i}, 0))"
         if stat == "mean":
             return (F.expr(mean) + centres[column] if column in centres else F.expr(mean)).alias(name)
-        spread = f"(cast(_q{i} as double) / nullif(_n{i}, 0) - {mean} * {mean})"
-        return F.expr(f"if(_n{i} > 0, sqrt(greatest({spread}, 0.0D)), null) as `{name}`")
-
-    # events without a time match nothing: spread them instead of sending all to one partition
+        spread = f"sqrt(greatest(cast(_q{i} as double) / nullif(_n{i}, 0) - {mean} * {mean}, 0D))"
+        if column in centres:  # equal values have no spread, whatever the sums lost
+            spread = f"if(_lo{i} = _hi{i}, 0D, {spread})"
+        else:  # n * sum of squares - square of sum, exact as long as it fits
+            scale = series.schema[column].dataType.scale
+            total = f"try_cast(_s{i} as decimal(18, {scale}))"
+            exact = f"try_cast(_n{i} as decimal(15, 0)) * try_cast(_q{i} as decimal(21, {min(2 * scale, 18)}))"
+            spread = f"coalesce(sqrt(cast({exact} - {total} * {total} as double)) / nullif(_n{i}, 0), {spread})"
+        return F.expr(f"if(_n{i} > 0, {spread}, null) as `{name}`")
+
+    # events without a time match nothing: give them scattered impossible times, not one shared partition
     hashed = [c for c in events.columns if not isinstance(events.schema[c].dataType, (T.MapType, T.VariantType))]
-    loose = f"if(_t is null, xxhash64({', '.join(_quoted(hashed))}), 0L) as _spread"
-    joined = stamped.selectExpr("*", loose).join(found.selectExpr("*", "0L as _spread"), [*keys, "_t", "_spread"], "left")
+    nowhere = f"{NO_TIME}L + pmod(xxhash64({', '.join(_quoted(hashed))}), 1000003L)"
+    joined = stamped.withColumn("_t", F.expr(f"coalesce(_t, {nowhere})")).join(found, [*keys, "_t"], "left")
     return joined.select(*_quoted(events.columns), *[result(n, *spec) for n, spec in outputs.items()])
 
 

@@ -64,21 +64,31 @@ def class_report(counts: DataFrame, by: Sequence[str] = GROUP) -> DataFrame:
     return two.selectExpr(*_q(by), f"inline(concat(c, array({averages})))")
 
 
+def _counts(df: DataFrame, by: Sequence[str], label: str, score: str, prediction: str | None = None) -> DataFrame:
+    """Positives and negatives per group, score (and prediction): all that the metrics need of the rows."""
+    known = df.where(f"`{score}` is not null and not isnan(`{score}`) and `{label}` is not null")
+    extra = [F.expr(f"`{prediction}` as prediction")] if prediction else []
+    return known.groupBy(*_q(by), F.expr(f"cast(`{score}` as double) as threshold"), *extra).agg(
+        F.expr(f"count_if(`{label}` = 1) as pos"), F.expr(f"count_if(`{label}` = 0) as neg"))
+
+
+def _steps(counts: DataFrame, by: Sequence[str], lo: float, hi: float) -> DataFrame:
+    steps = counts.groupBy(*_q(by), "threshold").agg(
+        F.expr("sum(pos) as pos"), F.expr("sum(neg) as neg"))
+    ranked = running_totals(steps, "threshold", ["pos", "neg"], by=by, lo=f"{float(lo)!r}D", hi=f"{float(hi)!r}D",
+                            descending=True)
+    totals = steps.groupBy(*_q(by)).agg(F.expr("sum(pos) as p"), F.expr("sum(neg) as n"))
+    return ranked.selectExpr("*", "pos_before + pos as tp", "neg_before + neg as fp").join(totals, list(by))
+
+
 def score_steps(df: DataFrame, by: Sequence[str] = GROUP, label: str = "label", score: str = "score",
                 lo: float = 0.0, hi: float = 1.0) -> DataFrame:
     """One row per group and distinct score, from the highest score down.
 
     `pos`, `neg` count rows with this score; `tp`, `fp` count rows with this score or a higher one;
-    `p`, `n` are the group's totals.
+    `p`, `n` are the group's totals. `lo`, `hi` is the usual range of scores.
     """
-    scored = df.where(f"`{score}` is not null and not isnan(`{score}`) and `{label}` is not null")
-    steps = scored.groupBy(*_q(by), F.expr(f"cast(`{score}` as double) as threshold")).agg(
-        F.expr(f"count_if(`{label}` = 1) as pos"), F.expr(f"count_if(`{label}` = 0) as neg"))
-    ranked = running_totals(steps, "threshold", ["pos", "neg"], by=by, lo=f"{float(lo)!r}D", hi=f"{float(hi)!r}D",
-                            descending=True)
-    totals = scored.groupBy(*_q(by)).agg(F.expr(f"count_if(`{label}` = 1) as p"),
-                                         F.expr(f"count_if(`{label}` = 0) as n"))
-    return ranked.selectExpr("*", "pos_before + pos as tp", "neg_before + neg as fp").join(totals, list(by))
+    return _steps(_counts(df, by, label, score), by, lo, hi)
 
 
 def _areas(steps: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -86,7 +96,7 @@ def _areas(steps: DataFrame, by: Sequence[str]) -> DataFrame:
     pairs = "sum(cast(neg as decimal(19,0)) * (2 * pos_before + pos))"
     return steps.groupBy(*_q(by)).agg(
         F.expr(f"cast({pairs} as double) / nullif(2D * first(p) * first(n), 0D) as auc_roc"),
-        F.expr("if(first(p) > 0, sum(cast(pos as double) / p * (cast(tp as double) / (tp + fp))), 0D) as avg_prec"),
+        F.expr("if(first(p) > 0, sum(cast(pos as double) / nullif(p, 0) * (cast(tp as double) / (tp + fp))), 0D) as avg_prec"),
     )
 
 
@@ -124,8 +134,11 @@ def thin_curve(curve: DataFrame, by: Sequence[str], x: str, y: str, bins: int =
 def evaluate(df: DataFrame, by: Sequence[str] = GROUP, label: str = "label", prediction: str = "prediction",
              score: str = "score", digits: int | None = None) -> DataFrame:
     """The score table: model, split, f1_storm, precision, recall, auc_roc, avg_prec, tp, fp, tn, fn."""
-    basics = precision_recall_f1(confusion(df, by, label, prediction))
-    areas = ranking_areas(df, by, label=label, score=score)
+    counts = _counts(df, by, label, score, prediction)
+    cells = [F.expr(f"sum(if(prediction = {p}, {side}, 0L)) as {name}")
+             for name, side, p in (("tp", "pos", 1), ("fp", "neg", 1), ("tn", "neg", 0), ("fn", "pos", 0))]
+    basics = precision_recall_f1(counts.groupBy(*_q(by)).agg(*cells))
+    areas = _areas(_steps(counts, by, 0.0, 1.0), by)
 
     def shown(name: str, source: str) -> str:
         return f"round({source}, {digits}) as {name}" if digits is not None else f"{source} as {name}"

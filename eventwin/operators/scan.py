@@ -51,7 +51,8 @@ def running_totals(
         return frame_.groupBy(*keys).agg(*[F.expr(f"sum(`{m}`) as `{m}`") for m in measures])
 
     unit = _unit(f"`{order}`", lo, hi)
-    placed = df.selectExpr("*", f"cast(floor({unit} * {CELLS * CELLS}D) as bigint) as _fine")
+    # never null: otherwise each use below would get its own null filter and its own read of `df`
+    placed = df.selectExpr("*", f"coalesce(cast(floor({unit} * {CELLS * CELLS}D) as bigint), 0L) as _fine")
     fine = total(placed, [*group, "_fine"]).selectExpr("*", f"shiftright(_fine, 16) as _coarse")
     coarse = total(fine, [*group, "_coarse"]).selectExpr(*group, "_coarse", *before(group, "_coarse", "_c_"))
     cells = (

@@ -12,6 +12,7 @@ from eventwin.operators.clean import feature_columns
 from eventwin.operators.engineer import engineer_features
 from eventwin.operators.prep import Preprocessor, fit_preprocessor
 from eventwin.operators.split import assign_split
+from eventwin.sources.sinks import staged
 
 
 @dataclass(frozen=True)
@@ -30,10 +31,11 @@ def build_features(labelled: DataFrame, *, keys: Sequence[str] = ("activityID",)
     """Feature table, split by year, prepared with numbers learned from the training rows.
 
     Two things are collected on the way: the category levels (unless given) and the per-column fit.
+    The engineered table is staged, as fitting, checking and training all read it.
     """
     carried = [k for k in keys if k in labelled.columns]
     engineered = engineer_features(labelled, keep=carried, type_levels=type_levels, clip_fit_on=clip_fit_on)
-    split = assign_split(engineered, train_end=train_end, val_year=val_year, test_start=test_start)
+    split = staged(assign_split(engineered, train_end=train_end, val_year=val_year, test_start=test_start), "features")
     inputs = feature_columns(split, label=label, metadata=("startTime", "year", "kp_max_h72", "split"), keys=carried)
     fitted = fit_preprocessor(split.where("split = 'train'"), inputs, scale=scale)
     matrix = fitted.transform(split, keep=[*carried, "split", "year", label])

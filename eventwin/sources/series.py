@@ -42,8 +42,9 @@ def parse_kp_lines(lines: DataFrame, start: str, end: str) -> DataFrame:
     """(time, kp) from fixed-width lines (`value`) for start ≤ time < end + 1 day; one row per time."""
     # 1-based position and length of each field.
     fields = {"y": (1, 4), "m": (6, 2), "d": (9, 2), "h": (12, 4), "kp": (47, 6)}
-    cut = lines.where("value <> '' and not startswith(value, '#')").selectExpr(
-        "value", *[f"{number(f'substring(value, {at}, {size})')} as {n}" for n, (at, size) in fields.items()])
+    cells = ", ".join(f"{number(f'substring(value, {at}, {size})')} as {n}" for n, (at, size) in fields.items())
+    # the generator keeps the filters below from cutting each line again per condition
+    cut = lines.where("value <> '' and not startswith(value, '#')").selectExpr("value", f"inline(array(struct({cells})))")
     timed = cut.withColumn("time", from_date_and_hours(F.col("y"), F.col("m"), F.col("d"), F.col("h"))).where(
         f"time >= timestamp'{start} 00:00:00' and time < timestamp'{end} 00:00:00' + interval 1 day and kp is not null")
     return keep_first(timed.select("time", "kp", "value"), ["time"], ["value"]).select("time", "kp")

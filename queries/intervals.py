@@ -118,9 +118,10 @@ def _mean(c: str) -> str:
 
 
 def _std(c: str) -> str:
-    square = f"sum(CAST({c} * {c} AS DECIMAL(38,4)))"
-    return (f"CASE WHEN count({c}) > 0 THEN sqrt(greatest(CAST({square} AS DOUBLE) / count({c}) - {_mean(c)} * {_mean(c)},"
-            f" CAST(0 AS DOUBLE))) END")
+    """From exact decimals; read as text, as only that conversion to DOUBLE is rounded once."""
+    spread = (f"CAST(count({c}) AS DECIMAL(15,0)) * CAST(sum(CAST({c} * {c} AS DECIMAL(38,4))) AS DECIMAL(21,4)) - "
+              f"CAST(sum({c}) AS DECIMAL(18,2)) * CAST(sum({c}) AS DECIMAL(18,2))")
+    return f"CASE WHEN count({c}) > 0 THEN sqrt(CAST(CAST({spread} AS VARCHAR) AS DOUBLE)) / count({c}) END"
 
 
 def _four(c: str) -> str:

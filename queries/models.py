@@ -5,6 +5,7 @@ from __future__ import annotations
 from eventwin.operators import attribution as A, models as M
 from eventwin.operators.prep import fit_preprocessor
 from eventwin.operators.split import assign_split
+from eventwin.sources.sinks import staged
 from queries.preparation import YEARS
 from queries.tables import table
 
@@ -22,7 +23,7 @@ def matrix(spark, d):
         "`sum(l_quantity)` as quantity", "`avg(l_discount)` as discount",
         "cast(datediff(`max(l_shipdate)`, o_orderdate) as double) as late", "cast(o_custkey as double) as cust",
         "if(coalesce(datediff(`max(l_shipdate)`, o_orderdate), 0) > 600 or o_totalprice > 430000, 1, 0) as label_storm")
-    split = assign_split(rows, **YEARS)
+    split = staged(assign_split(rows, **YEARS), "orders")
     fitted = fit_preprocessor(split.where("split = 'train'"), FEATURES)
     return fitted.transform(split, keep=["o_orderkey", "split", "label_storm"])
 

@@ -72,23 +72,24 @@ def _counts(df: DataFrame, by: Sequence[str], label: str, score: str, prediction
         F.expr(f"count_if(`{label}` = 1) as pos"), F.expr(f"count_if(`{label}` = 0) as neg"))
 
 
-def _steps(counts: DataFrame, by: Sequence[str], lo: float, hi: float) -> DataFrame:
+def _steps(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     steps = counts.groupBy(*_q(by), "threshold").agg(
         F.expr("sum(pos) as pos"), F.expr("sum(neg) as neg"))
-    ranked = running_totals(steps, "threshold", ["pos", "neg"], by=by, lo=f"{float(lo)!r}D", hi=f"{float(hi)!r}D",
-                            descending=True)
+    span = steps.agg(F.expr("struct(min(threshold) as lo, max(threshold) as hi)")).scalar()
+    ranked = running_totals(steps.withColumn("_span", span), "threshold", ["pos", "neg"], by=by, lo="_span.lo",
+                            hi="_span.hi", descending=True).drop("_span")
     totals = steps.groupBy(*_q(by)).agg(F.expr("sum(pos) as p"), F.expr("sum(neg) as n"))
     return ranked.selectExpr("*", "pos_before + pos as tp", "neg_before + neg as fp").join(totals, list(by))
 
 
-def score_steps(df: DataFrame, by: Sequence[str] = GROUP, label: str = "label", score: str = "score",
-                lo: float = 0.0, hi: float = 1.0) -> DataFrame:
+def score_steps(df: DataFrame, by: Sequence[str] = GROUP, label: str = "label", score: str = "score"
+                ) -> DataFrame:
     """One row per group and distinct score, from the highest score down.
 
     `pos`, `neg` count rows with this score; `tp`, `fp` count rows with this score or a higher one;
-    `p`, `n` are the group's totals. `lo`, `hi` is the usual range of scores.
+    `p`, `n` are the group's totals.
     """
-    return _steps(_counts(df, by, label, score), by, lo, hi)
+    return _steps(_counts(df, by, label, score), by)
 
 
 def _areas(steps: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -138,7 +139,7 @@ def evaluate(df: DataFrame, by: Sequence[str] = GROUP, label: str = "label", pre
     cells = [F.expr(f"sum(if(prediction = {p}, {side}, 0L)) as {name}")
              for name, side, p in (("tp", "pos", 1), ("fp", "neg", 1), ("tn", "neg", 0), ("fn", "pos", 0))]
     basics = precision_recall_f1(counts.groupBy(*_q(by)).agg(*cells))
-    areas = _areas(_steps(counts, by, 0.0, 1.0), by)
+    areas = _areas(_steps(counts, by), by)
 
     def shown(name: str, source: str) -> str:
         return f"round({source}, {digits}) as {name}" if digits is not None else f"{source} as {name}"

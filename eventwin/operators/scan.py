@@ -75,7 +75,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str] | Mapping[str, str], p
     cells = ", ".join(f"'{name}', cast({expr} as double)" for name, expr in named.items())
     long = df.selectExpr(f"stack({len(named)}, {cells}) as (column, v)").where("v is not null and not isnan(v)")
     # one row per requested column
-    bounds = F.broadcast(long.groupBy("column").agg(F.expr("min(v) as lo"), F.expr("max(v) as hi")))
+    finite = "if(abs(v) < double('infinity'), v, null)"
+    bounds = F.broadcast(long.groupBy("column").agg(F.expr(f"min({finite}) as lo"), F.expr(f"max({finite}) as hi")))
     binned = long.join(bounds, "column").selectExpr(
         "*", f"cast(least(floor({_unit('v', 'lo', 'hi')} * {BINS}D), {BINS - 1}) as int) as bin")
 
@@ -94,10 +95,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str] | Mapping[str, str], p
     # at most two ranks per column and probability
     spots = F.broadcast(targets.select("column", "bin").distinct())
     values = binned.join(spots, ["column", "bin"], "left_semi").groupBy("column", "bin", "v").agg(
-        F.expr("count(1) as c"), F.expr("first(lo) as lo"), F.expr("first(hi) as hi"))
-    width = f"((hi - lo) / {BINS}D)"
-    ranked = running_totals(values, "v", ["c"], by=["column", "bin"], lo=f"(lo + bin * {width})",
-                            hi=f"(lo + (bin + 1) * {width})")
+        F.expr("count(1) as c"))
+    # the grid spans what the bin holds, not what it could hold: outliers cannot crowd it
+    spans = F.broadcast(values.groupBy("column", "bin").agg(F.expr(f"min({finite}) as lo"), F.expr(f"max({finite}) as hi")))
+    ranked = running_totals(values.join(spans, ["column", "bin"]), "v", ["c"], by=["column", "bin"], lo="lo", hi="hi")
     hits = ranked.join(F.broadcast(targets), ["column", "bin"]).where("r_bin >= c_before and r_bin < c_before + c")
     # lower and upper neighbour of the wanted position
     ends = hits.groupBy("column", "prob", "n").agg(F.expr("min(v) as a"), F.expr("max(v) as b"))

@@ -109,8 +109,8 @@ def export_series(df: DataFrame, path: str, columns: Sequence[str] = EXPORTED_CO
         out.write.mode(mode).option("header", True).csv(path)
         return
     dated = out.withColumn("year", F.year("time"))
-    # about a quarter of a million rows a file; a year's rows may go to many tasks
-    dated.write.mode(mode).option("maxRecordsPerFile", 250_000).partitionBy("year").parquet(path)
+    # cut by time, a task writes to one or two years, and files cover narrow spans that filters can skip
+    dated.repartitionByRange("year", "time").sortWithinPartitions("time").write.mode(mode).partitionBy("year").parquet(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

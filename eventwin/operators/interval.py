@@ -258,7 +258,11 @@ def interval_stats(
     # events without a time match nothing: give them scattered impossible times, not one shared partition
     hashed = [c for c in events.columns if not isinstance(events.schema[c].dataType, (T.MapType, T.VariantType))]
     nowhere = f"{NO_TIME}L + pmod(xxhash64({', '.join(_quoted(hashed))}), 1000003L)"
-    joined = stamped.withColumn("_t", F.expr(f"coalesce(_t, {nowhere})")).join(found, [*keys, "_t"], "left")
+    # `_at` is `_t` in a type of its own, so the aggregate's partitioning cannot serve the join: with a
+    # shuffle on both sides adaptive execution may split the events of an instant that very many share
+    left = stamped.selectExpr("*", f"cast(coalesce(_t, {nowhere}) as decimal(20,0)) as _at").drop("_t")
+    right = found.selectExpr("*", "cast(_t as decimal(20,0)) as _at").drop("_t")
+    joined = left.join(right, [*keys, "_at"], "left")
     return joined.select(*_quoted(events.columns), *[result(n, *spec) for n, spec in outputs.items()])
 
 

@@ -78,8 +78,8 @@ def _steps(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     span = steps.agg(F.expr("struct(min(threshold) as lo, max(threshold) as hi)")).scalar()
     ranked = running_totals(steps.withColumn("_span", span), "threshold", ["pos", "neg"], by=by, lo="_span.lo",
                             hi="_span.hi", descending=True).drop("_span")
-    totals = steps.groupBy(*_q(by)).agg(F.expr("sum(pos) as p"), F.expr("sum(neg) as n"))
-    return ranked.selectExpr("*", "pos_before + pos as tp", "neg_before + neg as fp").join(totals, list(by))
+    return ranked.selectExpr(*_q(by), "threshold", "pos", "neg", "pos_before", "neg_before", "pos_before + pos as tp",
+                             "neg_before + neg as fp", "pos_total as p", "neg_total as n")
 
 
 def score_steps(df: DataFrame, by: Sequence[str] = GROUP, label: str = "label", score: str = "score"

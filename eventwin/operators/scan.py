@@ -35,7 +35,8 @@ def running_totals(
     hi: str = "1D",
     descending: bool = False,
 ) -> DataFrame:
-    """`df` (one row per (by, order)) plus `<measure>_before`: the total over rows strictly earlier in order.
+    """`df` (one row per (by, order)) plus `<measure>_before`, the total over rows strictly earlier in
+    order, and `<measure>_total`, that of the whole group.
 
     `lo` and `hi` are SQL expressions for the usual range of `order`; values outside share the end cells.
     """
@@ -54,15 +55,18 @@ def running_totals(
     # never null: otherwise each use below would get its own null filter and its own read of `df`
     placed = df.selectExpr("*", f"coalesce(cast(floor({unit} * {CELLS * CELLS}D) as bigint), 0L) as _fine")
     fine = total(placed, [*group, "_fine"]).selectExpr("*", f"shiftright(_fine, 16) as _coarse")
-    coarse = total(fine, [*group, "_coarse"]).selectExpr(*group, "_coarse", *before(group, "_coarse", "_c_"))
+    whole = f"over ({'partition by ' + ', '.join(group) if group else ''})"
+    coarse = total(fine, [*group, "_coarse"]).selectExpr(
+        *group, "_coarse", *before(group, "_coarse", "_c_"), *[f"sum(`{m}`) {whole} as `_n_{m}`" for m in measures])
     cells = (
         fine.selectExpr(*group, "_coarse", "_fine", *before([*group, "_coarse"], "_fine", "_f_"))
         .join(coarse, [*by, "_coarse"])
-        .selectExpr(*group, "_fine", *[f"`_c_{m}` + `_f_{m}` as `_f_{m}`" for m in measures])
+        .selectExpr(*group, "_fine", *[f"`_c_{m}` + `_f_{m}` as `_f_{m}`" for m in measures], *[f"`_n_{m}`" for m in measures])
     )
     inside = placed.selectExpr("*", *before([*group, "_fine"], f"`{order}`", "_v_"))
     return inside.join(cells, [*by, "_fine"]).selectExpr(
-        *_q(df.columns), *[f"`_f_{m}` + `_v_{m}` as `{m}_before`" for m in measures])
+        *_q(df.columns), *[f"`_f_{m}` + `_v_{m}` as `{m}_before`" for m in measures],
+        *[f"`_n_{m}` as `{m}_total`" for m in measures])
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str] | Mapping[str, str], probs: Sequence[float]) -> DataFrame:

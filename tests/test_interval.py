@@ -147,3 +147,25 @@ def test_no_pairs_and_no_nested_loops(spark):
     s = spark.createDataFrame([("a", T0, 1.0)], "k string, t timestamp, x double")
     plan = I.interval_stats(e, s, I.Interval(0, 72), OUT, event_time="t", series_time="t")._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_events_of_one_hot_instant_are_split(spark):
+    """A third of the events share an instant: their part of the last join must not be one task."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    e = spark.range(0, 60_000, 1, 12).selectExpr(
+        "id", "repeat(cast(xxhash64(id) as string), 3) as text",
+        "if(id % 3 = 0, timestamp'2020-01-01', timestamp_seconds(1577836800 + id * 50)) as t")
+    s = spark.range(1000).selectExpr("timestamp_seconds(1577836800 + id * 3000) as t", "cast(id as double) as x")
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = I.interval_stats(e, s, I.Interval(0, 24), {"hi": ("max", "x")}, event_time="t", series_time="t")
+        rows = got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert len(rows) == 60_000 and {r["hi"] for r in rows if r["id"] % 3 == 0} == {28.0}
+    assert "skew=true" in plan

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -29,12 +30,12 @@ def build_session(app_name: str = "eventwin", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir` of the session.
 
-    Only a local master may go without it; there a fresh temporary folder is used.
+    Only a master of one process may go without it; there a fresh temporary folder is used.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="eventwin-")
     spark.sparkContext.setCheckpointDir(folder)

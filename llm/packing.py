@@ -15,8 +15,10 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType
 
 from eventwin.sources.sinks import staged
+from llm.exprs import added
 from llm.token_ids import default_vocabulary, encoder
 
 CAPACITY = 2048
@@ -122,7 +124,7 @@ def pack(pieces: DataFrame, *, capacity: int = CAPACITY, open_sequences: int = O
                        pa.array([o for _, o in places], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "sequence_id", "offset"])
 
-    return dealt.mapInArrow(place, pieces.schema.add("sequence_id", "long").add("offset", "long"))
+    return dealt.mapInArrow(place, added(pieces.schema, sequence_id=LongType(), offset=LongType()))
 
 
 def pack_documents(docs: DataFrame, *, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID,

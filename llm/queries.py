@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventwin.session import shared_dir
-from llm import packing, token_store
+from llm import ann, chat, licenses, mixing, packing, quality, sharding, simhash, token_store, topk
+
+
+def findable(spark: SparkSession) -> None:
+    """Python workers find this repository from whatever folder the driver was started in; a cluster gets it by --py-files."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    findable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -26,5 +33,50 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_token_files": op1_token_files, "op2_best_fit_packing": op2_best_fit_packing}
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold control strings, formatted and read back."""
+    probe = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], "conv_id bigint, turn bigint, role string, text string")
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.format_conversations(given.unionByName(extra)))
+
+
+def op4_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), 40)
+
+
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to target weights of their sources."""
+    return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
+
+
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints and groups of near-duplicates of all documents."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest inner products of every 50th vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, scale_floor=256)
+
+
+def op8_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors found for every 100th vector."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named in all documents."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_files, op2_best_fit_packing, op3_chat_formatting, op4_jump_sharding, op5_source_mix, op6_simhash_dedup, op7_exact_top_k,
+    op8_quality_ranking, op9_nearest_neighbours, op10_license_scan)}
 ORACLES: dict[str, str] = {}

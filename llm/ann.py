@@ -24,8 +24,9 @@ SAMPLE_ROWS = 20_000
 LIST_ROWS, MOST_LISTS = 250, 4_096
 #: A vector is also put in up to three more lists whose centroids are at most this times as far as its nearest.
 REPLICA_RATIO, REPLICAS = 1.05, 4
-#: A query reads lists whose centroids are at most this times as far as its nearest, as the graph search finds them.
-SEARCH_RATIO, SEARCH_LISTS = 1.35, 96
+#: A query reads lists whose centroids are at most this times as far as its nearest, as the graph search finds them; so many at least
+#: and at most. A query that finds too few neighbours in them reads all lists.
+SEARCH_RATIO, LEAST_LISTS, SEARCH_LISTS = 1.35, 8, 96
 #: Neighbours of a centroid in the graph; some are drawn at random, which keeps it connected over clusters.
 LINKS, FAR_LINKS = 16, 4
 SEGMENT_ROWS = 1_024
@@ -107,7 +108,7 @@ class Graph:
             return np.sqrt(np.take_along_axis(squares, order, 1)), order
         at = np.arange(count)[:, None]
         norms = (points * points).sum(1)[:, None]
-        far = lambda c: np.maximum(norms[:len(c)] + self.norms[c] - 2 * np.einsum("pd,pcd->pc", points, self.centroids[c]), 0)
+        far = lambda c: np.maximum(norms + self.norms[c] - 2 * np.einsum("pd,pcd->pc", points, self.centroids[c]), 0)
         seen = np.zeros((count, n), bool)
         beam = np.tile(self.entries, (count, 1))
         seen[at, beam] = True
@@ -127,7 +128,8 @@ class Graph:
             twice = np.empty_like(repeated)
             np.put_along_axis(twice, first, repeated, 1)
             fresh &= ~twice
-            seen[at, found] |= fresh
+            met, column = np.nonzero(fresh)
+            seen[met, found[met, column]] = True
             beam, squares = np.hstack([beam, found]), np.hstack([squares, np.where(fresh, far(found), np.inf)])
             done = np.hstack([done, ~fresh])
             if beam.shape[1] > most:
@@ -137,8 +139,8 @@ class Graph:
         return np.sqrt(np.take_along_axis(squares, order, 1)), np.take_along_axis(beam, order, 1)
 
 
-def _assigned(graphs: dict, most: int, ratio: float):
-    """Rows (row, id, dim, length, vector) to rows with `key`, one for each list within `ratio` of the nearest, `most` at most.
+def _assigned(graphs: dict, most: int, ratio: float, least: int = 1):
+    """Rows (row, id, dim, length, vector) to rows with `key`, one for each list within `ratio` of the nearest, `least` to `most`.
 
     A dimension that the sample lacks is one list of its own, -1: it's searched in full.
     """
@@ -158,6 +160,7 @@ def _assigned(graphs: dict, most: int, ratio: float):
                         continue
                     far, lists = graph.search(matrix([vectors[i] for i in own], int(dim)), most)
                     near = far <= far[:, :1] * ratio + 1e-12
+                    near[:, :least] = True
                     near[~np.isfinite(far)] = False
                     keys.append(lists[near])
                     places.append(np.repeat(own, near.sum(1)))
@@ -207,7 +210,7 @@ def nearest(df: DataFrame, is_query: Column, *, k: int = 10, id_column: str = "v
     `is_query` is over `id`; score is the Euclidean distance of the vectors given, in double precision. Null and zero vectors, those
     with null or non-finite components and rows without an id take no part; distances exist inside one dimension. Rows with the
     query's own id are never its candidates; other ids that repeat are candidates each. An empty table gives no rows. Where fewer
-    than k are found in the lists read, the row's other lists are read too, so every query gets k if there are k candidates.
+    than k are found in the lists read, a query reads all lists, so it gets k if there are k candidates.
     """
     import numpy as np
 
@@ -226,12 +229,22 @@ def nearest(df: DataFrame, is_query: Column, *, k: int = 10, id_column: str = "v
     order = ["dim", "key", "id", "row"]
     segments = pack(postings.repartitionByRange(*order).sortWithinPartitions(*order), SEGMENT_ROWS)
     segments = staged(segments.withColumn("segment", F.monotonically_increasing_id()), "segments")
-    queries = rows.where(is_query).mapInArrow(_assigned(graphs, search_lists, search_ratio), schema)
-    met = queries.join(segments.select("dim", "key", "segment"), ["dim", "key"])
-    asked = met.select("segment", F.lit(True).alias("is_query"), "dim", F.array("row").alias("rows"), F.array("id").alias("ids"), F.col("vector").alias("vectors"))
-    held = segments.select("segment", F.lit(False).alias("is_query"), "dim", "rows", "ids", "vectors")
-    meetings = held.unionByName(asked).repartition("segment").sortWithinPartitions("segment", "is_query").drop("segment")
-    found = meetings.mapInArrow(_distances(k), "row bigint, query_id bigint, other bigint, vec_id bigint, score double")
-    once = found.groupBy("row", "query_id", "other", "vec_id").agg(F.min("score").alias("score"))  # a replica isn't another neighbour
-    rank = F.row_number().over(Window.partitionBy("row").orderBy("score", "vec_id", "other"))
-    return once.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    queries = rows.where(is_query)
+    near = queries.mapInArrow(_assigned(graphs, search_lists, search_ratio, LEAST_LISTS), schema)
+    names = ["row", "id", "dim", "vector"]
+
+    def found(met: DataFrame) -> DataFrame:
+        asked = met.select("segment", F.lit(True).alias("is_query"), "dim", F.array("row").alias("rows"), F.array("id").alias("ids"), F.col("vector").alias("vectors"))
+        held = segments.select("segment", F.lit(False).alias("is_query"), "dim", "rows", "ids", "vectors")
+        meetings = held.unionByName(asked).repartition("segment").sortWithinPartitions("segment", "is_query").drop("segment")
+        results = meetings.mapInArrow(_distances(k), "row bigint, query_id bigint, other bigint, vec_id bigint, score double")
+        once = results.groupBy("row", "query_id", "other", "vec_id").agg(F.min("score").alias("score"))  # a replica isn't another neighbour
+        rank = F.row_number().over(Window.partitionBy("row").orderBy("score", "vec_id", "other"))
+        return once.withColumn("rank", rank).where(F.col("rank") <= k)
+
+    best = staged(found(near.select(*names, "key").join(segments.select("dim", "key", "segment"), ["dim", "key"])), "nearest")
+    complete = best.where(F.col("rank") == k)
+    lacking = staged(queries.join(complete, "row", "left_anti").select(*names), "lacking")
+    if lacking.count():
+        best = complete.select("row").join(best, "row").unionByName(found(lacking.join(segments.select("dim", "segment"), "dim")))
+    return best.select("query_id", "rank", "vec_id", "score")

@@ -36,6 +36,7 @@ class Source(NamedTuple):
     name: str | None
     words: int
     target: float
+    block_words: int = BLOCK_WORDS
 
     @property
     def take(self) -> int:
@@ -43,12 +44,12 @@ class Source(NamedTuple):
 
     @property
     def blocks(self) -> int:
-        return -(-self.words // BLOCK_WORDS)
+        return -(-self.words // self.block_words)
 
     @property
     def slots(self) -> int:
         passes, rest = divmod(self.take, self.words) if self.words else (0, 0)
-        return passes * self.blocks + -(-rest // BLOCK_WORDS)
+        return passes * self.blocks + -(-rest // self.block_words)
 
 
 def share_out(words: Sequence[int], weights: Sequence[float], total: float, most_times: float) -> list[float]:
@@ -117,11 +118,11 @@ def _draw(random, counts, drawn: int):
 class Draws:
     """Slots of each source in each output shard."""
 
-    def __init__(self, slots: Sequence[int], seed: int):
+    def __init__(self, slots: Sequence[int], seed: int, shard_slots: int = SHARD_SLOTS):
         import numpy as np
 
-        self.slots, self.seed, self.total = np.asarray(slots, np.int64), seed, int(sum(slots))
-        self.shards, self.known = -(-self.total // SHARD_SLOTS), {}
+        self.slots, self.seed, self.total, self.size = np.asarray(slots, np.int64), seed, int(sum(slots)), shard_slots
+        self.shards, self.known = -(-self.total // shard_slots), {}
 
     def _left(self, low: int, high: int, counts):
         import numpy as np
@@ -130,7 +131,7 @@ class Draws:
             if len(self.known) > 5_000:
                 self.known.clear()
             middle = (low + high) // 2
-            self.known[low, high] = _draw(np.random.default_rng([self.seed, low, high]), counts, (middle - low) * SHARD_SLOTS)
+            self.known[low, high] = _draw(np.random.default_rng([self.seed, low, high]), counts, (middle - low) * self.size)
         return self.known[low, high]
 
     def of(self, shard: int):
@@ -147,7 +148,7 @@ class Draws:
         return first, counts
 
 
-def list_sources(sized: DataFrame, weights: Sequence[float], share: float, most_times: float) -> list[Source]:
+def list_sources(sized: DataFrame, weights: Sequence[float], share: float, most_times: float, block_words: int) -> list[Source]:
     """Every source's words and target; sources by code point, null last, weigh `weights` in turn."""
     rows = sized.groupBy("source").agg(F.sum("size").alias("words")).limit(MOST_SOURCES + 1).collect()
     if len(rows) > MOST_SOURCES:
@@ -155,17 +156,18 @@ def list_sources(sized: DataFrame, weights: Sequence[float], share: float, most_
     rows.sort(key=lambda r: (r.source is None, r.source or ""))
     words = [r.words for r in rows]
     targets = share_out(words, [weights[i % len(weights)] for i in range(len(rows))], share * sum(words), most_times)
-    return [Source(r.source, r.words, t) for r, t in zip(rows, targets)]
+    return [Source(r.source, r.words, t, block_words) for r, t in zip(rows, targets)]
 
 
-def draw_slots(spark: SparkSession, sources: Sequence[Source], seed: int) -> DataFrame:
+def draw_slots(spark: SparkSession, sources: Sequence[Source], seed: int, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """shard, place, source_no, epoch, block, take: the block that fills each place of each output shard and the words taken of it."""
-    sources, n_shards = list(sources), Draws([s.slots for s in sources], seed).shards
+    sources = list(sources)
+    n_shards = Draws([s.slots for s in sources], seed, shard_slots).shards
 
     def slots(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        draws = Draws([s.slots for s in sources], seed)
+        draws = Draws([s.slots for s in sources], seed, shard_slots)
         for batch in batches:
             for shard in batch.column(0).to_pylist():
                 columns: list[list] = [[], [], [], []]
@@ -179,8 +181,8 @@ def draw_slots(spark: SparkSession, sources: Sequence[Source], seed: int) -> Dat
                         own = np.flatnonzero((epoch == e) & (index < whole))
                         block[own] = permute(index[own], whole, f"{seed}|{s.name}|{e}")
                     # the last slot takes what the target lacks
-                    take = np.where(slot == s.slots - 1, s.take - epoch * s.words - index * BLOCK_WORDS, BLOCK_WORDS)
-                    for column, values in zip(columns, (np.full(count, number), epoch, block, np.minimum(take, BLOCK_WORDS))):
+                    take = np.where(slot == s.slots - 1, s.take - epoch * s.words - index * s.block_words, s.block_words)
+                    for column, values in zip(columns, (np.full(count, number), epoch, block, np.minimum(take, s.block_words))):
                         column.append(values)
                 merged = [np.concatenate(c) for c in columns]
                 places = np.random.default_rng([seed, shard, -1 & 0xFFFF]).permutation(len(merged[0]))
@@ -201,7 +203,7 @@ class Mix(NamedTuple):
 
 
 def mix(docs: DataFrame, *, row: Column | None = None, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most_times: float = MOST_TIMES,
-        seed: int = 11) -> Mix:
+        block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 11) -> Mix:
     """Which words of which documents the mix takes, and where they go. Rerunning gives the same mix.
 
     `share` of all words is taken, shared by weight; a source (null is one) gives at most `most_times` its words, and no document more
@@ -213,7 +215,7 @@ def mix(docs: DataFrame, *, row: Column | None = None, weights: Sequence[float]
     row = F.monotonically_increasing_id() if row is None else row
     sized = staged(docs.select(row.alias("row"), F.col("doc_id").cast("bigint"), F.col("source").cast("string"),
                                F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("size"), F.xxhash64("doc_id", text).alias("mark")), "sized")
-    sources = list_sources(sized, weights, share, most_times)
+    sources = list_sources(sized, weights, share, most_times, block_words)
     listed = spark.createDataFrame([(i, s.name, s.words, s.target) for i, s in enumerate(sources)],
                                    "source_no int, name string, source_size bigint, target double")
     part = F.pmod("mark", F.lit(PARTS)).alias("part")
@@ -221,14 +223,14 @@ def mix(docs: DataFrame, *, row: Column | None = None, weights: Sequence[float]
     # one row for each source, MOST_SOURCES at most
     numbered = staged(placed.join(F.broadcast(listed), F.col("source").eqNullSafe(F.col("name")))
                       .select("row", "doc_id", "source", "size", "source_no", "first_word"), "streams")
-    length = F.lit(BLOCK_WORDS)
+    length = F.lit(block_words)
     cut = numbered.where("size > 0").select("row", "source_no", "first_word", "size", F.explode(F.sequence(
-        F.expr(f"first_word div {BLOCK_WORDS}"), F.expr(f"(first_word + size - 1) div {BLOCK_WORDS}"))).alias("block"))
+        F.expr(f"first_word div {block_words}"), F.expr(f"(first_word + size - 1) div {block_words}"))).alias("block"))
     low = F.greatest(F.col("first_word"), F.col("block") * length)
     high = F.least(F.col("first_word") + F.col("size"), (F.col("block") + 1) * length)
     pieces = cut.select("row", "source_no", "block", (low - F.col("first_word")).alias("from_word"), (low - F.col("block") * length).alias("at"),
                         (high - low).alias("held"))
-    joined = pieces.join(draw_slots(spark, sources, seed), ["source_no", "block"])
+    joined = pieces.join(draw_slots(spark, sources, seed, shard_slots), ["source_no", "block"])
     words = F.least(F.col("held"), F.col("take") - F.col("at")).cast("bigint")
     taken = joined.select("row", "shard", "place", "epoch", "from_word", words.alias("n_words")).where("n_words > 0")
     return Mix(numbered, listed, taken)

@@ -79,4 +79,26 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_best_fit_packing, op3_chat_formatting, op4_jump_sharding, op5_source_mix, op6_simhash_dedup, op7_exact_top_k,
     op8_quality_ranking, op9_nearest_neighbours, op10_license_scan)}
-ORACLES: dict[str, str] = {}
+
+_ESCAPED = "replace({0}, '\\', '\\\\')"
+for _control in chat.CONTROLS:
+    _ESCAPED = f"replace({_ESCAPED}, '{_control}', '{_control[0]}\\{_control[1:]}')"
+
+ORACLES = {
+    # marks: 9 and 8 characters before a block's first text, 8 before each other text, 8 after the block
+    "op3_chat_formatting": f"""WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+marked AS (SELECT *, coalesce(lag(role) OVER w = role, false) AS merged FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+CAST(sum(length({_ESCAPED.format("text")}) + CASE WHEN merged THEN 8 ELSE 25 + length({_ESCAPED.format("role")}) END) AS BIGINT) AS formatted_chars
+FROM marked GROUP BY conv_id""",
+    "op7_exact_top_k": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+CAST(coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+}

@@ -83,7 +83,8 @@ def dictionary_hash(dictionary: bytes) -> str:
     return hashlib.sha256(dictionary).hexdigest()
 
 
-def write_token_files(docs: DataFrame, path: str, *, vocabulary: str | None = None, end_id: int = 2) -> None:
+def write_token_files(docs: DataFrame, path: str, *, vocabulary: str | None = None, end_id: int = 2,
+                      segment_bytes: int = SEGMENT_BYTES) -> None:
     """Encode all texts of `docs` (null or empty: the end id alone) and write them to `path` in ascending doc_id order.
 
     Rows that repeat are kept as often as they stand there; null doc_ids come first; an empty table gives empty folders. Columns
@@ -126,7 +127,7 @@ def write_token_files(docs: DataFrame, path: str, *, vocabulary: str | None = No
                 counts.append(len(ids) // 4)
                 frames.append(frame)
                 size += len(frame)
-                if size >= SEGMENT_BYTES or len(frames) >= SEGMENT_DOCUMENTS:
+                if size >= segment_bytes or len(frames) >= SEGMENT_DOCUMENTS:
                     yield close()
                     segment, start, size = segment + 1, start + sum(counts), 0
                     doc_ids, counts, frames = [], [], []

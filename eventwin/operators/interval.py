@@ -1,20 +1,19 @@
 """Aggregates of a time series over an interval relative to each event.
 
 For an event at time T the interval is closed: [T + start, T + end]. All events share its length,
-so no (event, series row) pair has to be formed. Time is cut into tiles that divide the interval
-length exactly; an interval then always covers
-
-    the tail of its first tile  +  a fixed number of whole tiles  +  the head of its last tile,
-
-and the run of whole tiles is, in turn, the tail of one chunk of tiles plus the head of the next.
-Heads and tails are running aggregates, so every event costs two look-ups in each of the two
-levels. Series rows of one instant are combined before anything is shuffled by tile, which bounds
-a window partition by the tile length (instants per tile) or by the interval length (tiles per
-chunk), whatever share of the rows a single key or period holds.
+so no (event, series row) pair has to be formed. Time is cut into tiles of fixed widths, each level
+`FAN` times as wide as the one below. An interval is the tail of its first tile, the head of its
+last one and the whole tiles between; these are, one level up, again a tail, a head and whole tiles
+between, until fewer than `FAN` of the widest tiles that fit into the interval are left. Heads and
+tails are running aggregates, so an event costs two look-ups a level. Series rows of one instant
+are combined before anything is shuffled by tile, which bounds a window partition by the instants
+of the smallest tile or by a few times `FAN` rows, for any interval length and whatever share of
+the rows a single key or period holds.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -24,6 +23,8 @@ from eventwin.functions.times import HOUR, time_micros
 
 STATS = ("rows", "count", "mean", "min", "max", "std")
 TILE = 60_000_000  # microseconds; upper bound for the number of instants of one key in a tile
+FAN = 4_096  # tiles of one level in a tile of the next
+DIGITS = 18  # of a decimal's distance from the overall mean, in units of its last place
 
 NO_TIME = -9_000_000_000_000_000_000  # far below the first representable timestamp
 
@@ -67,18 +68,12 @@ def _quoted(names: Iterable[str]) -> list[str]:
     return [f"`{n}`" for n in names]
 
 
-def tile_length(length: int, target: int = TILE) -> int:
-    """The divisor of `length` closest to `target` that leaves at least two tiles."""
-    if length < 2:
-        return 1
-    best, low = 1, 1
-    while low * low <= length:
-        if length % low == 0:
-            for d in (low, length // low):
-                if d <= length // 2 and abs(d - target) < abs(best - target):
-                    best = d
-        low += 1 if low < 100_000 else length  # divisors near a minute lie below or pair below this
-    return best
+def tile_widths(length: int, tile: int | None = None) -> list[int]:
+    """Widths of the levels: from a minute (or `tile`) up by `FAN`, none wider than the interval."""
+    widths = [min(tile or TILE, length)]
+    while widths[-1] * FAN <= length:
+        widths.append(widths[-1] * FAN)
+    return widths
 
 
 def _floor_div(col: str, by: int) -> str:
@@ -122,16 +117,31 @@ def _merge(df: DataFrame, by: Sequence[str], parts: Sequence[_Part]) -> DataFram
     return df.groupBy(*_quoted(by)).agg(*[F.expr(f"{p.merge} as {p.name}") for p in parts])
 
 
-def _whole_tiles(points: DataFrame, tiles: DataFrame, keys: Sequence[str], run: int,
-                 parts: Sequence[_Part]) -> DataFrame:
-    """Merge tiles `_home + 1 … _home + run` for each distinct (keys, `_home`) of `points`."""
-    starts = points.select(*_quoted(keys), "_home").distinct()
-    # a run that starts on a chunk border is exactly one chunk: its tail is already everything
-    ends = {_TAIL: "_home + 1", _HEAD: f"if(pmod(_home + 1, {run}L) <> 0, _home + {run}L, null)"}
-    probes = _probes(starts, [*_quoted(keys), "_home"], ends, "_at", tiles, parts)
-    items = tiles.selectExpr(*_quoted(keys), "_tile as _at", *[p.name for p in parts], f"{_ITEM} as _kind")
-    rows = items.unionByName(probes, allowMissingColumns=True).selectExpr("*", f"{_floor_div('_at', run)} as _chunk")
-    return _merge(_scan(rows, [*keys, "_chunk"], "_at", parts), [*keys, "_home"], parts)
+def _between(pairs: DataFrame, tiles: DataFrame, keys: Sequence[str], widths: Sequence[int], length: int,
+             parts: Sequence[_Part]) -> DataFrame:
+    """Merged tiles `_a + 1 … _b - 1` of the lowest of `widths` for each distinct (keys, `_a`, `_b`) of `pairs`."""
+    k, names = _quoted(keys), [p.name for p in parts]
+    top = len(widths) == 1
+    by = length // widths[0] if top else FAN
+    group = lambda at: _floor_div(at, by)
+    if top:  # by or by - 1 tiles: a suffix and a prefix of two groups, or one of them
+        one = f"{group('_a + 1')} = {group('_b - 1')}"
+        prefix = f"pmod(_a + 1, {by}L) = 0"
+        ends = {_TAIL: f"if(_b - _a > 1 and not ({one} and {prefix}), _a + 1, null)",
+                _HEAD: f"if(_b - _a > 1 and not ({one} and not {prefix}), _b - 1, null)"}
+    else:  # the rest of the first tile's group and the beginning of the last one's
+        ends = {_TAIL: f"if({group('_a + 1')} = {group('_a')}, _a + 1, null)", _HEAD: f"if({group('_b - 1')} = {group('_b')}, _b - 1, null)"}
+    probes = _probes(pairs, [*k, "_a", "_b"], ends, "_at", tiles, parts)
+    items = tiles.selectExpr(*k, "_tile as _at", *names, f"{_ITEM} as _kind")
+    rows = items.unionByName(probes, allowMissingColumns=True).selectExpr("*", f"{group('_at')} as _group")
+    found = _scan(rows, [*keys, "_group"], "_at", parts).select(*k, "_a", "_b", *names)
+    if not top:
+        wider = _merge(tiles.selectExpr(*k, f"{group('_tile')} as _tile", *names), [*keys, "_tile"], parts)
+        homes = pairs.selectExpr(*k, "_a", "_b", f"{group('_a')} as _up_a", f"{group('_b')} as _up_b")
+        above = _between(homes.selectExpr(*k, "_up_a as _a", "_up_b as _b").distinct(), wider, keys, widths[1:], length, parts)
+        above = above.withColumnsRenamed({"_a": "_up_a", "_b": "_up_b"})
+        found = found.unionByName(homes.join(above, [*keys, "_up_a", "_up_b"]).select(*k, "_a", "_b", *names))
+    return _merge(found, [*keys, "_a", "_b"], parts)
 
 
 def _partials(points: DataFrame, instants: DataFrame, keys: Sequence[str], span: Interval,
@@ -141,22 +151,16 @@ def _partials(points: DataFrame, instants: DataFrame, keys: Sequence[str], span:
     low, high = f"_t + {span.start}L", f"_t + {span.end}L"
     if span.length == 0:
         return points.selectExpr("*", f"{low} as _ts").join(instants, [*keys, "_ts"]).select(*k, "_t", *names)
-    width = tile or tile_length(span.length)
-    if span.length % width:
-        raise ValueError(f"tile of {width} µs does not divide the interval of {span.length} µs")
-    run = span.length // width - 1
-
-    in_tile = f"{_floor_div('_ts', width)} as _tile"
+    widths = tile_widths(span.length, tile)
+    in_tile = f"{_floor_div('_ts', widths[0])} as _tile"
     placed = instants.selectExpr("*", f"{_ITEM} as _kind", in_tile)
     probes = _probes(points, [*k, "_t"], {_TAIL: low, _HEAD: high}, "_ts", placed, parts).selectExpr("*", in_tile)
-    rows = placed.unionByName(probes, allowMissingColumns=True)
-    if run:
-        homes = points.selectExpr(*k, f"{_floor_div(low, width)} as _home")
-        middle = _whole_tiles(homes, _merge(placed, [*keys, "_tile"], parts), keys, run, parts)
-        # placed just past the first tile's end, the middle joins every tail of that tile and no head
-        past = middle.selectExpr(*k, "_home as _tile", f"(_home + 1) * {width}L as _ts", f"{_ITEM} as _kind", *names)
-        rows = rows.unionByName(past, allowMissingColumns=True)
-    return _merge(_scan(rows, [*keys, "_tile"], "_ts", parts), [*keys, "_t"], parts)
+    edges = _scan(placed.unionByName(probes, allowMissingColumns=True), [*keys, "_tile"], "_ts", parts)
+    homes = points.selectExpr(*k, "_t", f"{_floor_div(low, widths[0])} as _a", f"{_floor_div(high, widths[0])} as _b")
+    whole = _between(homes.select(*k, "_a", "_b").distinct(), _merge(placed, [*keys, "_tile"], parts), keys, widths,
+                     span.length, parts)
+    middle = homes.join(whole, [*keys, "_a", "_b"]).select(*k, "_t", *names)
+    return _merge(edges.select(*k, "_t", *names).unionByName(middle), [*keys, "_t"], parts)
 
 
 def interval_stats(
@@ -174,9 +178,11 @@ def interval_stats(
 
     stat: `rows` (series rows in the interval, column None), `count` (non-missing values), `mean`,
     `min`, `max`, `std` (population). Intervals without values give null, `rows`/`count` give 0.
-    A null event time, or a null key, matches nothing. DECIMAL columns are summed exactly;
-    other columns are summed as DOUBLE around their overall mean when `std` is asked for, which keeps
-    about eight digits of a deviation relative to the distance from that mean.
+    A null event time, or a null key, matches nothing. `tile` sets the smallest tile in microseconds.
+    DECIMAL columns are summed exactly, for `std` as distances from their overall mean rounded to their
+    scale; totals that 38 digits can't hold are an error. Other columns are summed as DOUBLE, for `std`
+    around their overall mean, which keeps about eight digits of a deviation relative to the distance
+    from that mean.
     """
     keys = list(keys)
     for frame, needed, what in ((events, [event_time, *keys], "events"),
@@ -207,19 +213,21 @@ def interval_stats(
         exact = isinstance(kind, T.DecimalType)
         inputs.append(value.alias(f"_v{i}"))
         shifted = f"_v{i}"
-        if "std" in stats and not exact:
+        if "std" in stats and exact:
+            centre = F.coalesce(series.select(F.round(F.avg(value), kind.scale).cast(kind)).scalar(), F.lit(0).cast(kind))
+            unit = F.lit(10**kind.scale).cast(T.DecimalType(kind.scale + 1, 0))
+            far = (value - centre).cast(T.DecimalType(DIGITS, kind.scale)) * unit
+            inputs.append(far.cast(T.DecimalType(DIGITS, 0)).alias(f"_c{i}"))
+            parts += [_Part(f"_u{i}", f"sum(_c{i})", "sum"), _Part(f"_q{i}", f"sum(_c{i} * _c{i})", "sum")]
+        elif "std" in stats:
             centres[column] = F.coalesce(series.select(F.avg(value)).scalar(), F.lit(0.0))
             inputs.append((value - centres[column]).alias(f"_c{i}"))
             shifted = f"_c{i}"
+            parts.append(_Part(f"_q{i}", f"sum({shifted} * {shifted})", "sum"))
         if stats & {"count", "mean", "std"}:
             parts.append(_Part(f"_n{i}", f"count(_v{i})", "sum"))
-        if stats & {"mean", "std"}:
+        if "mean" in stats or column in centres:
             parts.append(_Part(f"_s{i}", f"sum({shifted})", "sum"))
-        if "std" in stats:
-            square = f"{shifted} * {shifted}"
-            if exact:
-                square = f"cast({square} as decimal(38, {min(2 * kind.scale, 18)}))"
-            parts.append(_Part(f"_q{i}", f"sum({square})", "sum"))
         if "min" in stats or column in centres:
             parts.append(_Part(f"_lo{i}", f"min(_v{i})", "min"))
         if "max" in stats or column in centres:
@@ -245,14 +253,13 @@ def interval_stats(
         mean = f"(cast(_s{i} as double) / nullif(_n{i}, 0))"
         if stat == "mean":
             return (F.expr(mean) + centres[column] if column in centres else F.expr(mean)).alias(name)
-        spread = f"sqrt(greatest(cast(_q{i} as double) / nullif(_n{i}, 0) - {mean} * {mean}, 0D))"
         if column in centres:  # equal values have no spread, whatever the sums lost
+            spread = f"sqrt(greatest(cast(_q{i} as double) / nullif(_n{i}, 0) - {mean} * {mean}, 0D))"
             spread = f"if(_lo{i} = _hi{i}, 0D, {spread})"
-        else:  # n * sum of squares - square of sum, exact as long as it fits
-            scale = series.schema[column].dataType.scale
-            total = f"try_cast(_s{i} as decimal(18, {scale}))"
-            exact = f"try_cast(_n{i} as decimal(15, 0)) * try_cast(_q{i} as decimal(21, {min(2 * scale, 18)}))"
-            spread = f"coalesce(sqrt(cast({exact} - {total} * {total} as double)) / nullif(_n{i}, 0), {spread})"
+        else:  # n * sum of squares - square of sum, in units of the last place: whole numbers
+            total = f"cast(_n{i} as decimal(20, 0)) * _q{i} - _u{i} * _u{i}"
+            total = f"coalesce({total}, raise_error('the squares of {column} need more than 38 digits'))"
+            spread = f"sqrt(cast({total} as double)) / nullif(_n{i}, 0) / {10.0 ** series.schema[column].dataType.scale!r}D"
         return F.expr(f"if(_n{i} > 0, {spread}, null) as `{name}`")
 
     # events without a time match nothing: give them scattered impossible times, not one shared partition
@@ -324,6 +331,8 @@ def window_features(
 ) -> DataFrame:
     """Summary statistics of every present column of `spec` over its interval."""
     present = [c for c in spec.columns if c in series.columns]
+    if absent := [c for c in spec.columns if c not in present]:
+        warnings.warn(f"series lacks {absent}: their statistics are left out", stacklevel=2)
     if not present:
         raise ValueError(f"series has none of the columns {list(spec.columns)}")
     outputs = {spec.name(stat, c): (stat, c) for c in present for stat in spec.stats}

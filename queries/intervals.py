@@ -49,20 +49,17 @@ def stats_keyed_back(spark, d):
 
 
 def exists_forward(spark, d):
-    rare = _purchases(spark, d, MONEY).where("value > 120")
-    return interval_exists(_signups(spark, d), rare, Interval(0, 6), "seen", event_time="ts", series_time="ts").drop("ts")
+    return interval_exists(_signups(spark, d), _purchases(spark, d, MONEY), Interval(0, 72), "seen", event_time="ts", series_time="ts").drop("ts")
 
 
 def exists_back(spark, d):
-    rare = _purchases(spark, d, MONEY).where("value > 120")
-    return interval_exists(_signups(spark, d), rare, Interval(-6, 0), "seen", event_time="ts", series_time="ts").drop("ts")
+    return interval_exists(_signups(spark, d), _purchases(spark, d, MONEY), Interval(-24, 0), "seen", event_time="ts", series_time="ts").drop("ts")
 
 
 def _coverage(spark, d):
-    errors = typed_events(spark, d, "error", "ts", "value").where("value > 150").select("ts")
-    high = _purchases(spark, d, MONEY).where("value > 100")
-    return coverage_table(_signups(spark, d), high, errors, event_time="ts", label_time="ts", label_value="value",
-                          series_time="ts", horizon_hours=12, back_hours=6, threshold=250, period="day(ts)")
+    errors = typed_events(spark, d, "error", "ts")
+    return coverage_table(_signups(spark, d), _purchases(spark, d, MONEY), errors, event_time="ts", label_time="ts", label_value="value",
+                          series_time="ts", horizon_hours=72, back_hours=24, threshold=250, period="day(ts)")
 
 
 def coverage_by_day(spark, d):
@@ -95,6 +92,20 @@ def stats_orders_by_key(spark, d):
                           series_time="l_shipdate", keys=["k"]).drop("o_orderdate")
 
 
+def stats_large_decimals(spark, d):
+    """Values near 1e12 in intervals that hold all purchases of a month."""
+    series = _purchases(spark, d, "cast(1000000000000 + cast(value as decimal(12,2)) as decimal(18,2)) as value")
+    outputs = {"n": ("count", "value"), "mean": ("mean", "value"), "sd": ("std", "value")}
+    return interval_stats(_signups(spark, d), series, Interval(-744, 744), outputs, event_time="ts", series_time="ts").drop("ts")
+
+
+def stats_one_year(spark, d):
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    items = table(spark, d, "lineitem").selectExpr("l_shipdate", "cast(l_extendedprice as decimal(12,2)) as price")
+    outputs = {"n": ("rows", None), "mean": ("mean", "price"), "lo": ("min", "price"), "hi": ("max", "price"), "sd": ("std", "price")}
+    return interval_stats(orders, items, Interval(0, 8760), outputs, event_time="o_orderdate", series_time="l_shipdate").drop("o_orderdate")
+
+
 QUERIES = {
     "interval_max_label": max_label,
     "interval_max_label_keyed": max_label_keyed,
@@ -107,6 +118,8 @@ QUERIES = {
     "range_scores": range_scores,
     "interval_stats_orders_by_date": stats_orders_by_date,
     "interval_stats_orders_by_key": stats_orders_by_key,
+    "interval_stats_large_decimals": stats_large_decimals,
+    "interval_stats_one_year": stats_one_year,
 }
 
 _A = "a AS (SELECT event_id, ts, user_id FROM events WHERE event_type = 'signup')"
@@ -118,10 +131,10 @@ def _mean(c: str) -> str:
 
 
 def _std(c: str) -> str:
-    """From exact decimals; read as text, as only that conversion to DOUBLE is rounded once."""
-    spread = (f"CAST(count({c}) AS DECIMAL(15,0)) * CAST(sum(CAST({c} * {c} AS DECIMAL(38,4))) AS DECIMAL(21,4)) - "
-              f"CAST(sum({c}) AS DECIMAL(18,2)) * CAST(sum({c}) AS DECIMAL(18,2))")
-    return f"CASE WHEN count({c}) > 0 THEN sqrt(CAST(CAST({spread} AS VARCHAR) AS DOUBLE)) / count({c}) END"
+    """From whole hundredths; read as text, as only that conversion to DOUBLE is rounded once."""
+    h = f"CAST({c} * 100 AS HUGEINT)"
+    spread = f"count({c}) * sum({h} * {h}) - sum({h}) * sum({h})"
+    return f"CASE WHEN count({c}) > 0 THEN sqrt(CAST(CAST({spread} AS VARCHAR) AS DOUBLE)) / count({c}) / 100 END"
 
 
 def _four(c: str) -> str:
@@ -130,14 +143,14 @@ def _four(c: str) -> str:
 
 
 _LABEL = "CAST(coalesce(max(s.value) >= {thr}, false) AS INTEGER) AS label_storm"
-_RARE = ("WITH {a}, {s} SELECT a.event_id, count(s.ts) > 0 AS seen FROM a LEFT JOIN s ON s.value > 120 AND "
+_RARE = ("WITH {a}, {s} SELECT a.event_id, count(s.ts) > 0 AS seen FROM a LEFT JOIN s ON "
          "s.ts BETWEEN {between} GROUP BY a.event_id")
 _COVERAGE = f"""
 WITH {_A}, {_S},
-e AS (SELECT ts FROM events WHERE event_type = 'error' AND value > 150),
+e AS (SELECT ts FROM events WHERE event_type = 'error'),
 k AS (SELECT a.event_id, any_value(a.ts) AS ts, count(s.ts) AS n, max(s.value) AS top
-      FROM a LEFT JOIN s ON s.value > 100 AND s.ts BETWEEN a.ts AND a.ts + INTERVAL 12 HOUR GROUP BY a.event_id),
-b AS (SELECT a.event_id, count(e.ts) AS n FROM a LEFT JOIN e ON e.ts BETWEEN a.ts - INTERVAL 6 HOUR AND a.ts
+      FROM a LEFT JOIN s ON s.ts BETWEEN a.ts AND a.ts + INTERVAL 72 HOUR GROUP BY a.event_id),
+b AS (SELECT a.event_id, count(e.ts) AS n FROM a LEFT JOIN e ON e.ts BETWEEN a.ts - INTERVAL 24 HOUR AND a.ts
       GROUP BY a.event_id),
 c AS (SELECT CAST(day(k.ts) AS INTEGER) AS year, count(*) AS cme_total, count(*) FILTER (k.n > 0) AS cme_with_kp,
       count(*) FILTER (b.n > 0) AS cme_with_omni, count(*) FILTER (k.top >= 250) AS storm_count
@@ -169,8 +182,8 @@ ON s.ts BETWEEN a.ts + INTERVAL 24 HOUR AND a.ts + INTERVAL 72 HOUR GROUP BY a.e
 WITH {_A}, {_S} SELECT a.event_id, any_value(a.user_id) AS user_id, count(value) AS n, {_mean('value')} AS mean,
 CAST(min(value) AS DOUBLE) AS lo, {_std('value')} AS sd FROM a LEFT JOIN s ON s.user_id = a.user_id AND
 s.ts BETWEEN a.ts - INTERVAL 2190 MINUTE AND a.ts - INTERVAL 15 MINUTE GROUP BY a.event_id""",
-    "interval_exists_forward": _RARE.format(a=_A, s=_S, between="a.ts AND a.ts + INTERVAL 6 HOUR"),
-    "interval_exists_back": _RARE.format(a=_A, s=_S, between="a.ts - INTERVAL 6 HOUR AND a.ts"),
+    "interval_exists_forward": _RARE.format(a=_A, s=_S, between="a.ts AND a.ts + INTERVAL 72 HOUR"),
+    "interval_exists_back": _RARE.format(a=_A, s=_S, between="a.ts - INTERVAL 24 HOUR AND a.ts"),
     "coverage_by_day": f"{_COVERAGE} SELECT * FROM t",
     "range_scores": f"""{_COVERAGE},
 r AS (SELECT * FROM (VALUES {_RANGE_ROWS}) AS v(start_year, end_year)),
@@ -190,6 +203,18 @@ w AS (SELECT t0, count(qty) AS n, {_mean('qty')} AS mean_qty, CAST(max(price) AS
  {_std('price')} AS std_price FROM t LEFT JOIN s
  ON l_shipdate BETWEEN t0 + INTERVAL 24 HOUR AND t0 + INTERVAL 72 HOUR GROUP BY t0)
 SELECT o_orderkey, n, mean_qty, max_price, std_price FROM orders JOIN w ON t0 = o_orderdate""",
+    "interval_stats_large_decimals": f"""
+WITH {_A}, s AS (SELECT ts, 1000000000000 + CAST(value AS DECIMAL(12,2)) AS value FROM events WHERE event_type = 'purchase')
+SELECT a.event_id, count(value) AS n, (CAST(CAST(sum(value) AS VARCHAR) AS DOUBLE) / count(value)) AS mean, {_std('value')} AS sd
+FROM a LEFT JOIN s ON s.ts BETWEEN a.ts - INTERVAL 744 HOUR AND a.ts + INTERVAL 744 HOUR GROUP BY a.event_id""",
+    "interval_stats_one_year": f"""
+WITH s AS (SELECT l_shipdate, count(*) AS c, sum(p) AS p, sum(h) AS h, sum(h * h) AS hh, min(p) AS lo, max(p) AS hi
+ FROM (SELECT l_shipdate, CAST(l_extendedprice AS DECIMAL(12,2)) AS p, CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS HUGEINT) AS h FROM lineitem) GROUP BY 1),
+t AS (SELECT DISTINCT o_orderdate AS t0 FROM orders),
+w AS (SELECT t0, CAST(coalesce(sum(c), 0) AS BIGINT) AS n, CAST(sum(p) AS DOUBLE) / sum(c) AS mean, CAST(min(lo) AS DOUBLE) AS lo,
+ CAST(max(hi) AS DOUBLE) AS hi, CASE WHEN sum(c) > 0 THEN sqrt(CAST(CAST(sum(c) * sum(hh) - sum(h) * sum(h) AS VARCHAR) AS DOUBLE)) / sum(c) / 100 END AS sd
+ FROM t LEFT JOIN s ON l_shipdate BETWEEN t0 AND t0 + INTERVAL 8760 HOUR GROUP BY t0)
+SELECT o_orderkey, n, mean, lo, hi, sd FROM orders JOIN w ON t0 = o_orderdate""",
     "interval_stats_orders_by_key": f"""
 WITH s AS (SELECT l_orderkey, l_shipdate, CAST(l_extendedprice AS DECIMAL(12,2)) AS price FROM lineitem)
 SELECT o_orderkey AS k, count(l_shipdate) AS n, CAST(min(price) AS DOUBLE) AS lo, {_mean('price')} AS mean

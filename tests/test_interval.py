@@ -103,11 +103,35 @@ def test_hot_instants_and_hot_key(spark):
         same(run(spark, events, series, I.Interval(0, 24), keyed), brute(events, series, I.Interval(0, 24), keyed))
 
 
-def test_tile_length_divides():
-    for hours in (1, 6, 24, 48, 72, 0.25, 24 * 365):
-        length = I.Interval(0, hours).length
-        tile = I.tile_length(length)
-        assert length % tile == 0 and tile <= max(length // 2, 1) and tile <= 2 * I.TILE
+def test_levels_bound_window_partitions():
+    """For any length a group of tiles, and the tiles of the top level in an interval, stay below a fixed number."""
+    for length in [I.Interval(0, h).length for h in (1, 6, 24, 48, 72, 0.25, 4380, 8760, 87_600)] + [1, 2, 59_999_999, 1_000_000_007]:
+        widths = I.tile_widths(length)
+        assert widths[0] <= I.TILE and widths[-1] <= length and length // widths[-1] < I.FAN or length // widths[-1] == 1
+        assert all(b == a * I.FAN for a, b in zip(widths, widths[1:]))
+
+
+@pytest.mark.parametrize("fan", [2, 3, 5])
+def test_many_levels(spark, fan, monkeypatch):
+    """Narrow groups: short tiles, and intervals whose length no tile divides, go through several levels."""
+    monkeypatch.setattr(I, "FAN", fan)
+    rnd = random.Random(fan)
+    moment = lambda: T0 + timedelta(microseconds=rnd.randint(-3000, 3000))
+    events = [(i, rnd.choice("ab"), moment()) for i in range(80)]
+    series = [(rnd.choice("abc"), moment(), rnd.choice([None, round(rnd.uniform(-9, 9), 2)])) for _ in range(300)]
+    for length, tile in ((1009, 7), (997, 1), (64, 8), (63, 8), (5, 100)):
+        start = rnd.randint(-500, 500)
+        span = I.Interval(start / I.HOUR, (start + length) / I.HOUR)
+        assert span.length == length
+        same(run(spark, events, series, span, True, tile), brute(events, series, span, True))
+
+
+def test_decimal_spread_of_large_values(spark):
+    series = [("a", T0 + timedelta(seconds=i), float(10**12 + i % 2)) for i in range(1000)]
+    assert run(spark, [(1, "a", T0)], series, I.Interval(0, 1), kind="decimal(18,2)")[1][5] == 0.5
+    wide = [("a", T0 + timedelta(seconds=i), v) for i, v in enumerate((-9e17, 9e17))]
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|38 digits"):
+        run(spark, [(1, "a", T0)], wide * 3, I.Interval(0, 1), kind="decimal(22,2)")
 
 
 def test_label(spark):

@@ -22,18 +22,21 @@ def time_micros(df: DataFrame, name: str) -> Column:
 
 
 def from_year_day(year: Column, day: Column, hour: Column, minute: Column) -> Column:
-    """Timestamp from year, day of year (1 = 1 January), hour and minute."""
-    zero = F.lit(0)
-    start = F.make_timestamp(year.cast("int"), F.lit(1), F.lit(1), zero, zero, zero.cast("decimal(8,6)"))
-    return start + F.make_dt_interval(day.cast("int") - 1, hour.cast("int"), minute.cast("int"), zero.cast("decimal(18,6)"))
+    """Timestamp from year, day of year (1 = 1 January), hour and minute; numbers out of range give null."""
+    zero, whole = F.lit(0), lambda c: c.try_cast("int")
+    start = F.unix_micros(F.try_make_timestamp(whole(year), F.lit(1), F.lit(1), zero, zero, zero.cast("decimal(8,6)")))
+    minutes = F.try_add(F.try_multiply(F.try_add(F.try_multiply(whole(day).cast("bigint") - 1, F.lit(24)), whole(hour)), F.lit(60)), whole(minute))
+    return F.timestamp_micros(start + minutes * F.lit(60_000_000))
 
 
 def from_date_and_hours(year: Column, month: Column, day: Column, hours: Column) -> Column:
-    """Timestamp from a calendar date plus fractional hours; impossible dates give null."""
+    """Timestamp from a calendar date plus fractional hours; impossible dates and hours give null."""
     zero = F.lit(0)
-    midnight = F.unix_micros(F.try_make_timestamp(year.cast("int"), month.cast("int"), day.cast("int"), zero, zero,
+    midnight = F.unix_micros(F.try_make_timestamp(*(c.try_cast("int") for c in (year, month, day)), zero, zero,
                                                   zero.cast("decimal(8,6)")))
-    return F.timestamp_micros(midnight + F.round(hours * F.lit(float(HOUR))).cast("bigint"))
+    # no instant that a timestamp can hold is as many hours away
+    near = F.when(F.abs(hours) < 1e8, hours)
+    return F.timestamp_micros(midnight + F.round(near * F.lit(float(HOUR))).cast("bigint"))
 
 
 def minutes_between(df: DataFrame, begin: str, end: str) -> Column:

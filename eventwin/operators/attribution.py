@@ -20,14 +20,12 @@ from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from eventwin.operators.scan import _q
+from eventwin.operators.scan import _q, _text
 from eventwin.session import shared_dir
 
 # executors get the functions below by value and need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-TABLE_BITS = 6  # longer paths are tabulated for the patterns that occur only
-
 
 def linear_attribution(df: DataFrame, weights: dict[str, float]) -> DataFrame:
     """`df` plus `phi`: array of weight · (value − mean), in the order of `weights`; missing values count as the mean."""
@@ -43,7 +41,7 @@ def logistic_weights(model: PipelineModel, features: Sequence[str]) -> dict[str,
 def importance(attributed: DataFrame, features: Sequence[str]) -> DataFrame:
     """(feature, mean_abs_shap, rank), largest first; equal values are ranked by name."""
     means = attributed.agg(*[F.expr(f"avg(abs(phi[{i}])) as a{i}") for i in range(len(features))])
-    cells = ", ".join(f"'{c}', a{i}" for i, c in enumerate(features))
+    cells = ", ".join(f"{_text(c)}, a{i}" for i, c in enumerate(features))
     return rank_importance(means.selectExpr(f"stack({len(features)}, {cells}) as (feature, mean_abs_shap)"))
 
 
@@ -55,7 +53,7 @@ def rank_importance(table: DataFrame, value: str = "mean_abs_shap", feature: str
 def best_rank(ranked: DataFrame, fragment: str, limit: int = 5) -> DataFrame:
     """One row: the best rank among features whose name contains `fragment`, and whether it is within `limit`."""
     return ranked.where(F.col("feature").contains(fragment)).agg(F.min("rank").alias("best_rank")).selectExpr(
-        f"'{fragment}' as fragment", "best_rank", f"coalesce(best_rank <= {limit}, false) as passed")
+        f"{_text(fragment)} as fragment", "best_rank", f"coalesce(best_rank <= {limit}, false) as passed")
 
 
 def dependence(attributed: DataFrame, features: Sequence[str], feature: str, colour: str | None = None,
@@ -130,22 +128,24 @@ def _patterns(codes: np.ndarray, d: int) -> np.ndarray:
     return ((codes[:, None] >> np.arange(d)) & 1).astype(float)
 
 
-def shapley_values(x: np.ndarray, leaves: list[tuple], tables: dict[int, np.ndarray]) -> np.ndarray:
-    """Attributions of the rows of `x`; `tables` keeps the per-leaf results between calls."""
+def shapley_values(x: np.ndarray, leaves: list[tuple], tables: dict[int, dict[int, np.ndarray]]) -> np.ndarray:
+    """Attributions of the rows of `x`; `tables` keeps each leaf's results by pattern between calls.
+
+    Rows go where the model sends them: left unless the value is above the limit, NaN to the right.
+    """
     phi = np.zeros(x.shape)
     for n, (feats, lo, hi, ratio, value) in enumerate(leaves):
         d = len(feats)
         if d == 0 or value == 0.0:
             continue
-        on_path = (x[:, feats] > lo) & (x[:, feats] <= hi)
-        code = on_path @ (1 << np.arange(d))
-        if d <= TABLE_BITS:
-            if n not in tables:
-                tables[n] = value * _shares(_patterns(np.arange(1 << d), d), ratio)
-            phi[:, feats] += tables[n][code]
-        else:
-            seen, where = np.unique(code, return_inverse=True)
-            phi[:, feats] += (value * _shares(_patterns(seen, d), ratio))[where]
+        given = x[:, feats]
+        on_path = (~(given <= lo) | np.isneginf(lo)) & ((given <= hi) | np.isposinf(hi))
+        seen, where = np.unique(on_path @ (1 << np.arange(d)), return_inverse=True)
+        known = tables.setdefault(n, {})
+        new = np.array([c for c in seen if c not in known], dtype=int)
+        if len(new):
+            known.update(zip(new.tolist(), value * _shares(_patterns(new, d), ratio)))
+        phi[:, feats] += np.array([known[c] for c in seen.tolist()])[where]
     return phi
 
 
@@ -166,7 +166,7 @@ def tree_attribution(df: DataFrame, model: PipelineModel, features: Sequence[str
     rows = df.select(*_q(keep), *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables: dict[int, np.ndarray] = {}
+        tables: dict[int, dict[int, np.ndarray]] = {}
         for batch in batches:
             phi = shapley_values(batch[columns].to_numpy(dtype=float), shipped.value, tables)
             yield batch.assign(phi=list(phi), base=base)

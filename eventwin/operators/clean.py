@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -51,18 +52,22 @@ def merge_categories(df: DataFrame, column: str, *, missing: str, merge: Mapping
     return df.withColumn(column, filled)
 
 
-def levels_of(df: DataFrame, column: str, limit: int = 1000) -> list[str]:
-    """Sorted distinct values; more than `limit` is an error, as each becomes a column."""
-    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(found) > limit:
+def levels_of(df: DataFrame, column: str, limit: int | None = None) -> list[str]:
+    """Sorted distinct values, each of which becomes a column; more than `limit`, if given, is an error."""
+    found = df.select(column).where(F.col(column).isNotNull()).distinct()
+    found = (found if limit is None else found.limit(limit + 1)).collect()
+    if limit is not None and len(found) > limit:
         raise ValueError(f"column '{column}' has more than {limit} levels")
     return sorted(row[0] for row in found)
 
 
 def one_hot(df: DataFrame, column: str, prefix: str, levels: Sequence[str] | None = None,
-            drop_first: bool = True) -> DataFrame:
-    """Replace `column` by 0/1 columns `<prefix>_<level>`; levels come from the data unless given."""
-    names = list(levels) if levels is not None else levels_of(df, column)
+            drop_first: bool = True, max_levels: int | None = None) -> DataFrame:
+    """Replace `column` by 0/1 columns `<prefix>_<level>`; levels come from the data unless given.
+
+    More levels in the data than `max_levels`, if given, are an error.
+    """
+    names = list(levels) if levels is not None else levels_of(df, column, max_levels)
     flags = {f"{prefix}_{v}": F.coalesce(F.col(column) == F.lit(v), F.lit(False)).cast("int")
              for v in names[1 if drop_first else 0:]}
     return df.withColumns(flags).drop(column) if flags else df.drop(column)
@@ -95,6 +100,8 @@ def features_and_label(df: DataFrame, features: Sequence[str] | None = None, *,
     """Keys, feature columns (absent ones skipped) and the integer label in one table, never two to be zipped."""
     require(df, [label, *keys], "feature table")
     chosen = feature_columns(df, label=label, metadata=metadata, keys=keys) if features is None else features
+    if absent := [c for c in chosen if c not in df.columns]:
+        warnings.warn(f"feature table lacks {absent}: they are left out", stacklevel=2)
     return df.select(*_q(keys), *_q([c for c in chosen if c in df.columns]), F.col(label).cast("int"))
 
 

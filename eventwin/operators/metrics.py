@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventwin.operators.scan import _q, running_totals
+from eventwin.operators.scan import _q, _text, running_totals
 
 GROUP = ("model", "split")
 
@@ -134,7 +134,12 @@ def thin_curve(curve: DataFrame, by: Sequence[str], x: str, y: str, bins: int =
 
 def evaluate(df: DataFrame, by: Sequence[str] = GROUP, label: str = "label", prediction: str = "prediction",
              score: str = "score", digits: int | None = None) -> DataFrame:
-    """The score table: model, split, f1_storm, precision, recall, auc_roc, avg_prec, tp, fp, tn, fn."""
+    """The score table: model, split, f1_storm, precision, recall, auc_roc, avg_prec, tp, fp, tn, fn, n_unscored.
+
+    Rows without a label or with a null or NaN score enter no figure but `n_unscored`.
+    """
+    lacking = f"`{score}` is null or isnan(`{score}`) or `{label}` is null"
+    every = df.groupBy(*_q(by)).agg(F.expr(f"count_if({lacking}) as n_unscored"))
     counts = _counts(df, by, label, score, prediction)
     cells = [F.expr(f"sum(if(prediction = {p}, {side}, 0L)) as {name}")
              for name, side, p in (("tp", "pos", 1), ("fp", "neg", 1), ("tn", "neg", 0), ("fn", "pos", 0))]
@@ -144,9 +149,10 @@ def evaluate(df: DataFrame, by: Sequence[str] = GROUP, label: str = "label", pre
     def shown(name: str, source: str) -> str:
         return f"round({source}, {digits}) as {name}" if digits is not None else f"{source} as {name}"
 
-    return basics.join(areas, list(by)).selectExpr(
+    measured = every.join(basics, list(by), "left").join(areas, list(by), "left")
+    return measured.selectExpr(
         *_q(by), shown("f1_storm", "f1"), shown("precision", "precision"), shown("recall", "recall"),
-        shown("auc_roc", "auc_roc"), shown("avg_prec", "avg_prec"), "tp", "fp", "tn", "fn")
+        shown("auc_roc", "auc_roc"), shown("avg_prec", "avg_prec"), "tp", "fp", "tn", "fn", "n_unscored")
 
 
 def evaluate_threshold_rule(df: DataFrame, below: Mapping[str, float], above: Mapping[str, float], *,
@@ -154,7 +160,7 @@ def evaluate_threshold_rule(df: DataFrame, below: Mapping[str, float], above: Ma
                             digits: int | None = None) -> DataFrame:
     """Score row of the threshold rule on raw-unit columns; its 0/1 prediction is also its score."""
     ruled = threshold_rule(df, below, above).selectExpr(
-        f"'{model}' as model", f"'{split}' as split", f"`{label}` as label", "prediction", "prediction as score")
+        f"{_text(model)} as model", f"{_text(split)} as split", f"`{label}` as label", "prediction", "prediction as score")
     return evaluate(ruled, digits=digits).drop("avg_prec")
 
 
@@ -171,7 +177,7 @@ def best_model(scores: DataFrame, metric: str = "f1_storm") -> DataFrame:
 def compare_variants(scores: DataFrame, full: str, reduced: str,
                      metrics: Sequence[str] = ("f1_storm", "precision", "recall", "auc_roc")) -> DataFrame:
     """Two models side by side: metric, full, reduced, delta."""
-    cells = ", ".join(f"'{m}', cast(`{m}` as double)" for m in metrics)
+    cells = ", ".join(f"{_text(m)}, cast(`{m}` as double)" for m in metrics)
     long = scores.selectExpr("model", f"stack({len(metrics)}, {cells}) as (metric, value)")
     wide = long.where(F.col("model").isin(full, reduced)).groupBy("metric").agg(
         F.max(F.when(F.col("model") == full, F.col("value"))).alias("full"),

@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from eventwin.operators.metrics import compare_variants, evaluate, union_scores
-from eventwin.operators.scan import _q
+from eventwin.operators.scan import _q, _text
 from eventwin.sources.sinks import staged
 
 WEIGHT = "_weight"
@@ -81,7 +81,7 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 def score_model(model: PipelineModel, df: DataFrame, name: str, *, label: str = "label_storm", split: str = "split",
                 digits: int | None = None) -> DataFrame:
     """The model's row of the score table for every split in `df`. Predictions are made once and staged."""
-    rows = predict(model, df).selectExpr(f"'{name}' as model", f"`{split}` as split", f"`{label}` as label",
+    rows = predict(model, df).selectExpr(f"{_text(name)} as model", f"`{split}` as split", f"`{label}` as label",
                                          "prediction", "score")
     return evaluate(staged(rows, "predictions"), digits=digits)
 

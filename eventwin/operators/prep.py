@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
+from math import isfinite
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventwin.operators.clean import column_kinds, levels_of
 from eventwin.operators.scan import _q, exact_quantiles
@@ -30,15 +31,15 @@ class ColumnFit:
     mode: str | None = None
     levels: list[str] = field(default_factory=list)
 
-    def outputs(self) -> list[tuple[str, str]]:
-        """(output name, SQL expression)"""
-        c = f"`{self.column}`"
+    def outputs(self) -> list[tuple[str, Column]]:
+        """(output name, value)"""
+        given = F.col(f"`{self.column}`")
         if self.kind == "categorical":
-            value = f"coalesce(cast({c} as string), '{self.mode}')"
-            return [(f"{self.column}_{v}", f"if({value} = '{v}', 1D, 0D)") for v in self.levels]
-        value = f"coalesce(nanvl(cast({c} as double), null), {self.median!r}D)"
+            value = F.coalesce(given.cast("string"), F.lit(self.mode))
+            return [(f"{self.column}_{v}", F.when(value == v, 1.0).otherwise(0.0)) for v in self.levels]
+        value = F.coalesce(F.nanvl(given.cast("double"), F.lit(None)), F.lit(self.median))
         if self.scaled:
-            value = f"({value} - ({self.mean!r}D)) / {(self.std or 1.0)!r}D"
+            value = (value - F.lit(self.mean)) / F.lit(self.std or 1.0)
         return [(self.column, value)]
 
 
@@ -52,7 +53,7 @@ class Preprocessor:
 
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """`keep` columns as they are, then every output feature; other columns are dropped."""
-        return df.selectExpr(*_q(keep), *[f"{expr} as `{name}`" for c in self.columns for name, expr in c.outputs()])
+        return df.select(*_q(keep), *[value.alias(name) for c in self.columns for name, value in c.outputs()])
 
     def save(self, spark: SparkSession, path: str) -> None:
         rows = [(i, *asdict(c).values()) for i, c in enumerate(self.columns)]
@@ -76,24 +77,29 @@ def most_frequent(train: DataFrame, column: str) -> str | None:
     return top[0]["v"] if top else None
 
 
-def fit_preprocessor(train: DataFrame, features: Sequence[str], *, scale: bool = True) -> Preprocessor:
+def fit_preprocessor(train: DataFrame, features: Sequence[str], *, scale: bool = True, max_levels: int | None = None
+                     ) -> Preprocessor:
     """Median imputation and (optionally) standardisation of numeric columns with the population
     deviation, a constant column being divided by 1; commonest-value imputation and one-hot encoding
-    of categorical ones. A column without any training value is left out."""
+    of categorical ones. A column without any training value is left out; infinite training values are an
+    error, and so are more categories of a column than `max_levels`, if given."""
     numeric, categorical = column_kinds(train, features)
     middle = medians(train, numeric)
     numeric = [c for c in numeric if c in middle]
     fits: dict[str, ColumnFit] = {}
     if numeric:
-        filled = train.selectExpr(*[f"coalesce(nanvl(cast(`{c}` as double), null), {middle[c]!r}D) as x{i}"
+        filled = train.selectExpr(*[f"coalesce(nanvl(cast(`{c}` as double), null), double('{middle[c]!r}')) as x{i}"
                                     for i, c in enumerate(numeric)])
         stats = filled.agg(*[F.expr(f"avg(x{i}) as m{i}") for i in range(len(numeric))],
                            *[F.expr(f"stddev_pop(x{i}) as s{i}") for i in range(len(numeric))]).first()
+        endless = [c for i, c in enumerate(numeric) if not (isfinite(stats[f"m{i}"]) and isfinite(stats[f"s{i}"]) and isfinite(middle[c]))]
+        if endless:
+            raise ValueError(f"infinite training values in {endless}")
         for i, c in enumerate(numeric):
             fits[c] = ColumnFit(c, "numeric", scale, middle[c], stats[f"m{i}"], stats[f"s{i}"])
     for c in categorical:
         mode = most_frequent(train, c)
         if mode is not None:
             texts = train.select(F.col(c).cast("string").alias(c))
-            fits[c] = ColumnFit(c, "categorical", mode=mode, levels=levels_of(texts, c))
+            fits[c] = ColumnFit(c, "categorical", mode=mode, levels=levels_of(texts, c, max_levels))
     return Preprocessor(tuple(fits[c] for c in [*numeric, *categorical] if c in fits))

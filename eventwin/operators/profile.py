@@ -9,9 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from eventwin.operators.clean import column_kinds
-from eventwin.operators.scan import _q, _unit, exact_quantiles
-
-ONE_PASS_PAIRS = 300  # correlations computed by one aggregate before the compiled plan gets too large
+from eventwin.operators.scan import _q, _text, _unit, exact_quantiles
 
 
 def _missing(df: DataFrame, column: str) -> str:
@@ -20,7 +18,7 @@ def _missing(df: DataFrame, column: str) -> str:
 
 
 def _long(df: DataFrame, named: Mapping[str, str]) -> DataFrame:
-    cells = ", ".join(f"'{name}', cast({expr} as double)" for name, expr in named.items())
+    cells = ", ".join(f"{_text(name)}, cast({expr} as double)" for name, expr in named.items())
     return df.selectExpr(f"stack({len(named)}, {cells}) as (column, v)").where("v is not null and not isnan(v)")
 
 
@@ -127,23 +125,13 @@ def box_outliers(df: DataFrame, features: Sequence[str], label: str = "label_sto
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson r of every column pair over the rows where both have values: (a, b, n, r), a before b.
 
-    r is null where a column is constant. Few columns take one built-in aggregate; wide tables
-    take one pass in which every task adds up co-moment matrices and emits one row per pair.
+    r is null where a column is constant. One pass in which every task adds up co-moment matrices and
+    emits one row per pair, whatever the number of columns.
     """
     names = list(columns) if columns is not None else column_kinds(df)[0]
     if len(names) < 2:
         raise ValueError("correlations need at least two numeric columns")
     rows = df.selectExpr(*[f"if({_missing(df, c)}, null, cast(`{c}` as double)) as x{i}" for i, c in enumerate(names)])
-    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))]
-    if len(pairs) <= ONE_PASS_PAIRS:
-        aggregates = [F.expr(
-            f"struct(count(if(x{i} is null, null, x{j})) as n, covar_pop(x{i}, x{j}) / nullif(stddev_pop("
-            f"if(x{j} is null, null, x{i})) * stddev_pop(if(x{i} is null, null, x{j})), 0D) as r) as p{i}_{j}")
-            for i, j in pairs]
-        cells = ", ".join(f"struct('{names[i]}' as a, '{names[j]}' as b, p{i}_{j}.n as n, p{i}_{j}.r as r)"
-                          for i, j in pairs)
-        return rows.agg(*aggregates).selectExpr(f"inline(array({cells}))")
-
     centre = rows.agg(F.struct(*[F.avg(f"x{i}").alias(f"x{i}") for i in range(len(names))])).scalar()
     centred = rows.withColumn("m", centre).selectExpr(*[f"x{i} - m.x{i} as x{i}" for i in range(len(names))])
     upper = np.triu_indices(len(names), 1)
@@ -164,7 +152,7 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
     sums = centred.mapInPandas(moments, schema).groupBy("i", "j").agg(
         *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
-    listed = "array(" + ", ".join(f"'{n}'" for n in names) + ")"
+    listed = "array(" + ", ".join(map(_text, names)) + ")"
     spread = "sqrt(greatest(n * sxx - sx * sx, 0D)) * sqrt(greatest(n * syy - sy * sy, 0D))"
     return sums.selectExpr(f"{listed}[i] as a", f"{listed}[j] as b", "cast(n as bigint) as n",
                            f"(n * sxy - sx * sy) / nullif({spread}, 0D) as r")
@@ -175,7 +163,7 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 def _missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     counted = df.agg(F.expr("count(1) as n"), *[F.expr(f"count_if({_missing(df, c)}) as m{i}")
                                                 for i, c in enumerate(columns)])
-    cells = ", ".join(f"'{c}', m{i}" for i, c in enumerate(columns))
+    cells = ", ".join(f"{_text(c)}, m{i}" for i, c in enumerate(columns))
     return counted.selectExpr("n", f"stack({len(columns)}, {cells}) as (column, missing)")
 
 

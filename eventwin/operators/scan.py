@@ -20,6 +20,11 @@ def _q(names: Sequence[str]) -> list[str]:
     return [f"`{n}`" for n in names]
 
 
+def _text(value: str) -> str:
+    """A string as an SQL literal, whatever characters it holds."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _unit(value: str, lo: str, hi: str) -> str:
     """Position of `value` in [lo, hi] as 0..1; never decreasing in `value`, 0 when lo = hi."""
     return f"least(greatest((cast({value} as double) - {lo}) / nullif({hi} - {lo}, 0D), 0D), 1D)"
@@ -76,7 +81,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str] | Mapping[str, str], p
     range, a histogram of 4,096 bins, and the values of only those bins that hold a wanted rank.
     """
     named = dict(columns) if isinstance(columns, Mapping) else {c: f"`{c}`" for c in columns}
-    cells = ", ".join(f"'{name}', cast({expr} as double)" for name, expr in named.items())
+    cells = ", ".join(f"{_text(name)}, cast({expr} as double)" for name, expr in named.items())
     long = df.selectExpr(f"stack({len(named)}, {cells}) as (column, v)").where("v is not null and not isnan(v)")
     # one row per requested column
     finite = "if(abs(v) < double('infinity'), v, null)"

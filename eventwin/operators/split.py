@@ -33,10 +33,12 @@ def excluded_rows(df: DataFrame, **years: int) -> DataFrame:
 
 def split_summary(df: DataFrame, features: Sequence[str], *, label: str = "label_storm", year: str = "year"
                   ) -> DataFrame:
-    """Per split: rows, features, positives, positive rate, first and last year, share of all rows."""
+    """Per split, empty ones too: rows, features, positives, positive rate, first and last year, share of all rows."""
     rows = df.groupBy("split").agg(
         F.expr("count(1) as n_rows"), F.expr(f"sum(cast(`{label}` as bigint)) as n_storms"),
         F.expr(f"min(`{year}`) as year_min"), F.expr(f"max(`{year}`) as year_max"))
-    return rows.selectExpr("split", "n_rows", f"{len(features)} as n_features", "n_storms",
-                           "round(cast(n_storms as double) / n_rows, 4) as storm_rate", "year_min", "year_max",
-                           "round(100D * n_rows / sum(n_rows) over (), 1) as pct_of_rows")  # one row per split
+    named = df.sparkSession.createDataFrame([(s,) for s in SPLITS], "split string")
+    every = named.join(rows, "split", "full").fillna(0, ["n_rows", "n_storms"])
+    return every.selectExpr("split", "n_rows", f"{len(features)} as n_features", "n_storms",
+                           "round(cast(n_storms as double) / nullif(n_rows, 0), 4) as storm_rate", "year_min", "year_max",
+                           "round(100D * n_rows / nullif(sum(n_rows) over (), 0), 1) as pct_of_rows")  # one row per split

@@ -124,8 +124,8 @@ _BASE_ROWS = f"""SELECT 'physics_baseline' AS model, 'validation' AS split, {_Y}
 CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_totalprice END > 250000, false) AS INTEGER) AS prediction FROM orders
 WHERE year(o_orderdate) = 1999"""
 _BASELINE = f"""WITH r AS (SELECT *, prediction AS score FROM ({_BASE_ROWS})), {_CR}, {_AR}, {_SCORES}
-SELECT model, split, f1_storm, precision, recall, auc_roc, tp, fp, tn, fn FROM scores"""
-_TABLE = f"WITH {_R}, {_CR}, {_AR}, {_SCORES} SELECT * FROM scores"
+SELECT model, split, f1_storm, precision, recall, auc_roc, tp, fp, tn, fn, CAST(0 AS BIGINT) AS n_unscored FROM scores"""
+_TABLE = f"WITH {_R}, {_CR}, {_AR}, {_SCORES} SELECT *, CAST(0 AS BIGINT) AS n_unscored FROM scores"
 
 ORACLES = {
     "confusion": f"WITH {_R}, {_CR} SELECT * FROM c",

@@ -10,13 +10,14 @@ from eventwin.operators.split import assign_split, excluded_rows, split_summary
 from queries.tables import ranked_quantile, table
 
 YEARS = {"train_end": 1998, "val_year": 1999, "test_start": 2000}
+PATTERNS = ("price", "o_order", "key")
 FEATURES = ("price", "gap", "flat", "cust")
 
 
 def orders_with_split(spark, d):
     rows = table(spark, d, "orders").selectExpr(
         "o_orderkey", "year(o_orderdate) as year", "o_totalprice as price", "if(o_orderkey % 3 = 0, null, o_totalprice) as gap",
-        "5D as flat", "cast(o_custkey as double) as cust", "nullif(o_orderpriority, '3-MEDIUM') as priority",
+        "5D as flat", "cast(o_custkey as double) as cust", r"case o_orderpriority when '3-MEDIUM' then null when '5-LOW' then 'O\'Neil' when '2-HIGH' then 'a\\b`c' else o_orderpriority end as priority",
         "if(o_orderstatus = 'F', 1, 0) as label_storm")
     return assign_split(rows, **YEARS)
 
@@ -55,7 +56,16 @@ def one_hot(spark, d):
 
 
 def report(spark, d):
-    return checks.check_splits(orders_with_split(spark, d), FEATURES).withColumn("value", F.expr("round(value, 9)"))
+    """With an empty split, infinities and a label that isn't 0 or 1, which must fail."""
+    rows = orders_with_split(spark, d).withColumns({
+        "flat": F.expr("if(o_orderkey % 97 = 0, double('infinity'), flat)"), "label_storm": F.expr("if(o_orderkey % 101 = 0, 2, label_storm)")})
+    found = checks.check_splits(rows, FEATURES, splits=("train", "validation", "test", "holdout"))
+    return found.withColumn("value", F.expr("round(value, 9)"))
+
+
+def leaks(spark, d):
+    orders = table(spark, d, "orders")
+    return checks.leaky_names(orders, orders.columns, PATTERNS)
 
 
 def nulls(spark, d):
@@ -64,12 +74,12 @@ def nulls(spark, d):
 
 QUERIES = {
     "time_split": split_rows, "time_split_summary": summary, "time_split_excluded": excluded, "impute_median": impute,
-    "standardize": standardise, "mode_impute_onehot": one_hot, "checks_report": report, "null_counts": nulls,
+    "standardize": standardise, "mode_impute_onehot": one_hot, "checks_report": report, "null_counts": nulls, "leaky_names": leaks,
 }
 
 _O = """o AS (SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, o_totalprice AS price,
 CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS gap, CAST(5 AS DOUBLE) AS flat, CAST(o_custkey AS DOUBLE) AS cust,
-nullif(o_orderpriority, '3-MEDIUM') AS priority, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label_storm,
+CASE o_orderpriority WHEN '3-MEDIUM' THEN NULL WHEN '5-LOW' THEN 'O''Neil' WHEN '2-HIGH' THEN 'a\\b`c' ELSE o_orderpriority END AS priority, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label_storm,
 CASE WHEN year(o_orderdate) <= 1998 THEN 'train' WHEN year(o_orderdate) = 1999 THEN 'validation' ELSE 'test' END AS split
 FROM orders)"""
 _TRAIN = "(SELECT gap FROM o WHERE split = 'train')"
@@ -82,7 +92,7 @@ def _scaled(c: str) -> str:
 
 
 _PARAMS = "p AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in FEATURES) + " FROM f WHERE split = 'train')"
-_LEVELS = ("1-URGENT", "2-HIGH", "4-NOT SPECIFIED", "5-LOW")
+_LEVELS = ("1-URGENT", "a\\b`c", "4-NOT SPECIFIED", "O'Neil")
 
 ORACLES = {
     "time_split": f"WITH {_O} SELECT o_orderkey, split FROM o",
@@ -93,14 +103,19 @@ round(100 * CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM o), 1) AS pct_of_ro
     "impute_median": f"WITH {_O}, {_FILLED} SELECT * FROM f",
     "standardize": f"WITH {_O}, {_FILLED}, {_PARAMS} SELECT o_orderkey, split, {', '.join(_scaled(c) for c in FEATURES)} FROM f, p",
     "mode_impute_onehot": f"WITH {_O}, z AS (SELECT o_orderkey, coalesce(priority, {_MODE}) AS v FROM o) SELECT o_orderkey, "
-                          + ", ".join(f"CAST(v = '{v}' AS DOUBLE) AS \"priority_{v}\"" for v in _LEVELS) + " FROM z",
-    "checks_report": f"""WITH {_O}, g AS (SELECT split, count(*) AS n, count(*) - count(gap) AS missing, avg(label_storm) AS rate
-FROM o GROUP BY split)
-SELECT 'rows' AS "check", split, CAST(n AS DOUBLE) AS value, true AS passed FROM g
+                          + ", ".join("CAST(v = '" + v.replace("'", "''") + f"' AS DOUBLE) AS \"priority_{v}\"" for v in _LEVELS) + " FROM z",
+    "checks_report": f"""WITH {_O}, c AS (SELECT split, gap, flat + CASE WHEN o_orderkey % 97 = 0 THEN CAST('inf' AS DOUBLE) ELSE 0 END AS flat,
+CASE WHEN o_orderkey % 101 = 0 THEN 2 ELSE label_storm END AS label FROM o),
+g AS (SELECT s.split, count(c.split) AS n, count(c.split) - count(gap) AS missing, count(*) FILTER (isinf(flat)) AS endless,
+count(*) FILTER (label = 2) AS odd, avg(label) AS rate
+FROM (VALUES ('train'), ('validation'), ('test'), ('holdout')) AS s(split) LEFT JOIN c ON c.split = s.split GROUP BY s.split)
+SELECT 'rows' AS "check", split, CAST(n AS DOUBLE) AS value, n > 0 AS passed FROM g
 UNION ALL SELECT 'features', split, 4, true FROM g
 UNION ALL SELECT 'missing values', split, missing, missing = 0 FROM g
-UNION ALL SELECT 'infinite values', split, 0, true FROM g
-UNION ALL SELECT 'labels not 0/1', split, 0, true FROM g
+UNION ALL SELECT 'infinite values', split, endless, endless = 0 FROM g
+UNION ALL SELECT 'labels not 0/1', split, odd, odd = 0 FROM g
 UNION ALL SELECT 'positive rate', split, round(rate, 9), CASE WHEN rate BETWEEN 0.1 AND 0.9 THEN true END FROM g""",
+    "leaky_names": f"""SELECT c.column_name AS "column", p.pattern FROM information_schema.columns c
+JOIN (VALUES {", ".join(f"('{p}')" for p in PATTERNS)}) AS p(pattern) ON contains(c.column_name, p.pattern) WHERE c.table_name = 'orders'""",
     "null_counts": f"""WITH {_O} SELECT split, 'gap' AS "column", count(*) - count(gap) AS n_missing FROM o GROUP BY split""",
 }

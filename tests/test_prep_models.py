@@ -62,7 +62,11 @@ def test_checks(spark):
     assert got["positive rate", "train"] == (0.5, True)
     with pytest.raises(checks.CheckFailed):
         checks.enforce(checks.check_splits(df, ["x"]))
-    assert checks.enforce(checks.check_splits(df.where("x = 1").withColumn("x", F.lit(1.0)), ["x"]))
+    assert checks.enforce(checks.check_splits(df.where("x = 1").withColumn("x", F.lit(1.0)), ["x"], splits=["train"]))
+    with pytest.raises(checks.CheckFailed, match="rows in test"):
+        checks.enforce(checks.check_splits(df.where("x = 1"), ["x"]))
+    with pytest.raises(checks.CheckFailed, match="features"):
+        checks.enforce(checks.check_splits(df.where("x = 1"), ["x", "y"], splits=["train"]))
     leaks = checks.leaky_names(df, ["x", "kp_max_h72", "my_kp_", "label_storm_2"]).collect()
     assert len(leaks) == 4  # kp_max_h72 matches two patterns
     assert {(r["split"], r["n_missing"]) for r in checks.null_counts(df, ["x"]).collect()} == {("train", 1), ("test", 1)}
@@ -149,7 +153,7 @@ def test_shapley_of_a_path_by_definition():
 
 
 @pytest.mark.parametrize("kind", ["boosted", "forest"])
-def test_tree_attribution_adds_up(spark, matrix, kind, monkeypatch):
+def test_tree_attribution_adds_up(spark, matrix, kind):
     train = matrix.where("split = 'train'")
     model = M.fit_boosted(train, COLUMNS, rounds=6, depth=3) if kind == "boosted" else M.fit_forest(train, COLUMNS, trees=5, depth=5, min_leaf=5)
     rows = {r["id"]: r for r in A.tree_attribution(train, model, COLUMNS, ["id"]).collect()}
@@ -159,9 +163,17 @@ def test_tree_attribution_adds_up(spark, matrix, kind, monkeypatch):
         assert got == pytest.approx(want, abs=1e-9)
     leaves = A.tree_leaves(model, spark)
     x = np.array([[rows[i][c] for c in COLUMNS] for i in sorted(rows)])
-    tabled = A.shapley_values(x, leaves, {})
-    monkeypatch.setattr(A, "TABLE_BITS", 0)
-    assert np.allclose(tabled, A.shapley_values(x, leaves, {}))
+    known = {}
+    assert np.allclose(A.shapley_values(x, leaves, known), np.vstack([A.shapley_values(x[i:i + 1], leaves, known) for i in range(len(x))]))
+    # values that take part in no comparison go where the model sends them
+    odd = spark.createDataFrame([(i, *[v if j == i % 4 else 0.5 for j in range(4)]) for i, v in enumerate([float("nan"), float("-inf"), float("inf")] * 4)],
+                                "id int, " + ", ".join(f"{c} double" for c in COLUMNS)).withColumn("label_storm", F.lit(0))
+    from pyspark.ml.feature import VectorAssembler
+    keeping = type(model)([VectorAssembler(inputCols=COLUMNS, outputCol="features", handleInvalid="keep"), model.stages[-1]])
+    phi = {r["id"]: r["base"] + sum(r["phi"]) for r in A.tree_attribution(odd, model, COLUMNS, ["id"]).collect()}
+    for r in M.predict(keeping, odd).collect():
+        want = 0.5 * np.log(r["score"] / (1 - r["score"])) if kind == "boosted" else r["score"]
+        assert phi[r["id"]] == pytest.approx(want, abs=1e-9)
     ranked = A.importance(A.tree_attribution(train, model, COLUMNS), COLUMNS).collect()
     assert [r["rank"] for r in sorted(ranked, key=lambda r: -r["mean_abs_shap"])] == [1, 2, 3, 4] and ranked[0]["feature"]
 

@@ -67,8 +67,9 @@ def dependence(attributed: DataFrame, features: Sequence[str], feature: str, col
 # trees -----------------------------------------------------------------------------------------
 
 def _leaves(nodes: pd.DataFrame, tree_weight: list[float], classifier: bool) -> list[tuple]:
-    """(features, lower limits, upper limits, cover ratios, value) of every leaf."""
+    """(features, lower limits, upper limits, cover ratios, value) of every leaf; covers are summed row weights."""
     out = []
+    cover = lambda r: float(sum(r.stats) if classifier else r.stats[0])
     for tree, rows in nodes.groupby("tree"):
         node = {r.id: r for r in rows.itertuples()}
         stack = [(0, {})]
@@ -84,7 +85,7 @@ def _leaves(nodes: pd.DataFrame, tree_weight: list[float], classifier: bool) ->
             for child, left in ((here.left, True), (here.right, False)):
                 lo, hi, ratio = path.get(here.feature, (-np.inf, np.inf, 1.0))
                 limits = (lo, min(hi, here.threshold)) if left else (max(lo, here.threshold), hi)
-                stack.append((child, {**path, here.feature: (*limits, ratio * node[child].cover / here.cover)}))
+                stack.append((child, {**path, here.feature: (*limits, ratio * cover(node[child]) / cover(here))}))
     return out
 
 
@@ -93,7 +94,7 @@ def tree_leaves(model: PipelineModel, spark) -> list[tuple]:
     ensemble = model.stages[-1]
     path = f"{shared_dir(spark)}/trees-{uuid.uuid4().hex}"
     ensemble.write().save(path)
-    # Forest leaves hold class counts, boosted leaves a number. Covers are counts of training rows.
+    # Forest nodes hold weights by class; boosted ones weight, sum and sum of squares.
     classifier = type(ensemble).__name__.startswith("RandomForest")
     weights = [1.0 / len(ensemble.trees)] * len(ensemble.trees) if classifier else list(ensemble.treeWeights)
     saved = spark.read.parquet(f"{path}/data")
@@ -101,7 +102,7 @@ def tree_leaves(model: PipelineModel, spark) -> list[tuple]:
         raise ValueError(f"unexpected layout of saved trees: {saved.columns}")
     nodes = saved.selectExpr(
         "treeID as tree", "nodeData.id as id", "nodeData.leftChild as left", "nodeData.rightChild as right",
-        "nodeData.prediction as prediction", "nodeData.impurityStats as stats", "nodeData.rawCount as cover",
+        "nodeData.prediction as prediction", "nodeData.impurityStats as stats",
         "nodeData.split.featureIndex as feature", "get(nodeData.split.leftCategoriesOrThreshold, 0) as threshold",
     ).toPandas()
     return _leaves(nodes, weights, classifier)

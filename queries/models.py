@@ -1,7 +1,12 @@
-"""Training, ablation and tree attribution: no SQL counterpart, checked in the tests by invariants."""
+"""Training, ablation and tree attribution: SQL checks the counts, weights and closed forms, the tests the rest.
+
+Fits are small (8 rounds, 10 trees), named so in the README; the defaults of `eventwin.operators.models` are the full sizes.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from eventwin.operators import attribution as A, models as M
 from eventwin.operators.prep import fit_preprocessor
 from eventwin.operators.split import assign_split
@@ -32,40 +37,102 @@ def _train(m):
     return m.where("split = 'train'")
 
 
+def _counted(model, m, name, weights):
+    """What SQL can tell of a score table: rows and positives that its counts add up to, per split, and the weights used."""
+    w0, w1 = weights
+    return M.score_model(model, m, name).selectExpr(
+        "model", "split", "tp + fp + tn + fn as n_rows", "tp + fn as positives", f"{w0!r}D as weight_0", f"{w1!r}D as weight_1",
+        "auc_roc > 0.5 as better_than_chance")
+
+
+def _balanced(m):
+    n0, n1 = M.class_sizes(_train(m))
+    return (n0 + n1) / (2 * n0), (n0 + n1) / (2 * n1)
+
+
 def logistic(spark, d):
     m = matrix(spark, d)
-    return M.score_model(M.fit_logistic(_train(m), FEATURES), m, "logistic_regression")
+    return _counted(M.fit_logistic(_train(m), FEATURES), m, "logistic_regression", _balanced(m))
 
 
 def forest(spark, d):
     m = matrix(spark, d)
-    return M.score_model(M.fit_forest(_train(m), FEATURES, trees=10, depth=5), m, "random_forest")
+    return _counted(M.fit_forest(_train(m), FEATURES, trees=10, depth=5), m, "random_forest", _balanced(m))
 
 
 def boosted(spark, d):
     m = matrix(spark, d)
-    return M.score_model(M.fit_boosted(_train(m), FEATURES, rounds=8, depth=3), m, "boosted_trees")
+    n0, n1 = M.class_sizes(_train(m))
+    return _counted(M.fit_boosted(_train(m), FEATURES, rounds=8, depth=3), m, "boosted_trees", (1.0, n0 / n1))
 
 
 def ablated(spark, d):
+    """Rows and positives behind both score rows, and whether the comparison is their difference."""
     m = matrix(spark, d)
     fit = lambda train, kept: M.fit_boosted(train, kept, rounds=5, depth=3)
-    return M.ablation(_train(m), m.where("split = 'test'"), FEATURES, DROPPED, fit)[1]
+    scores, compared = M.ablation(_train(m), m.where("split = 'test'"), FEATURES, DROPPED, fit)
+    f1 = compared.where("metric = 'f1_storm'").select("full", "reduced", "delta")
+    return scores.crossJoin(f1).selectExpr(  # one row
+        "model", "tp + fp + tn + fn as n_rows", "tp + fn as positives",
+        "f1_storm = if(model = 'full', full, reduced) and abs(delta - (reduced - full)) < 1e-12 as compared")
 
 
 def tree_importance(spark, d):
+    """Per feature: how many rows were explained, and whether base and attributions add up to the model's margin."""
     m = matrix(spark, d)
     model = M.fit_boosted(_train(m), FEATURES, rounds=8, depth=3)
-    return A.importance(A.tree_attribution(_train(m), model, FEATURES), FEATURES)
+    rows = staged(A.tree_attribution(M.predict(model, _train(m)), model, FEATURES, ["score"]), "attributed")
+    total = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.expr(
+        "max(abs(base + aggregate(phi, 0D, (s, x) -> s + x) - 0.5 * ln(score / (1 - score)))) < 1e-8 as adds_up"))
+    return A.importance(rows, FEATURES).crossJoin(total).selectExpr(  # one row
+        "feature", "mean_abs_shap >= 0 as valued", f"rank between 1 and {len(FEATURES)} as ranked", "n_rows", "adds_up")
 
 
 def tree_dependence(spark, d):
     m = matrix(spark, d)
     model = M.fit_forest(_train(m), FEATURES, trees=5, depth=4)
     rows = A.tree_attribution(_train(m), model, FEATURES, ["o_orderkey"])
-    return A.dependence(rows, FEATURES, "late", "price")
+    return A.dependence(rows, FEATURES, "late", "price").selectExpr("value", "colour", "abs(attribution) <= 1 as bounded")
+
+
+def stump(spark, d):
+    """One tree with one split on a binary feature: its attributions have a closed form."""
+    rows = table(spark, d, "orders").selectExpr("o_orderkey", "if(o_orderstatus = 'F', 1D, 0D) as closed",
+                                                "if(o_totalprice > 200000 or o_orderstatus = 'F' and o_orderkey % 3 = 0, 1, 0) as label_storm")
+    rows = staged(rows, "stump")
+    model = M.fit_boosted(rows, ["closed"], rounds=1, depth=1, rows=1.0, columns=1.0, positive_weight=2.0)
+    return A.tree_attribution(rows, model, ["closed"], ["o_orderkey"]).selectExpr(
+        "o_orderkey", "closed", "round(phi[0], 9) + 0D as phi", "round(base, 9) as base")
 
 
 QUERIES = {"train_logistic": logistic, "train_forest": forest, "train_boosted": boosted, "ablation": ablated,
-           "tree_importance": tree_importance, "tree_dependence": tree_dependence}
-ORACLES: dict[str, str] = {}
+           "tree_importance": tree_importance, "tree_dependence": tree_dependence, "tree_attribution_stump": stump}
+
+_M = """i AS (SELECT l_orderkey, max(l_shipdate) AS shipped FROM lineitem GROUP BY 1),
+m AS (SELECT CASE WHEN year(o_orderdate) <= 1998 THEN 'train' WHEN year(o_orderdate) = 1999 THEN 'validation' ELSE 'test' END AS split,
+o_totalprice AS price, CAST(date_diff('day', o_orderdate, shipped) AS DOUBLE) AS late,
+CASE WHEN coalesce(date_diff('day', o_orderdate, shipped), 0) > 600 OR o_totalprice > 430000 THEN 1 ELSE 0 END AS label
+FROM orders LEFT JOIN i ON l_orderkey = o_orderkey),
+w AS (SELECT CAST(count(*) FILTER (label = 0) AS DOUBLE) AS n0, CAST(count(*) FILTER (label = 1) AS DOUBLE) AS n1 FROM m WHERE split = 'train')"""
+
+
+def _score_sql(name: str, w0: str, w1: str) -> str:
+    return (f"WITH {_M} SELECT '{name}' AS model, split, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS positives, "
+            f"any_value({w0}) AS weight_0, any_value({w1}) AS weight_1, true AS better_than_chance FROM m, w GROUP BY split")
+
+
+_HALF = ("(n0 + n1) / (2 * n0)", "(n0 + n1) / (2 * n1)")
+ORACLES = {
+    "train_logistic": _score_sql("logistic_regression", *_HALF),
+    "train_forest": _score_sql("random_forest", *_HALF),
+    "train_boosted": _score_sql("boosted_trees", "CAST(1 AS DOUBLE)", "n0 / n1"),
+    "ablation": f"""WITH {_M} SELECT model, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS positives, true AS compared
+FROM m, (VALUES ('full'), ('reduced')) AS v(model) WHERE split = 'test' GROUP BY model""",
+    "tree_importance": f"""WITH {_M} SELECT feature, true AS valued, true AS ranked, (SELECT count(*) FROM m WHERE split = 'train') AS n_rows,
+true AS adds_up FROM (VALUES {", ".join(f"('{f}')" for f in FEATURES)}) AS v(feature)""",
+    "tree_attribution_stump": """WITH r AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN CAST(1 AS DOUBLE) ELSE 0 END AS closed,
+CASE WHEN o_totalprice > 200000 OR (o_orderstatus = 'F' AND o_orderkey % 3 = 0) THEN 1 ELSE 0 END AS label FROM orders),
+c AS (SELECT closed, CAST(sum(1 + label) AS DOUBLE) AS cover, sum(CASE WHEN label = 1 THEN 2 ELSE -1 END) AS hit FROM r GROUP BY closed),
+b AS (SELECT sum(hit) / sum(cover) AS base FROM c)
+SELECT o_orderkey, closed, round(hit / cover - base, 9) + 0 AS phi, round(base, 9) AS base FROM r JOIN c USING (closed), b""",
+}

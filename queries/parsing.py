@@ -13,10 +13,11 @@ from queries.tables import table, typed_events
 
 def fixed_width(spark, d):
     lines = table(spark, d, "orders").selectExpr(
-        "if(o_orderkey % 17 = 0, '# comment', if(o_orderkey % 19 = 0, date_format(o_orderdate, 'yyyy MM dd'), "
+        "o_orderkey", "if(o_orderkey % 17 = 0, '# comment', if(o_orderkey % 19 = 0, date_format(o_orderdate, 'yyyy MM dd'), "
         "rpad(concat(date_format(o_orderdate, 'yyyy MM dd'), lpad(format_string('%.1f', cast(o_orderkey % 8 * 3 as double)), "
         "5, ' ')), 46, ' ') || lpad(format_string('%.3f', cast(o_orderkey % 28 as double) / 3), 6, ' '))) as value")
-    parsed = parse_kp_lines(lines, "1996-01-01", "1999-12-31")
+    garbage = "case when o_orderkey % 23 = 0 then overlay(value placing '9e99' from 1) when o_orderkey % 29 = 0 then overlay(value placing '9e99' from 12) else value end"
+    parsed = parse_kp_lines(lines.selectExpr(f"{garbage} as value"), "1996-01-01", "1999-12-31")
     return parsed.select(time_micros(parsed, "time").alias("us"), "kp")
 
 
@@ -49,22 +50,28 @@ def first_analysis(spark, d):
         "if(o_orderkey % 4 = 0, null, o_custkey) as activeRegionNum, "
         "case o_orderkey % 3 when 0 then array() when 1 then null else array("
         "struct(if(o_orderkey % 7 = 0, 'fast', cast(o_totalprice as string)) as speed, o_orderstatus as type, "
-        "cast(o_custkey as double) as latitude, false as isMostAccurate), "
-        "struct('1.5' as speed, 'C' as type, 2D as latitude, true as isMostAccurate)) end as cmeAnalyses)) as doc")
+        "cast(o_custkey as double) as latitude, -1.5D as longitude, o_custkey / 2 as halfAngle, false as isMostAccurate, o_orderpriority as note), "
+        "struct('1.5' as speed, 'C' as type, 2D as latitude, 3D as longitude, 4D as halfAngle, true as isMostAccurate, 'b' as note)) end as cmeAnalyses, "
+        "concat('N', o_custkey) as sourceLocation, concat('x://', o_custkey) as link)) as doc")
     raw = docs.select(F.from_json("doc", EVENT_JSON).alias("r")).select("r.*")
     first, flagged = parse_events(raw), parse_events(raw, pick="flagged").selectExpr("activityID", "analysis_speed as flagged_speed")
     return first.select("activityID", time_micros(first, "startTime").alias("us"), "activeRegionNum", "note",
-                        "analysis_speed", "analysis_type", "analysis_latitude", "analysis_isMostAccurate").join(
+                        "sourceLocation", "link", "analysis_speed", "analysis_type", "analysis_latitude", "analysis_longitude",
+                        "analysis_halfAngle", "analysis_note", "analysis_isMostAccurate").join(
         flagged, "activityID")
 
 
 def flares(spark, d):
     docs = table(spark, d, "orders").selectExpr(
         "to_json(struct(cast(o_orderkey as string) as flrID, date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm'Z'\") as beginTime, "
+        "date_format(o_orderdate + interval 7 minutes, 'yyyy-MM-dd HH:mm:ss') as peakTime, "
+        "if(o_orderkey % 5 = 0, null, date_format(o_orderdate + interval 1 hour, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")) as endTime, "
+        "o_orderpriority as sourceLocation, concat('x://', o_custkey) as link, "
         "concat(substring('CMX', 1 + cast(o_orderkey % 3 as int), 1), o_custkey % 10) as classType, "
         "o_custkey as activeRegionNum)) as doc")
     parsed = parse_flares(docs.select(F.from_json("doc", FLARE_JSON).alias("r")).select("r.*"))
-    return parsed.select("flrID", time_micros(parsed, "beginTime").alias("us"), "classType", "activeRegionNum",
+    return parsed.select("flrID", time_micros(parsed, "beginTime").alias("us"), time_micros(parsed, "peakTime").alias("peak_us"),
+                         time_micros(parsed, "endTime").alias("end_us"), "classType", "sourceLocation", "activeRegionNum", "link",
                          "flare_strength")
 
 
@@ -83,8 +90,11 @@ def wide_table(spark, d):
     return parsed.select(time_micros(parsed, "time").alias("us"), "V", "Np", "T")
 
 
+KINDS = ("click", "error", "purchase", "signup", "view")
+
+
 def combined(spark, d):
-    parts = [typed_events(spark, d, kind, "date_trunc('HOUR', ts) as time", "value as V") for kind in ("click", "view")]
+    parts = [typed_events(spark, d, kind, "date_trunc('HOUR', ts) as time", "value as V") for kind in KINDS]
     out = combine_series(*parts)
     return out.select(time_micros(out, "time").alias("us"), "V")
 
@@ -104,7 +114,7 @@ QUERIES = {
 ORACLES = {
     "fixed_width_parse": """SELECT epoch_us(o_orderdate + to_hours(CAST(o_orderkey % 8 * 3 AS INTEGER))) AS us,
 min(CAST(format('{:.3f}', CAST(o_orderkey % 28 AS DOUBLE) / 3) AS DOUBLE)) AS kp FROM orders
-WHERE o_orderkey % 17 <> 0 AND o_orderkey % 19 <> 0 AND o_orderdate >= DATE '1996-01-01'
+WHERE o_orderkey % 17 <> 0 AND o_orderkey % 19 <> 0 AND o_orderkey % 23 <> 0 AND o_orderkey % 29 <> 0 AND o_orderdate >= DATE '1996-01-01'
 AND o_orderdate + to_hours(CAST(o_orderkey % 8 * 3 AS INTEGER)) < DATE '2000-01-01' GROUP BY 1""",
     "whitespace_parse": """SELECT l_orderkey, l_partkey, l_suppkey,
 epoch_us(l_shipdate + to_hours(l_linenumber) + to_minutes(CAST(l_quantity AS INTEGER))) AS us,
@@ -117,9 +127,12 @@ SELECT CAST(o_orderkey AS VARCHAR) AS "activityID", epoch_us(o_orderdate) AS us,
 CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_custkey AS DOUBLE) END AS "activeRegionNum", o_orderpriority AS note,
 CASE WHEN has AND o_orderkey % 7 <> 0 THEN o_totalprice END AS analysis_speed,
 CASE WHEN has THEN o_orderstatus END AS analysis_type, CASE WHEN has THEN CAST(o_custkey AS DOUBLE) END AS analysis_latitude,
+CASE WHEN has THEN CAST(-1.5 AS DOUBLE) END AS analysis_longitude, CASE WHEN has THEN CAST(o_custkey AS DOUBLE) / 2 END AS "analysis_halfAngle",
+CASE WHEN has THEN o_orderpriority END AS analysis_note, 'N' || CAST(o_custkey AS VARCHAR) AS "sourceLocation", 'x://' || CAST(o_custkey AS VARCHAR) AS link,
 CASE WHEN has THEN false END AS "analysis_isMostAccurate", CASE WHEN has THEN CAST(1.5 AS DOUBLE) END AS flagged_speed FROM c""",
-    "flare_json": """SELECT CAST(o_orderkey AS VARCHAR) AS "flrID", epoch_us(o_orderdate) AS us,
-substr('CMX', CAST(1 + o_orderkey % 3 AS INTEGER), 1) || CAST(o_custkey % 10 AS VARCHAR) AS "classType",
+    "flare_json": """SELECT CAST(o_orderkey AS VARCHAR) AS "flrID", epoch_us(o_orderdate) AS us, epoch_us(o_orderdate + INTERVAL 7 MINUTE) AS peak_us,
+CASE WHEN o_orderkey % 5 <> 0 THEN epoch_us(o_orderdate + INTERVAL 1 HOUR) END AS end_us, o_orderpriority AS "sourceLocation",
+'x://' || CAST(o_custkey AS VARCHAR) AS link, substr('CMX', CAST(1 + o_orderkey % 3 AS INTEGER), 1) || CAST(o_custkey % 10 AS VARCHAR) AS "classType",
 CAST(o_custkey AS DOUBLE) AS "activeRegionNum",
 CASE o_orderkey % 3 WHEN 0 THEN CAST(1e-2 AS DOUBLE) WHEN 1 THEN 1e-1 ELSE 1.0 END * (o_custkey % 10) AS flare_strength
 FROM orders""",
@@ -128,7 +141,7 @@ WHERE event_id % 9 <> 0 AND value / 10 BETWEEN 0 AND 9""",
     "wide_table_parse": """SELECT epoch_us(ts) AS us, value AS "V", CAST(json_extract_string(props, '$.k') AS DOUBLE) AS "Np",
 CAST(NULL AS DOUBLE) AS "T" FROM events WHERE event_id % 10 <> 0""",
     "combine_series": """SELECT epoch_us(t) AS us, v AS "V" FROM (SELECT date_trunc('hour', ts) AS t, value AS v, row_number() OVER
-(PARTITION BY date_trunc('hour', ts) ORDER BY event_type, value) AS rn FROM events WHERE event_type IN ('click', 'view'))
+(PARTITION BY date_trunc('hour', ts) ORDER BY event_type, value) AS rn FROM events WHERE event_type IN ('click', 'error', 'purchase', 'signup', 'view'))
 WHERE rn = 1""",
     "trim_series": """SELECT epoch_us(ts) AS "time", value AS "V", CAST(event_id AS DOUBLE) AS "Np" FROM events""",
 }

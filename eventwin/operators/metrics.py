@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from eventwin.operators.scan import _q, _text, running_totals
 
 GROUP = ("model", "split")
+_FIRST = "pos_before + neg_before = 0"  # no rows have a higher score
 
 
 def threshold_rule(df: DataFrame, below: Mapping[str, float], above: Mapping[str, float],
@@ -75,9 +76,7 @@ def _counts(df: DataFrame, by: Sequence[str], label: str, score: str, prediction
 def _steps(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     steps = counts.groupBy(*_q(by), "threshold").agg(
         F.expr("sum(pos) as pos"), F.expr("sum(neg) as neg"))
-    span = steps.agg(F.expr("struct(min(threshold) as lo, max(threshold) as hi)")).scalar()
-    ranked = running_totals(steps.withColumn("_span", span), "threshold", ["pos", "neg"], by=by, lo="_span.lo",
-                            hi="_span.hi", descending=True).drop("_span")
+    ranked = running_totals(steps, "threshold", ["pos", "neg"], by=by, descending=True)
     return ranked.selectExpr(*_q(by), "threshold", "pos", "neg", "pos_before", "neg_before", "pos_before + pos as tp",
                              "neg_before + neg as fp", "pos_total as p", "neg_total as n")
 
@@ -108,20 +107,17 @@ def ranking_areas(df: DataFrame, by: Sequence[str] = GROUP, **kwargs) -> DataFra
 
 def roc_curve(df: DataFrame, by: Sequence[str] = GROUP, **kwargs) -> DataFrame:
     """(threshold, fpr, tpr) for every distinct score plus the origin (threshold null)."""
-    points = score_steps(df, by, **kwargs).selectExpr(
-        *_q(by), "threshold", "cast(fp as double) / nullif(n, 0) as fpr", "cast(tp as double) / nullif(p, 0) as tpr")
-    origin = points.select(*by).distinct().selectExpr("*", "cast(null as double) as threshold", "0D as fpr", "0D as tpr")
-    return origin.unionByName(points)
+    point = "struct(threshold, cast(fp as double) / nullif(n, 0) as fpr, cast(tp as double) / nullif(p, 0) as tpr)"
+    origin = "struct(cast(null as double) as threshold, 0D as fpr, 0D as tpr)"
+    return score_steps(df, by, **kwargs).selectExpr(*_q(by), f"inline(if({_FIRST}, array({origin}, {point}), array({point})))")
 
 
 def precision_recall_curve(df: DataFrame, by: Sequence[str] = GROUP, **kwargs) -> DataFrame:
     """(threshold, recall, precision, no_skill) for every distinct score plus recall 0 (threshold null)."""
-    points = score_steps(df, by, **kwargs).selectExpr(
-        *_q(by), "threshold", "cast(tp as double) / nullif(p, 0) as recall",
-        "cast(tp as double) / (tp + fp) as precision", "cast(p as double) / (p + n) as no_skill")
-    start = points.select(*by, "no_skill").distinct().selectExpr(
-        "*", "cast(null as double) as threshold", "0D as recall", "1D as precision")
-    return start.unionByName(points)
+    skill = "cast(p as double) / (p + n) as no_skill"
+    point = f"struct(threshold, cast(tp as double) / nullif(p, 0) as recall, cast(tp as double) / (tp + fp) as precision, {skill})"
+    start = f"struct(cast(null as double) as threshold, 0D as recall, 1D as precision, {skill})"
+    return score_steps(df, by, **kwargs).selectExpr(*_q(by), f"inline(if({_FIRST}, array({start}, {point}), array({point})))")
 
 
 def thin_curve(curve: DataFrame, by: Sequence[str], x: str, y: str, bins: int = 200) -> DataFrame:

@@ -1,9 +1,9 @@
 """Running totals in value order and exact quantiles, without a single-task sort.
 
-Values are placed on a grid of 65,536 coarse by 65,536 fine cells. Totals before a value are the
-totals before its coarse cell, plus those before its fine cell within the coarse one, plus those
-before it within the fine cell. Each of the three windows is partitioned, and the first two hold at
-most 65,536 rows per partition. Results never depend on the grid, only the balance does.
+A DOUBLE becomes a whole number in the same order (sign, exponent and mantissa), which is read as four
+digits of 16 bits. Totals before a value are those before its first digit, plus those before its second
+one among values that share the first, and so on. Each of the four windows is partitioned by the digits
+before its own, so none holds more than 65,536 rows of a group, however the values lie.
 """
 
 from __future__ import annotations
@@ -12,8 +12,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-CELLS = 65_536
-BINS = 4_096
+#: Bits below a digit's place, from the first digit to the last.
+SHIFTS = (48, 32, 16, 0)
+#: Bits left out of the bins that quantiles are looked for in: 256 bins for each power of two.
+BIN_SHIFT = 44
 
 
 def _q(names: Sequence[str]) -> list[str]:
@@ -30,64 +32,59 @@ def _unit(value: str, lo: str, hi: str) -> str:
     return f"least(greatest((cast({value} as double) - {lo}) / nullif({hi} - {lo}, 0D), 0D), 1D)"
 
 
-def running_totals(
-    df: DataFrame,
-    order: str,
-    measures: Sequence[str],
-    *,
-    by: Sequence[str] = (),
-    lo: str = "0D",
-    hi: str = "1D",
-    descending: bool = False,
-) -> DataFrame:
-    """`df` (one row per (by, order)) plus `<measure>_before`, the total over rows strictly earlier in
-    order, and `<measure>_total`, that of the whole group.
-
-    `lo` and `hi` are SQL expressions for the usual range of `order`; values outside share the end cells.
-    """
+def sort_key(value: str) -> str:
+    """SQL for a BIGINT in the order of a DOUBLE that isn't NaN; equal only for equal values."""
+    a = f"abs({value})"
+    near = f"greatest(cast(floor(log2({a})) as int), -1022)"  # off by one at most
+    power = f"(case when pow(2D, {near}) > {a} then greatest({near} - 1, -1022) when {a} >= pow(2D, {near} + 1) then {near} + 1 else {near} end)"
+    size = f"({power} + 1023) * 4503599627370496L + cast(({a} / pow(2D, {power}) - 1D) * 4503599627370496D as bigint)"
+    return f"(case when {a} = double('infinity') then 9218868437227405312L when {a} > 0D then {size} else 0L end * if({value} < 0D, -1L, 1L))"
+
+
+def running_totals(df: DataFrame, order: str, measures: Sequence[str], *, by: Sequence[str] = (), descending: bool = False
+                   ) -> DataFrame:
+    """`df` (one row per (by, order), order without null and NaN) plus `<measure>_before`, the total over rows
+    strictly earlier in order, and `<measure>_total`, that of the whole group."""
     direction = "desc" if descending else "asc"
     group, frame = _q(by), "rows between unbounded preceding and 1 preceding"
+    places = [f"_k{i}" for i in range(len(SHIFTS))]
 
-    def before(partition: Sequence[str], position: str, mark: str) -> list[str]:
-        over = f"partition by {', '.join(partition)} " if partition else ""
-        return [f"coalesce(sum(`{m}`) over ({over}order by {position} {direction} {frame}), 0) as `{mark}{m}`"
-                for m in measures]
+    def before(level: int) -> list[str]:
+        partition = [*group, *places[level - 1:level]] if level else group
+        over = f"{'partition by ' + ', '.join(partition) + ' ' if partition else ''}order by {places[level]} {direction} {frame}"
+        return [f"coalesce(sum(`{m}`) over ({over}), 0) as `_b_{m}`" for m in measures]
 
-    def total(frame_: DataFrame, keys: Sequence[str]) -> DataFrame:
-        return frame_.groupBy(*keys).agg(*[F.expr(f"sum(`{m}`) as `{m}`") for m in measures])
-
-    unit = _unit(f"`{order}`", lo, hi)
     # never null: otherwise each use below would get its own null filter and its own read of `df`
-    placed = df.selectExpr("*", f"coalesce(cast(floor({unit} * {CELLS * CELLS}D) as bigint), 0L) as _fine")
-    fine = total(placed, [*group, "_fine"]).selectExpr("*", f"shiftright(_fine, 16) as _coarse")
+    key = f"coalesce({sort_key(f'cast(`{order}` as double)')}, 0L)"
+    rows = df.selectExpr("*", f"{key} as {places[-1]}").selectExpr("*", f"shiftright({places[-1]}, {SHIFTS[-2]}) as {places[-2]}")
+    tables = [rows]
+    for level in range(len(SHIFTS) - 2, -1, -1):
+        sums = tables[0].groupBy(*group, places[level]).agg(*[F.expr(f"sum(`{m}`) as `{m}`") for m in measures])
+        if level:
+            sums = sums.selectExpr("*", f"shiftright({places[level]}, {SHIFTS[level - 1] - SHIFTS[level]}) as {places[level - 1]}")
+        tables.insert(0, sums)
     whole = f"over ({'partition by ' + ', '.join(group) if group else ''})"
-    coarse = total(fine, [*group, "_coarse"]).selectExpr(
-        *group, "_coarse", *before(group, "_coarse", "_c_"), *[f"sum(`{m}`) {whole} as `_n_{m}`" for m in measures])
-    cells = (
-        fine.selectExpr(*group, "_coarse", "_fine", *before([*group, "_coarse"], "_fine", "_f_"))
-        .join(coarse, [*by, "_coarse"])
-        .selectExpr(*group, "_fine", *[f"`_c_{m}` + `_f_{m}` as `_f_{m}`" for m in measures], *[f"`_n_{m}`" for m in measures])
-    )
-    inside = placed.selectExpr("*", *before([*group, "_fine"], f"`{order}`", "_v_"))
-    return inside.join(cells, [*by, "_fine"]).selectExpr(
-        *_q(df.columns), *[f"`_f_{m}` + `_v_{m}` as `{m}_before`" for m in measures],
-        *[f"`_n_{m}` as `{m}_total`" for m in measures])
+    found = tables[0].selectExpr(*group, places[0], *[f"sum(`{m}`) {whole} as `_n_{m}`" for m in measures], *before(0))
+    for level in range(1, len(SHIFTS)):
+        above = found.selectExpr(*group, places[level - 1], *[f"`_b_{m}` as `_a_{m}`" for m in measures], *[f"`_n_{m}`" for m in measures])
+        last = level == len(SHIFTS) - 1
+        kept = [f"`{c}`" for c in df.columns] if last else [*group, places[level]]
+        inner = tables[level].selectExpr(*kept, places[level - 1], *before(level))
+        found = inner.join(above, [*by, places[level - 1]]).selectExpr(
+            *kept, *[f"`_a_{m}` + `_b_{m}` as `_b_{m}`" for m in measures], *[f"`_n_{m}`" for m in measures])
+    return found.selectExpr(*_q(df.columns), *[f"`_b_{m}` as `{m}_before`" for m in measures], *[f"`_n_{m}` as `{m}_total`" for m in measures])
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str] | Mapping[str, str], probs: Sequence[float]) -> DataFrame:
     """Quantiles with linear interpolation: rows (column, prob, value, n); missing values are left out.
 
-    `columns` may map output names to SQL expressions. Three passes over the needed columns: the
-    range, a histogram of 4,096 bins, and the values of only those bins that hold a wanted rank.
+    `columns` may map output names to SQL expressions. Two passes over the needed columns: counts per bin,
+    and the values of only those bins that hold a wanted rank.
     """
     named = dict(columns) if isinstance(columns, Mapping) else {c: f"`{c}`" for c in columns}
     cells = ", ".join(f"{_text(name)}, cast({expr} as double)" for name, expr in named.items())
     long = df.selectExpr(f"stack({len(named)}, {cells}) as (column, v)").where("v is not null and not isnan(v)")
-    # one row per requested column
-    finite = "if(abs(v) < double('infinity'), v, null)"
-    bounds = F.broadcast(long.groupBy("column").agg(F.expr(f"min({finite}) as lo"), F.expr(f"max({finite}) as hi")))
-    binned = long.join(bounds, "column").selectExpr(
-        "*", f"cast(least(floor({_unit('v', 'lo', 'hi')} * {BINS}D), {BINS - 1}) as int) as bin")
+    binned = long.selectExpr("*", f"shiftright({sort_key('v')}, {BIN_SHIFT}) as bin")
 
     wanted = ", ".join(f"{float(p)!r}D" for p in probs)
     counts = binned.groupBy("column", "bin").agg(F.expr("count(1) as c")).selectExpr(
@@ -105,9 +102,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str] | Mapping[str, str], p
     spots = F.broadcast(targets.select("column", "bin").distinct())
     values = binned.join(spots, ["column", "bin"], "left_semi").groupBy("column", "bin", "v").agg(
         F.expr("count(1) as c"))
-    # the grid spans what the bin holds, not what it could hold: outliers cannot crowd it
-    spans = F.broadcast(values.groupBy("column", "bin").agg(F.expr(f"min({finite}) as lo"), F.expr(f"max({finite}) as hi")))
-    ranked = running_totals(values.join(spans, ["column", "bin"]), "v", ["c"], by=["column", "bin"], lo="lo", hi="hi")
+    ranked = running_totals(values, "v", ["c"], by=["column", "bin"])
     hits = ranked.join(F.broadcast(targets), ["column", "bin"]).where("r_bin >= c_before and r_bin < c_before + c")
     # lower and upper neighbour of the wanted position
     ends = hits.groupBy("column", "prob", "n").agg(F.expr("min(v) as a"), F.expr("max(v) as b"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -97,6 +98,8 @@ def combine_series(*parts: DataFrame) -> DataFrame:
 
 def trim_series(df: DataFrame, columns: Sequence[str] = EXPORTED_COLUMNS) -> DataFrame:
     """The wanted columns that exist, as numbers next to `time`."""
+    if absent := [c for c in columns if c not in df.columns]:
+        warnings.warn(f"series lacks {absent}: they are left out", stacklevel=2)
     return df.selectExpr(*[f"`{c}`" if c == "time" else f"cast(`{c}` as double) as `{c}`"
                            for c in columns if c in df.columns])
 
@@ -120,8 +123,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def build_series_once(spark: SparkSession, folder: str, out: str, start_year: int, end_year: int, *,
                       resolution: str = "5min", overwrite: bool = False) -> DataFrame:
-    """Parse the yearly files of `folder` into `out` unless it exists, and return it. A missing year is an error."""
-    if overwrite or not _exists(spark, out):
+    """Parse the yearly files of `folder` into `out` unless it is there in full, and return it. A missing year is an error."""
+    if overwrite or not _exists(spark, f"{out}/_SUCCESS"):  # a folder that a lost job left half-written is built again
         files = [f"{folder}/omni_{resolution}{y}.asc" for y in range(start_year, end_year + 1)]
         missing = [f for f in files if not _exists(spark, f)]
         if missing:

@@ -40,7 +40,8 @@ def times(spark, d):
 
 
 def first_per_time(spark, d):
-    return clean.keep_first(table(spark, d, "lineitem"), ["l_shipdate"], ITEM_KEY).drop("l_shipdate")
+    first = clean.keep_first(table(spark, d, "lineitem"), ["l_shipdate"], ITEM_KEY)
+    return first.select(*ITEM_KEY, time_micros(first, "l_shipdate").alias("us"))
 
 
 def _measures(spark, d):
@@ -102,7 +103,7 @@ WHERE l_tax BETWEEN 0.02 AND 0.05 AND l_quantity BETWEEN 10 AND 20""",
 FROM orders""",
     "lenient_times": """SELECT o_orderkey, CASE WHEN o_orderkey % 5 IN (0, 1, 3) THEN epoch_us(o_orderdate) END AS us
 FROM orders""",
-    "dedupe_first": f"""SELECT {_KEYS} FROM (SELECT *, row_number() OVER (PARTITION BY l_shipdate ORDER BY {_KEYS}) AS rn
+    "dedupe_first": f"""SELECT {_KEYS}, epoch_us(l_shipdate) AS us FROM (SELECT *, row_number() OVER (PARTITION BY l_shipdate ORDER BY {_KEYS}) AS rn
 FROM lineitem) WHERE rn = 1""",
     "all_null_group_drop": f"WITH {_MEASURES} SELECT * FROM m WHERE coalesce(w_tax, w_discount, w_qty) IS NOT NULL",
     "any_of_flag": f"WITH {_MEASURES} SELECT *, w_discount IS NOT NULL OR w_qty IS NOT NULL AS covered FROM m",

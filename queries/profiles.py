@@ -39,12 +39,16 @@ def quantiles(spark, d):
     return exact_quantiles(items, ["l_extendedprice", "l_quantity"], [0.0, 0.1, 0.5, 0.99, 1.0])
 
 
+def _edges(df):
+    return df.withColumns({c: F.round(c, 6) for c in ("lo", "hi")})
+
+
 def histogram(spark, d):
-    return profile.histograms(table(spark, d, "events"), ["value"], 40).drop("lo", "hi")
+    return _edges(profile.histograms(table(spark, d, "events"), ["value"], 40))
 
 
 def histogram_by_class(spark, d):
-    return profile.histogram_by_class(_orders(spark, d, "o_totalprice"), "o_totalprice").selectExpr("class", "bin", "n")
+    return _edges(profile.histogram_by_class(_orders(spark, d, "o_totalprice"), "o_totalprice"))
 
 
 def _values(spark, d):
@@ -108,7 +112,7 @@ def series_by_day(spark, d):
     series = typed_events(spark, d, "purchase", "cast(ts as timestamp) as ts", "cast(value as decimal(12,2)) as value")
     out = profile.series_points(series, "ts", "value", every="1 day")
     return out.select(time_micros(out, "time").alias("us"), "n", F.expr("cast(lo as double) as lo"),
-                      F.expr("cast(hi as double) as hi"))
+                      F.expr("round(cast(mean as double), 4) as mean"), F.expr("cast(hi as double) as hi"))
 
 
 QUERIES = {
@@ -172,11 +176,13 @@ CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM orders) AS share FROM orders GR
                        + _quantile_rows({"l_extendedprice": "p", "l_quantity": "q"}, [0.0, 0.1, 0.5, 0.99, 1.0], "i"),
     "histogram": """WITH b AS (SELECT min(value) AS a, max(value) AS z FROM events),
 c AS (SELECT CAST(least(floor((value - a) / (z - a) * 40), 39) AS INTEGER) AS bin FROM events, b)
-SELECT 'value' AS "column", CAST(g AS INTEGER) AS bin, count(c.bin) AS n FROM range(40) AS r(g) LEFT JOIN c ON c.bin = g GROUP BY g""",
+SELECT 'value' AS "column", CAST(g AS INTEGER) AS bin, round(any_value(a + (z - a) * g / 40), 6) AS lo,
+round(any_value(a + (z - a) * (g + 1) / 40), 6) AS hi, count(c.bin) AS n FROM b CROSS JOIN range(40) AS r(g) LEFT JOIN c ON c.bin = g GROUP BY g""",
     "histogram_by_class": f"""WITH o AS (SELECT CAST({_Y} AS INTEGER) AS class, o_totalprice AS v FROM orders),
 b AS (SELECT class, min(v) AS a, max(v) AS z FROM o GROUP BY class),
 c AS (SELECT class, CAST(least(floor((v - a) / (z - a) * 30), 29) AS INTEGER) AS bin FROM o JOIN b USING (class))
-SELECT b.class, CAST(g AS INTEGER) AS bin, count(c.bin) AS n FROM b CROSS JOIN range(30) AS r(g)
+SELECT b.class, CAST(g AS INTEGER) AS bin, round(any_value(a + (z - a) * g / 30), 6) AS lo,
+round(any_value(a + (z - a) * (g + 1) / 30), 6) AS hi, count(c.bin) AS n FROM b CROSS JOIN range(30) AS r(g)
 LEFT JOIN c ON c.bin = g AND c.class = b.class GROUP BY b.class, g""",
     "box_stats": f"""WITH {_BOXES} SELECT feature, class, count(*) AS n, q1, median, q3,
 least(min(x) FILTER (x >= a), q1) AS whisker_lo, greatest(max(x) FILTER (x <= b), q3) AS whisker_hi,
@@ -197,6 +203,6 @@ count(*) FILTER (CAST(k AS DOUBLE) / n > 0.5) AS cols_over_half_missing,
     "imputation_audit": f"""WITH {_MISSING} SELECT "column", k AS n_missing, 100 * CAST(k AS DOUBLE) / n AS pct_missing FROM m
 WHERE k > 0 AND "column" <> 'flag'""",
     "series_points": "SELECT epoch_us(ts) AS us, value FROM events WHERE event_type = 'purchase'",
-    "series_downsample": """SELECT epoch_us(date_trunc('day', ts)) AS us, count(value) AS n, min(value) AS lo, max(value) AS hi
-FROM events WHERE event_type = 'purchase' GROUP BY 1""",
+    "series_downsample": """SELECT epoch_us(date_trunc('day', ts)) AS us, count(value) AS n, min(value) AS lo,
+round(CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) / count(value), 4) AS mean, max(value) AS hi FROM events WHERE event_type = 'purchase' GROUP BY 1""",
 }

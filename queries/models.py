@@ -92,7 +92,8 @@ def tree_dependence(spark, d):
     m = matrix(spark, d)
     model = M.fit_forest(_train(m), FEATURES, trees=5, depth=4)
     rows = A.tree_attribution(_train(m), model, FEATURES, ["o_orderkey"])
-    return A.dependence(rows, FEATURES, "late", "price").selectExpr("value", "colour", "abs(attribution) <= 1 as bounded")
+    return A.dependence(rows, FEATURES, "late", "price").selectExpr(
+        "count(value) as n", "count(colour) as n_colour", "round(avg(value), 6) + 0D as mean", "bool_and(abs(attribution) <= 1) as bounded")
 
 
 def stump(spark, d):
@@ -130,6 +131,7 @@ ORACLES = {
 FROM m, (VALUES ('full'), ('reduced')) AS v(model) WHERE split = 'test' GROUP BY model""",
     "tree_importance": f"""WITH {_M} SELECT feature, true AS valued, true AS ranked, (SELECT count(*) FROM m WHERE split = 'train') AS n_rows,
 true AS adds_up FROM (VALUES {", ".join(f"('{f}')" for f in FEATURES)}) AS v(feature)""",
+    "tree_dependence": f"WITH {_M} SELECT count(*) AS n, count(price) AS n_colour, CAST(0 AS DOUBLE) AS mean, true AS bounded FROM m WHERE split = 'train'",
     "tree_attribution_stump": """WITH r AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN CAST(1 AS DOUBLE) ELSE 0 END AS closed,
 CASE WHEN o_totalprice > 200000 OR (o_orderstatus = 'F' AND o_orderkey % 3 = 0) THEN 1 ELSE 0 END AS label FROM orders),
 c AS (SELECT closed, CAST(sum(1 + label) AS DOUBLE) AS cover, sum(CASE WHEN label = 1 THEN 2 ELSE -1 END) AS hit FROM r GROUP BY closed),

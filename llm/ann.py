@@ -26,7 +26,7 @@ LIST_ROWS, MOST_LISTS = 250, 4_096
 REPLICA_RATIO, REPLICAS = 1.05, 4
 #: A query reads lists whose centroids are at most this times as far as its nearest, as the graph search finds them; so many at least
 #: and at most. A query that finds too few neighbours in them reads all lists.
-SEARCH_RATIO, LEAST_LISTS, SEARCH_LISTS = 1.35, 8, 96
+SEARCH_RATIO, LEAST_LISTS, SEARCH_LISTS = 1.2, 8, 96
 #: Neighbours of a centroid in the graph; some are drawn at random, which keeps it connected over clusters.
 LINKS, FAR_LINKS = 16, 4
 SEGMENT_ROWS = 1_024
@@ -158,7 +158,7 @@ def _assigned(graphs: dict, most: int, ratio: float, least: int = 1):
                         keys.append(np.full(len(own), -1))
                         places.append(own)
                         continue
-                    far, lists = graph.search(matrix([vectors[i] for i in own], int(dim)), most)
+                    far, lists = graph.search(matrix(b"".join(vectors[i] for i in own), len(own), int(dim)), most)
                     near = far <= far[:, :1] * ratio + 1e-12
                     near[:, :least] = True
                     near[~np.isfinite(far)] = False
@@ -181,11 +181,11 @@ def _distances(k: int):
             found: list[list] = [[], [], [], [], []]
             for is_query, dim, rows, ids, data in zip(*(c.to_pylist() for c in batch.columns)):
                 if not is_query:
-                    vectors = matrix([data], dim * len(ids)).reshape(len(ids), dim)
+                    vectors = matrix(data, len(ids), dim)
                     segment = np.asarray(rows), np.asarray(ids), vectors, (vectors * vectors).sum(1)
                     continue
                 own_rows, own_ids, vectors, norms = segment
-                query = np.frombuffer(data, "<f8")
+                query = matrix(data, 1, dim)[0]
                 size = float(query @ query)
                 rough = norms - 2 * (vectors @ query) + size
                 rough[own_ids == ids[0]] = np.inf
@@ -212,8 +212,6 @@ def nearest(df: DataFrame, is_query: Column, *, k: int = 10, id_column: str = "v
     query's own id are never its candidates; other ids that repeat are candidates each. An empty table gives no rows. Where fewer
     than k are found in the lists read, a query reads all lists, so it gets k if there are k candidates.
     """
-    import numpy as np
-
     rows = staged(as_rows(df, id_column, vector_column, zero=False), "vectors")
     n = rows.count()
     sample: dict = {}
@@ -223,9 +221,10 @@ def nearest(df: DataFrame, is_query: Column, *, k: int = 10, id_column: str = "v
     graphs = {}
     for dim, own in sample.items():
         lists = min(MOST_LISTS, math.ceil(n / LIST_ROWS * len(own) / drawn))
-        graphs[dim] = Graph(fit_centroids(matrix(own, dim).astype(np.float64), lists))
+        graphs[dim] = Graph(fit_centroids(matrix(b"".join(own), len(own), dim), lists))
     schema = "key int, " + "row bigint, id bigint, dim int, length double, vector binary"
-    postings = rows.mapInArrow(_assigned(graphs, REPLICAS, REPLICA_RATIO), schema)
+    # stored, as drawing the range bounds would assign all vectors a second time
+    postings = staged(rows.mapInArrow(_assigned(graphs, REPLICAS, REPLICA_RATIO), schema), "postings")
     order = ["dim", "key", "id", "row"]
     segments = pack(postings.repartitionByRange(*order).sortWithinPartitions(*order), SEGMENT_ROWS)
     segments = staged(segments.withColumn("segment", F.monotonically_increasing_id()), "segments")

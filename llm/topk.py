@@ -61,7 +61,7 @@ def _thresholds(seeds: dict, k: int):
         for batch in batches:
             floors, needs = [], []
             for dim, ids, data in zip(batch.column(1).to_pylist(), batch.column(5).to_pylist(), batch.column(6).to_pylist()):
-                queries, floor = matrix([data], dim * len(ids)).reshape(len(ids), dim), np.full(len(ids), -np.inf)
+                queries, floor = matrix(data, len(ids), dim), np.full(len(ids), -np.inf)
                 if dim in seeds and len(seeds[dim][0]) > k:
                     seed_ids, vectors = seeds[dim]
                     scores = _products(queries, vectors).astype(np.float64)
@@ -84,7 +84,7 @@ class Bucket:
     def __init__(self, dim: int, ids: list[int], data: bytes):
         import numpy as np
 
-        self.vectors, self.ids = np.frombuffer(data, "<f8").reshape(len(ids), dim), np.asarray(ids, np.int64)
+        self.vectors, self.ids = matrix(data, len(ids), dim), np.asarray(ids, np.int64)
         self.lengths = np.sqrt((self.vectors * self.vectors).sum(1))
         order = np.argsort(-self.lengths, kind="stable")
         self.vectors, self.ids, self.lengths = self.vectors[order], self.ids[order], self.lengths[order]
@@ -134,7 +134,7 @@ def _search(k: int):
                 if not is_block:
                     bucket = Bucket(dim, ids, data)
                     continue
-                queries = np.frombuffer(data, "<f8").reshape(len(ids), dim)
+                queries = matrix(data, len(ids), dim)
                 lengths = np.sqrt((queries * queries).sum(1))
                 for query, row, owner, length, floor in zip(queries, rows, ids, lengths, floors):
                     at = bucket.candidates(query, float(length), floor)
@@ -171,7 +171,7 @@ def top_k(df: DataFrame, is_query: Column, *, k: int = 5, scale_floor: int | Non
         longest.setdefault(r.dim, []).append(r)
     import numpy as np
 
-    seeds = {dim: (np.array([r.id for r in own], np.int64), matrix([bytes(r.vector) for r in own], dim)) for dim, own in longest.items()}
+    seeds = {dim: (np.array([r.id for r in own], np.int64), matrix(b"".join(bytes(r.vector) for r in own), len(own), dim)) for dim, own in longest.items()}
     dealt = rows.where(is_query).repartitionByRange(max(1, math.ceil(n_queries / BLOCK_ROWS)), "dim", "id", "row")
     blocks = pack(dealt.sortWithinPartitions("dim", "id", "row"), BLOCK_ROWS).mapInArrow(_thresholds(seeds, k), PACK_SCHEMA + ", floors array<double>, need double")
     blocks = staged(blocks.withColumn("block", F.monotonically_increasing_id()), "blocks")

@@ -1,4 +1,7 @@
-"""Vectors as binary rows, packed into matrices of bounded size for work in tasks."""
+"""Vectors as binary rows, packed into matrices of bounded size for work in tasks.
+
+Components are stored as 32-bit floats where they are given so, else as 64-bit ones, and always computed with as the latter.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +9,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import FloatType
 
 
 def usable(vector: Column, *, zero: bool) -> Column:
@@ -16,10 +20,11 @@ def usable(vector: Column, *, zero: bool) -> Column:
 
 
 def as_rows(df: DataFrame, id_column: str, vector_column: str, *, zero: bool, scale_floor: int | None = None) -> DataFrame:
-    """row (unique), id, dim, length, vector (little-endian doubles) of usable vectors with an id.
+    """row (unique), id, dim, length, vector (little-endian floats) of usable vectors with an id.
 
     With `scale_floor` components x become floor(scale_floor * x). Extra columns are ignored, whatever their names.
     """
+    stored = "<f4" if isinstance(df.schema[vector_column].dataType.elementType, FloatType) and scale_floor is None else "<f8"
     given = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("bigint").alias("id"), F.col(vector_column).alias("v"))
     kept = given.where(F.col("id").isNotNull() & usable(F.col("v"), zero=zero)).withColumn("v", F.col("v").cast("array<double>"))
 
@@ -31,16 +36,18 @@ def as_rows(df: DataFrame, id_column: str, vector_column: str, *, zero: bool, sc
             if scale_floor is not None:
                 vectors = [np.floor(scale_floor * v) for v in vectors]
             lengths = [float(np.sqrt(v @ v)) for v in vectors]
-            columns = [pa.array([len(v) for v in vectors], pa.int32()), pa.array(lengths, pa.float64()), pa.array([v.astype("<f8").tobytes() for v in vectors], pa.binary())]
+            columns = [pa.array([len(v) for v in vectors], pa.int32()), pa.array(lengths, pa.float64()), pa.array([v.astype(stored).tobytes() for v in vectors], pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["row", "id", "dim", "length", "vector"])
 
     return kept.mapInArrow(encode, "row bigint, id bigint, dim int, length double, vector binary")
 
 
-def matrix(vectors: list[bytes], dim: int):
+def matrix(data: bytes, rows: int, dim: int):
+    """Vectors that lie one after another, as rows of doubles."""
     import numpy as np
 
-    return np.frombuffer(b"".join(vectors), "<f8").reshape(len(vectors), dim)
+    single = len(data) < 8 * rows * dim
+    return np.frombuffer(data, "<f4" if single else "<f8").reshape(rows, dim).astype(np.float64)
 
 
 PACK_SCHEMA = "key int, dim int, least double, most double, rows array<bigint>, ids array<bigint>, vectors binary"

@@ -230,7 +230,8 @@ def mix(docs: DataFrame, *, row: Column | None = None, weights: Sequence[float]
     high = F.least(F.col("first_word") + F.col("size"), (F.col("block") + 1) * length)
     pieces = cut.select("row", "source_no", "block", (low - F.col("first_word")).alias("from_word"), (low - F.col("block") * length).alias("at"),
                         (high - low).alias("held"))
-    joined = pieces.join(draw_slots(spark, sources, seed, shard_slots), ["source_no", "block"])
+    # a task makes many slots of one shard number, which Spark's size estimate misses: never broadcast them
+    joined = pieces.join(draw_slots(spark, sources, seed, shard_slots).hint("merge"), ["source_no", "block"])
     words = F.least(F.col("held"), F.col("take") - F.col("at")).cast("bigint")
     taken = joined.select("row", "shard", "place", "epoch", "from_word", words.alias("n_words")).where("n_words > 0")
     return Mix(numbered, listed, taken)

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Callable
 from functools import lru_cache
 
 #: Characters that some versions of the pattern's `\\s` take for white space and Python's `isspace` may not, or the reverse.
-ODD_SPACE = "\x1c\x1d\x1e\x1f\x85\xa0᠎​⁠﻿"
+ODD_SPACE = "\x1c\x1d\x1e\x1f\x85\xa0\u180e\u200b\u2060\ufeff"
 #: Letters whose class is the same in every Unicode version, then punctuation: the two parts are separate tokens.
 PLAIN, PLAIN_STOP = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+"), re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]+)")
 #: Words of one generation. Two are kept: a full one becomes the older, from which words in use move back to the newer.
@@ -39,15 +40,23 @@ def encoder(vocabulary: str) -> Callable[[str | None], bytes]:
 
 def _encoder(vocabulary: str) -> Callable[[str | None], bytes]:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
-    import numpy as np
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(vocabulary)
+    # a plain word is one piece to the tokenizer, so its model can be asked directly, with bytes spelled as the vocabulary spells them
+    model, spell = tokenizer.model, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+    spelling = {ord(c): "".join(part for part, _ in spell(c)) for c in map(chr, [32, *range(65, 91), *range(97, 123), *range(0xC0, 0x100)])}
     inner: tuple[dict, dict] = {}, {}  # of words after a space: the newer and the older generation
     outer: tuple[dict, dict] = {}, {}  # of words at the start of a text or line
 
+    def packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def whole(text: str) -> bytes:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return packed(tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def plain(word: str) -> bytes:
+        return packed([token.id for token in model.tokenize(word.translate(spelling))])
 
     def odd(word: str) -> bool:
         return not word or word[0].isspace() or word[-1].isspace() or word[0] in ODD_SPACE or word[-1] in ODD_SPACE
@@ -69,7 +78,7 @@ def _encoder(vocabulary: str) -> Callable[[str | None], bytes]:
 
     def learn(word: str, space: str) -> bytes | None:
         if PLAIN.fullmatch(word):
-            return whole(space + word)
+            return plain(space + word)
         if stop := PLAIN_STOP.fullmatch(word):
             return look(stop[1], space) + marks(stop[2])
         if odd(word):

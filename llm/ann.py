@@ -2,9 +2,10 @@
 
 Centroids are fitted on a bounded sample by splitting: a list that holds too large a share of the sample is cut again, so lists are
 balanced. Every vector is indexed: it goes to the list of its nearest centroid, and a vector near a boundary also to others that are
-nearly as near. Centroids are searched by best-first search in an in-memory graph of near neighbours. A query reads the lists whose
-centroids lie within a ratio of the nearest one's distance. Posting lists are stored in segments of bounded size, so a list that
-holds a third of all vectors (copies can't be split) is work for many tasks. Distances to all vectors of the read lists are exact.
+nearly as near; with more centroids than LOOKED_AT these are found by best-first search in an in-memory graph. A query reads every list whose centroid lies
+within a ratio of the nearest one's distance; the ratio alone decides how many, from exact distances to all centroids. Posting lists
+are stored in segments of bounded size, so a list that holds a third of all vectors (copies can't be split) is work for many tasks.
+Distances to all vectors of the read lists are exact.
 """
 
 from __future__ import annotations
@@ -24,13 +25,18 @@ SAMPLE_ROWS = 20_000
 LIST_ROWS, MOST_LISTS = 250, 4_096
 #: A vector is also put in up to three more lists whose centroids are at most this times as far as its nearest.
 REPLICA_RATIO, REPLICAS = 1.05, 4
-#: A query reads lists whose centroids are at most this times as far as its nearest, as the graph search finds them; so many at least
-#: and at most. A query that finds too few neighbours in them reads all lists.
-SEARCH_RATIO, LEAST_LISTS, SEARCH_LISTS = 1.2, 8, 96
+#: Centroids that the graph search keeps while it looks for a vector's nearest, and the number of centroids up to which all are looked
+#: at instead (a beam of 64 found 99% of nearest lists among 800).
+ASSIGN_BEAM, LOOKED_AT = 64, 4_096
+#: A query reads all lists whose centroids are at most this times as far as its nearest; so many at least. A query that finds too few
+#: neighbours in them reads all lists.
+SEARCH_RATIO, LEAST_LISTS = 1.2, 8
 #: Neighbours of a centroid in the graph; some are drawn at random, which keeps it connected over clusters.
 LINKS, FAR_LINKS = 16, 4
 SEGMENT_ROWS = 1_024
 BATCH = 512
+#: Rows that a batch of assigned ones holds at most, and queries whose nearest a task holds at once.
+BATCH_OUT, HELD_QUERIES = 4_096, 16_384
 
 
 def _squares(a, b):
@@ -97,15 +103,23 @@ class Graph:
         self.links = np.hstack([*[np.vstack(links)], ring, random.integers(0, n, (n, FAR_LINKS - 1))])
         self.entries = random.choice(n, min(n, 8), replace=False)
 
+    def nearest(self, points, most: int | None = None):
+        """(distances, centroids), nearest first, of the `most` centroids nearest to each point, or of all: all are looked at."""
+        import numpy as np
+
+        squares, n = _squares(points, self.centroids), len(self.centroids)
+        near = np.argpartition(squares, most - 1, axis=1)[:, :most] if most and most < n else np.tile(np.arange(n), (len(points), 1))
+        squares = np.take_along_axis(squares, near, 1)
+        order = np.argsort(squares, axis=1, kind="stable")
+        return np.sqrt(np.take_along_axis(squares, order, 1)), np.take_along_axis(near, order, 1)
+
     def search(self, points, most: int):
         """(distances, centroids), nearest first, of up to `most` centroids found for each point."""
         import numpy as np
 
         n, count = len(self.centroids), len(points)
         if n <= most:
-            squares = _squares(points, self.centroids)
-            order = np.argsort(squares, axis=1, kind="stable")
-            return np.sqrt(np.take_along_axis(squares, order, 1)), order
+            return self.nearest(points)
         at = np.arange(count)[:, None]
         norms = (points * points).sum(1)[:, None]
         far = lambda c: np.maximum(norms + self.norms[c] - 2 * np.einsum("pd,pcd->pc", points, self.centroids[c]), 0)
@@ -139,10 +153,11 @@ class Graph:
         return np.sqrt(np.take_along_axis(squares, order, 1)), np.take_along_axis(beam, order, 1)
 
 
-def _assigned(graphs: dict, most: int, ratio: float, least: int = 1):
+def _assigned(graphs: dict, ratio: float, *, beam: int | None = None, least: int = 1, most: int | None = None):
     """Rows (row, id, dim, length, vector) to rows with `key`, one for each list within `ratio` of the nearest, `least` to `most`.
 
-    A dimension that the sample lacks is one list of its own, -1: it's searched in full.
+    With `beam` more than LOOKED_AT centroids are searched in the graph, else all are looked at. A dimension that the sample lacks is
+    one list of its own, -1: it's searched in full.
     """
     def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -158,53 +173,87 @@ def _assigned(graphs: dict, most: int, ratio: float, least: int = 1):
                         keys.append(np.full(len(own), -1))
                         places.append(own)
                         continue
-                    far, lists = graph.search(matrix(b"".join(vectors[i] for i in own), len(own), int(dim)), most)
+                    points = matrix(b"".join(vectors[i] for i in own), len(own), int(dim))
+                    if beam and len(graph.centroids) > LOOKED_AT:
+                        far, lists = (x[:, :most] for x in graph.search(points, beam))
+                    else:
+                        far, lists = graph.nearest(points, most)
                     near = far <= far[:, :1] * ratio + 1e-12
                     near[:, :least] = True
                     near[~np.isfinite(far)] = False
                     keys.append(lists[near])
                     places.append(np.repeat(own, near.sum(1)))
                 if keys:
-                    key = pa.array(np.concatenate(keys).astype(np.int32))
-                    yield pa.RecordBatch.from_arrays([key, *batch.take(pa.array(np.concatenate(places))).columns], ["key", *batch.schema.names])
+                    key, place = np.concatenate(keys).astype(np.int32), np.concatenate(places)
+                    for i in range(0, len(key), BATCH_OUT):
+                        columns = batch.take(pa.array(place[i:i + BATCH_OUT])).columns
+                        yield pa.RecordBatch.from_arrays([pa.array(key[i:i + BATCH_OUT]), *columns], ["key", *batch.schema.names])
 
     return assign
 
 
 def _distances(k: int):
-    """Rows (segment or query, segments first in their group) to the nearest of each query in each segment."""
+    """Rows (segment or query, segments first in their group) to the nearest of each query that a task finds in all its segments.
+
+    A task keeps the k nearest of each query so far, and only looks at vectors that may be nearer.
+    """
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        segment = None
+        segment, best, names = None, {}, ["row", "query_id", "other", "vec_id", "score"]  # best: query to (id, other to (score, vec_id))
+
+        def told() -> pa.RecordBatch:
+            rows = [(row, owner, other, vec, score) for row, (owner, held) in best.items() for other, (score, vec) in held.items()]
+            kinds = [pa.int64()] * 4 + [pa.float64()]
+            best.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, kinds)], names)
+
+        def meet(asked: list[tuple]) -> None:
+            own_rows, own_ids, vectors, norms = segment
+            queries = matrix(b"".join(data for _, _, data in asked), len(asked), vectors.shape[1])
+            sizes = (queries * queries).sum(1)
+            rough = norms - 2 * (queries @ vectors.T) + sizes[:, None]
+            rough[own_ids == np.array([owner for _, owner, _ in asked])[:, None]] = np.inf
+            limit = np.full(len(asked), np.finfo(float).max)
+            for i, (row, owner, _) in enumerate(asked):
+                held = best.setdefault(row, (owner, {}))[1]
+                if len(held) == k:
+                    limit[i] = max(score for score, _ in held.values()) ** 2
+            if len(own_ids) > k:
+                limit = np.minimum(limit, np.partition(rough, k - 1, axis=1)[:, k - 1])
+            near = (rough <= (limit + 1e-9 * (sizes + float(norms.max())))[:, None]) & np.isfinite(rough)
+            for i in np.flatnonzero(near.any(1)):
+                at = np.flatnonzero(near[i])
+                exact = np.sqrt(((vectors[at] - queries[i]) ** 2).sum(1))
+                first = at[order := np.lexsort((own_rows[at], own_ids[at], exact))[:k]]
+                held = best[asked[i][0]][1]
+                for score, vec, other in zip(exact[order].tolist(), own_ids[first].tolist(), own_rows[first].tolist()):
+                    held[other] = score, vec  # a replica isn't another neighbour
+                while len(held) > k:
+                    del held[max(held, key=lambda o: (*held[o], o))]
+
         for batch in batches:
-            found: list[list] = [[], [], [], [], []]
+            asked: list[tuple] = []
             for is_query, dim, rows, ids, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if is_query:
+                    asked.append((rows[0], ids[0], data))
+                if asked and (not is_query or len(asked) == BATCH):
+                    meet(asked)
+                    asked = []
                 if not is_query:
                     vectors = matrix(data, len(ids), dim)
                     segment = np.asarray(rows), np.asarray(ids), vectors, (vectors * vectors).sum(1)
-                    continue
-                own_rows, own_ids, vectors, norms = segment
-                query = matrix(data, 1, dim)[0]
-                size = float(query @ query)
-                rough = norms - 2 * (vectors @ query) + size
-                rough[own_ids == ids[0]] = np.inf
-                near = np.flatnonzero(np.isfinite(rough))
-                if len(near) > k:
-                    near = near[rough[near] <= np.partition(rough[near], k - 1)[k - 1] + 1e-9 * (size + float(norms.max()))]
-                exact = np.sqrt(((vectors[near] - query) ** 2).sum(1))
-                best = np.lexsort((own_ids[near], exact))[:k]
-                values = [rows[0]] * len(best), [ids[0]] * len(best), own_rows[near][best].tolist(), own_ids[near][best].tolist(), exact[best].tolist()
-                for column, more in zip(found, values):
-                    column += more
-            kinds = [pa.int64()] * 4 + [pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, kinds)], ["row", "query_id", "other", "vec_id", "score"])
+            if asked:
+                meet(asked)
+            if len(best) > HELD_QUERIES:
+                yield told()
+        yield told()
 
     return search
 
 
 def nearest(df: DataFrame, is_query: Column, *, k: int = 10, id_column: str = "vec_id", vector_column: str = "embedding",
-            search_ratio: float = SEARCH_RATIO, search_lists: int = SEARCH_LISTS) -> DataFrame:
+            search_ratio: float = SEARCH_RATIO) -> DataFrame:
     """query_id, rank, vec_id, score: up to k nearest rows found for each query, nearest first, ties to smaller vec_id.
 
     `is_query` is over `id`; score is the Euclidean distance of the vectors given, in double precision. Null and zero vectors, those
@@ -224,12 +273,12 @@ def nearest(df: DataFrame, is_query: Column, *, k: int = 10, id_column: str = "v
         graphs[dim] = Graph(fit_centroids(matrix(b"".join(own), len(own), dim), lists))
     schema = "key int, " + "row bigint, id bigint, dim int, length double, vector binary"
     # stored, as drawing the range bounds would assign all vectors a second time
-    postings = staged(rows.mapInArrow(_assigned(graphs, REPLICAS, REPLICA_RATIO), schema), "postings")
+    postings = staged(rows.mapInArrow(_assigned(graphs, REPLICA_RATIO, beam=ASSIGN_BEAM, most=REPLICAS), schema), "postings")
     order = ["dim", "key", "id", "row"]
     segments = pack(postings.repartitionByRange(*order).sortWithinPartitions(*order), SEGMENT_ROWS)
     segments = staged(segments.withColumn("segment", F.monotonically_increasing_id()), "segments")
     queries = rows.where(is_query)
-    near = queries.mapInArrow(_assigned(graphs, search_lists, search_ratio, LEAST_LISTS), schema)
+    near = queries.mapInArrow(_assigned(graphs, search_ratio, least=LEAST_LISTS), schema)
     names = ["row", "id", "dim", "vector"]
 
     def found(met: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +117,20 @@ def test_nearest(spark, kind, monkeypatch):
     assert hits >= 0.9 * sum(map(len, want.values()))
 
 
+def test_every_list_in_the_ratio_is_read():
+    random = np.random.default_rng(8)
+    v = lengths("unit", random, 5000, 64).astype(np.float32)
+    graph = ann.Graph(ann.fit_centroids(v.astype(float), 200))
+    far = np.sqrt(ann._squares(v[:20].astype(float), graph.centroids))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array(range(20)), pa.array([64] * 20, pa.int32()), pa.array([1.0] * 20),
+                                        pa.array([x.tobytes() for x in v[:20]], pa.binary())], ["row", "id", "dim", "length", "vector"])
+    read = [set() for _ in range(20)]
+    for out in ann._assigned({64: graph}, ann.SEARCH_RATIO, least=ann.LEAST_LISTS)([batch]):
+        for key, row in zip(out.column(0).to_pylist(), out.column(1).to_pylist()):
+            read[row].add(key)
+    assert max(map(len, read)) > 96 and all(set(np.flatnonzero(f <= f.min() * ann.SEARCH_RATIO).tolist()) <= r for f, r in zip(far, read))
+
+
 def test_graph_search_finds_the_nearest():
     random = np.random.default_rng(6)
     graph = ann.Graph(random.normal(size=(900, 16)))

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -23,6 +23,8 @@ from llm.exprs import added
 
 DISTANCE = 2
 SHINGLE = 3
+#: Fingerprints that are compared with a whole chunk at once.
+ROWS_AT_ONCE = 64
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 #: Fingerprints in a chunk, and children of a node.
 CHUNK_ROWS = 8_192
@@ -32,24 +34,31 @@ STEP = 2_048
 HASHES_AT_ONCE = 65_536
 
 
-def fingerprint(text: str | None) -> int:
-    """The signed 64-bit fingerprint: a bit is 1 if set in over half the XXH64 (seed 42) of all word 3-shingles."""
-    import numpy as np
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> list[int]:
+    """XXH64 (seed 42) of all word shingles, in order; a text of fewer words is one shingle, one without words has none."""
     from xxhash import xxh64_intdigest
 
     # bytes.lower changes A-Z alone
     words = WORD.findall(text.encode("utf-8", "surrogatepass").lower()) if text else []
-    if not words:
-        return 0
-    if len(words) < SHINGLE:
-        hashes = [xxh64_intdigest(b" ".join(words), 42)]
-    else:
-        joined, ends, at = b" ".join(words), [], -1
-        for word in words:
-            at += len(word) + 1
-            ends.append(at)
-        starts = [0, *(e + 1 for e in ends)]
-        hashes = [xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts, ends[SHINGLE - 1:])]
+    if len(words) < shingle:
+        return [xxh64_intdigest(b" ".join(words), 42)] if words else []
+    joined, ends, at = b" ".join(words), [], -1
+    for word in words:
+        at += len(word) + 1
+        ends.append(at)
+    starts = [0, *(e + 1 for e in ends)]
+    return [xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts, ends[shingle - 1:])]
+
+
+def fingerprint(text: str | None) -> int:
+    """The signed 64-bit fingerprint: a bit is 1 if set in over half the XXH64 (seed 42) of all word 3-shingles."""
+    return majority(shingle_hashes(text))
+
+
+def majority(hashes: list[int]) -> int:
+    """The signed number whose bits are 1 if set in over half the hashes; zero for none."""
+    import numpy as np
+
     counts = np.zeros(64, np.int64)
     for i in range(0, len(hashes), HASHES_AT_ONCE):
         some = np.array(hashes[i:i + HASHES_AT_ONCE], ">u8")
@@ -134,19 +143,23 @@ def _down(a: Levels, b: Levels, i, j, level_a: int, level_b: int, most: int, sam
         yield from _down(a, b, x[real], y[real], below_a, below_b, most, same)
 
 
-def forest(prints_a, prints_b, most: int = DISTANCE):
-    """A spanning forest (pairs of different fingerprints) of the links between two chunks, or inside one if both are the same."""
+def _every(a, b, most: int, same: bool):
+    """Yields (i, j): places of fingerprints at most `most` bits apart, all compared."""
     import numpy as np
 
-    same = prints_a is prints_b
-    a, b = Levels(prints_a), None
-    b = a if same else Levels(prints_b)
-    shift = 0 if same else len(prints_a)
-    every = prints_a if same else np.concatenate([prints_a, prints_b])
-    root, linked = np.arange(len(every)), np.zeros(len(every), bool)
-    top = np.zeros(1, np.int64)
-    for i, j in _down(a, b, top, top, len(a.values) - 1, len(b.values) - 1, most, same):
-        j = j + shift
+    for start in range(0, len(a), ROWS_AT_ONCE):
+        low = start + 1 if same else 0
+        i, j = np.nonzero(np.bitwise_count(a[start:start + ROWS_AT_ONCE, None] ^ b[None, low:]) <= most)
+        i, j = i + start, j + low
+        yield (i[i < j], j[i < j]) if same else (i, j)
+
+
+def _joined(pairs, count: int):
+    """For places 0 to count, joined by (i, j) as they come: (places, one place linked to each), a spanning forest."""
+    import numpy as np
+
+    root, linked = np.arange(count), np.zeros(count, bool)
+    for i, j in pairs:
         linked[i] = linked[j] = True
         while True:
             x, y = root[i], root[j]
@@ -157,16 +170,73 @@ def forest(prints_a, prints_b, most: int = DISTANCE):
             np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
             while not np.array_equal(jumped := root[root], root):
                 root = jumped
-    own = np.flatnonzero(linked & (root != np.arange(len(every))))
-    return every[own], every[root[own]]
+    own = np.flatnonzero(linked & (root != np.arange(count)))
+    return own, root[own]
+
+
+def forest(prints_a, prints_b, most: int = DISTANCE):
+    """A spanning forest (pairs of different fingerprints) of the links between two chunks, or inside one if both are the same."""
+    import numpy as np
+
+    same = prints_a is prints_b
+    a, b = Levels(prints_a), None
+    b = a if same else Levels(prints_b)
+    shift = 0 if same else len(prints_a)
+    every = prints_a if same else np.concatenate([prints_a, prints_b])
+    top = np.zeros(1, np.int64)
+    found = _down(a, b, top, top, len(a.values) - 1, len(b.values) - 1, most, same)
+    u, v = _joined(((i, j + shift) for i, j in found), len(every))
+    return every[u], every[v]
+
+
+def _candidates(a, b, most: int, jaccard: float, spanning: bool):
+    """(key, key) of nodes (fp, key, size, root in four rows) of two chunks that may be similar and have different roots.
+
+    They are at most `most` bits apart, and their sizes allow the similarity. With `spanning` a spanning forest of them.
+    """
+    import numpy as np
+
+    same = a is b
+
+    def found():
+        for i, j in _every(a[0].view(np.uint64), b[0].view(np.uint64), most, same):
+            x, y = a[2][i], b[2][j]
+            keep = (np.minimum(x, y) >= jaccard * np.maximum(x, y) - 1e-9) & (a[3][i] != b[3][j])
+            yield i[keep], j[keep]
+
+    shift = 0 if same else a.shape[1]
+    keys = a[1] if same else np.concatenate([a[1], b[1]])
+    if spanning:
+        u, v = _joined(((i, j + shift) for i, j in found()), len(keys))
+        yield keys[u], keys[v]
+    else:
+        for i, j in found():
+            if len(i):
+                yield a[1][i], b[1][j]
 
 
 def links(prints: DataFrame, *, distance: int = DISTANCE) -> DataFrame:
     """(u, v): links between distinct fingerprints (`fp`) at most `distance` bits apart, enough of them to connect what is connected."""
-    n = prints.count()
+    def search(a, b):
+        import numpy as np
+
+        a, b = (x[0].view(np.uint64) for x in (a, b)) if a is not b else [a[0].view(np.uint64)] * 2
+        u, v = forest(a, b, distance)
+        yield u.astype(np.int64), v.astype(np.int64)
+
+    return _searched(prints.select("fp"), distance, search)
+
+
+def _searched(nodes: DataFrame, distance: int, search: Callable) -> DataFrame:
+    """(u, v) that `search` yields for pairs of chunks that may hold fingerprints at most `distance` bits apart.
+
+    It takes two matrices (one twice for pairs in it), a row for each column (bigint, the first is fp) of `nodes`, in Gray order.
+    """
+    names = nodes.columns
+    n = nodes.count()
     n_chunks = max(1, math.ceil(n / CHUNK_ROWS))
-    ranked = prints.select("fp", gray_rank(F.col("fp")).alias("rank")).repartitionByRange(n_chunks, "rank")
-    ordered = ranked.sortWithinPartitions("rank").select("fp", F.spark_partition_id().alias("chunk"))
+    ranked = nodes.select("*", gray_rank(F.col("fp")).alias("rank")).repartitionByRange(n_chunks, "rank", *names[1:])
+    ordered = ranked.sortWithinPartitions("rank", *names[1:]).select(*names, F.spark_partition_id().alias("chunk"))
 
     def chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -174,12 +244,12 @@ def links(prints: DataFrame, *, distance: int = DISTANCE) -> DataFrame:
         held, number = [], 0
         for batch in batches:
             if batch.num_rows:
-                held.append(np.asarray(batch.column(0)).astype(np.uint64))
-                number = batch.column(1)[0].as_py()
+                held.append(np.stack([np.asarray(batch.column(i)).astype("<i8") for i in range(len(names))]))
+                number = batch.column(len(names))[0].as_py()
         if held:
-            own = np.concatenate(held)
-            value, mask = _pattern(own[None, :])
-            columns = [pa.array([number], pa.int32()), pa.array(value.astype(np.int64)), pa.array(mask.astype(np.int64)), pa.array([own.astype("<u8").tobytes()], pa.binary())]
+            own = np.concatenate(held, axis=1)
+            value, mask = _pattern(own[:1].view(np.uint64))
+            columns = [pa.array([number], pa.int32()), pa.array(value.astype(np.int64)), pa.array(mask.astype(np.int64)), pa.array([own.tobytes()], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["node", "value", "mask", "prints"])
 
     stored = staged(ordered.mapInArrow(chunks, "node int, value bigint, mask bigint, prints binary"), "gray-chunks")
@@ -200,16 +270,16 @@ def links(prints: DataFrame, *, distance: int = DISTANCE) -> DataFrame:
     # chunks are alike in size, so pairs are alike in work: deal them out evenly
     work = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "prints_a", "prints_b").repartition("a", "b")
 
-    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         for batch in batches:
             for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns)):
-                own = np.frombuffer(x, "<u8")
-                u, v = forest(own, own if a == b else np.frombuffer(y, "<u8"), distance)
-                yield pa.RecordBatch.from_arrays([pa.array(u.astype(np.int64)), pa.array(v.astype(np.int64))], ["u", "v"])
+                own = np.frombuffer(x, "<i8").reshape(len(names), -1)
+                for u, v in search(own, own if a == b else np.frombuffer(y, "<i8").reshape(len(names), -1)):
+                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
-    return work.mapInArrow(search, "u bigint, v bigint")
+    return work.mapInArrow(found, "u bigint, v bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -270,3 +340,69 @@ def keep_one(docs: DataFrame, *, distance: int = DISTANCE) -> DataFrame:
     found = classes(rows.groupBy("fp").agg(F.min(first).alias("first")), distance=distance)
     chosen = found.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row__"))
     return rows.join(chosen, "row__", "left_semi").select(*kept)
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, jaccard: float) -> DataFrame:
+    """The (u, v) of keys whose texts (key, text) have sets of shingles with at least this exact Jaccard similarity."""
+    side = lambda c: texts.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}"))
+    met = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "text_u", "text_v")
+
+    def confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept, last, a = [], None, set()
+            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
+                x, y = x.as_py(), y.as_py()
+                if x != last:
+                    last, a = x, set(shingle_hashes(x, shingle))
+                b = set(shingle_hashes(y, shingle))
+                shared = len(a & b)
+                if shared >= jaccard * (len(a) + len(b) - shared) - 1e-9:
+                    kept.append(i)
+            yield pa.RecordBatch.from_arrays(batch.take(pa.array(kept, pa.int64())).columns[:2], ["u", "v"])
+
+    return met.mapInArrow(confirm, "u bigint, v bigint")
+
+
+def keep_one_similar(docs: DataFrame, *, distance: int, shingle: int, jaccard: float) -> DataFrame:
+    """One document of each group linked by Jaccard similarity of word shingles: the one with the smallest doc_id (as keep_one).
+
+    Texts with the same shingles are one node. Pairs of nodes whose fingerprints are at most `distance` bits apart are candidates, and
+    link only if their exact similarity is `jaccard` or more. First a spanning forest of the candidates is confirmed, then all
+    candidates whose ends it hasn't linked yet, so a large group of near copies never becomes all of its pairs.
+    """
+    kept = docs.columns
+    given = docs.withColumn("row__", F.monotonically_increasing_id())
+    held, names = given.columns, ["fp__", "key__", "size__"]
+    at = held.index("text")
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        from xxhash import xxh64_intdigest
+
+        for batch in batches:
+            columns: list[list] = [[], [], []]
+            for text in batch.column(at):
+                hashes = shingle_hashes(text.as_py(), shingle)
+                distinct = np.unique(np.array(hashes, "<u8"))
+                key = int(np.uint64(xxh64_intdigest(distinct.tobytes(), 42)).astype(np.int64))
+                for column, value in zip(columns, (majority(hashes), key, len(distinct))):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.int64()) for c in columns)], [*held, *names])
+
+    rows = staged(given.mapInArrow(add, added(given.schema, **{c: LongType() for c in names})), "fingerprinted")
+    first = F.struct(F.col("doc_id").isNull().alias("lacks"), F.col("doc_id").alias("doc_id"), F.col("row__").alias("row"))
+    nodes = staged(rows.groupBy(F.col("key__").alias("key")).agg(F.min("fp__").alias("fp"), F.min("size__").alias("size"), F.min(first).alias("first")), "nodes")
+    texts = rows.select("row__", "text").join(nodes.select("key", F.col("first.row").alias("row__")), "row__").select("key", "text")
+
+    def linked(rooted: DataFrame, spanning: bool) -> DataFrame:
+        pairs = _searched(rooted.select("fp", "key", "size", "root"), distance, lambda a, b: _candidates(a, b, distance, jaccard, spanning))
+        return staged(_confirmed(staged(pairs.sortWithinPartitions("u"), "candidates"), texts, shingle, jaccard), "confirmed")
+
+    def rooted(edges: DataFrame) -> DataFrame:
+        found = components(edges).select(F.col("node").alias("key"), "root")
+        return staged(nodes.join(found, "key", "left").withColumn("root", F.coalesce("root", "key")), "rooted")
+
+    tree = linked(nodes.withColumn("root", F.col("key")), True)
+    named = rooted(tree.unionByName(linked(rooted(tree), False)))
+    chosen = named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row__"))
+    return rows.join(chosen, "row__", "left_semi").select(*kept)

@@ -23,8 +23,6 @@ from llm.exprs import added
 
 DISTANCE = 2
 SHINGLE = 3
-#: Fingerprints that are compared with a whole chunk at once.
-ROWS_AT_ONCE = 64
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 #: Fingerprints in a chunk, and children of a node.
 CHUNK_ROWS = 8_192
@@ -143,17 +141,6 @@ def _down(a: Levels, b: Levels, i, j, level_a: int, level_b: int, most: int, sam
         yield from _down(a, b, x[real], y[real], below_a, below_b, most, same)
 
 
-def _every(a, b, most: int, same: bool):
-    """Yields (i, j): places of fingerprints at most `most` bits apart, all compared."""
-    import numpy as np
-
-    for start in range(0, len(a), ROWS_AT_ONCE):
-        low = start + 1 if same else 0
-        i, j = np.nonzero(np.bitwise_count(a[start:start + ROWS_AT_ONCE, None] ^ b[None, low:]) <= most)
-        i, j = i + start, j + low
-        yield (i[i < j], j[i < j]) if same else (i, j)
-
-
 def _joined(pairs, count: int):
     """For places 0 to count, joined by (i, j) as they come: (places, one place linked to each), a spanning forest."""
     import numpy as np
@@ -189,32 +176,6 @@ def forest(prints_a, prints_b, most: int = DISTANCE):
     return every[u], every[v]
 
 
-def _candidates(a, b, most: int, jaccard: float, spanning: bool):
-    """(key, key) of nodes (fp, key, size, root in four rows) of two chunks that may be similar and have different roots.
-
-    They are at most `most` bits apart, and their sizes allow the similarity. With `spanning` a spanning forest of them.
-    """
-    import numpy as np
-
-    same = a is b
-
-    def found():
-        for i, j in _every(a[0].view(np.uint64), b[0].view(np.uint64), most, same):
-            x, y = a[2][i], b[2][j]
-            keep = (np.minimum(x, y) >= jaccard * np.maximum(x, y) - 1e-9) & (a[3][i] != b[3][j])
-            yield i[keep], j[keep]
-
-    shift = 0 if same else a.shape[1]
-    keys = a[1] if same else np.concatenate([a[1], b[1]])
-    if spanning:
-        u, v = _joined(((i, j + shift) for i, j in found()), len(keys))
-        yield keys[u], keys[v]
-    else:
-        for i, j in found():
-            if len(i):
-                yield a[1][i], b[1][j]
-
-
 def links(prints: DataFrame, *, distance: int = DISTANCE) -> DataFrame:
     """(u, v): links between distinct fingerprints (`fp`) at most `distance` bits apart, enough of them to connect what is connected."""
     def search(a, b):
@@ -333,76 +294,14 @@ def near_duplicates(docs: DataFrame, *, distance: int = DISTANCE) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, *, distance: int = DISTANCE) -> DataFrame:
-    """One document of each component: the one with the smallest doc_id (nulls last; of repeated rows the first read)."""
+    """One document of each component: the one with the smallest doc_id (nulls last; of repeated rows the first read).
+
+    Null, empty and wordless texts share the fingerprint zero, so one of them stays. Whole texts count, however long. Extra columns
+    are kept; an empty table stays empty.
+    """
     kept = docs.columns
     rows = staged(with_fingerprints(docs.withColumn("row__", F.monotonically_increasing_id())), "fingerprinted")
     first = F.struct(F.col("doc_id").isNull().alias("lacks"), F.col("doc_id").alias("doc_id"), F.col("row__").alias("row"))
     found = classes(rows.groupBy("fp").agg(F.min(first).alias("first")), distance=distance)
     chosen = found.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row__"))
     return rows.join(chosen, "row__", "left_semi").select(*kept)
-
-
-def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, jaccard: float) -> DataFrame:
-    """The (u, v) of keys whose texts (key, text) have sets of shingles with at least this exact Jaccard similarity."""
-    side = lambda c: texts.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}"))
-    met = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "text_u", "text_v")
-
-    def confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept, last, a = [], None, set()
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = x.as_py(), y.as_py()
-                if x != last:
-                    last, a = x, set(shingle_hashes(x, shingle))
-                b = set(shingle_hashes(y, shingle))
-                shared = len(a & b)
-                if shared >= jaccard * (len(a) + len(b) - shared) - 1e-9:
-                    kept.append(i)
-            yield pa.RecordBatch.from_arrays(batch.take(pa.array(kept, pa.int64())).columns[:2], ["u", "v"])
-
-    return met.mapInArrow(confirm, "u bigint, v bigint")
-
-
-def keep_one_similar(docs: DataFrame, *, distance: int, shingle: int, jaccard: float) -> DataFrame:
-    """One document of each group linked by Jaccard similarity of word shingles: the one with the smallest doc_id (as keep_one).
-
-    Texts with the same shingles are one node. Pairs of nodes whose fingerprints are at most `distance` bits apart are candidates, and
-    link only if their exact similarity is `jaccard` or more. First a spanning forest of the candidates is confirmed, then all
-    candidates whose ends it hasn't linked yet, so a large group of near copies never becomes all of its pairs.
-    """
-    kept = docs.columns
-    given = docs.withColumn("row__", F.monotonically_increasing_id())
-    held, names = given.columns, ["fp__", "key__", "size__"]
-    at = held.index("text")
-
-    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-        from xxhash import xxh64_intdigest
-
-        for batch in batches:
-            columns: list[list] = [[], [], []]
-            for text in batch.column(at):
-                hashes = shingle_hashes(text.as_py(), shingle)
-                distinct = np.unique(np.array(hashes, "<u8"))
-                key = int(np.uint64(xxh64_intdigest(distinct.tobytes(), 42)).astype(np.int64))
-                for column, value in zip(columns, (majority(hashes), key, len(distinct))):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.int64()) for c in columns)], [*held, *names])
-
-    rows = staged(given.mapInArrow(add, added(given.schema, **{c: LongType() for c in names})), "fingerprinted")
-    first = F.struct(F.col("doc_id").isNull().alias("lacks"), F.col("doc_id").alias("doc_id"), F.col("row__").alias("row"))
-    nodes = staged(rows.groupBy(F.col("key__").alias("key")).agg(F.min("fp__").alias("fp"), F.min("size__").alias("size"), F.min(first).alias("first")), "nodes")
-    texts = rows.select("row__", "text").join(nodes.select("key", F.col("first.row").alias("row__")), "row__").select("key", "text")
-
-    def linked(rooted: DataFrame, spanning: bool) -> DataFrame:
-        pairs = _searched(rooted.select("fp", "key", "size", "root"), distance, lambda a, b: _candidates(a, b, distance, jaccard, spanning))
-        return staged(_confirmed(staged(pairs.sortWithinPartitions("u"), "candidates"), texts, shingle, jaccard), "confirmed")
-
-    def rooted(edges: DataFrame) -> DataFrame:
-        found = components(edges).select(F.col("node").alias("key"), "root")
-        return staged(nodes.join(found, "key", "left").withColumn("root", F.coalesce("root", "key")), "rooted")
-
-    tree = linked(nodes.withColumn("root", F.col("key")), True)
-    named = rooted(tree.unionByName(linked(rooted(tree), False)))
-    chosen = named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row__"))
-    return rows.join(chosen, "row__", "left_semi").select(*kept)

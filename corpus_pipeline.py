@@ -15,9 +15,6 @@ from eventwin.session import shared_dir
 from llm import mixing, packing, quality, simhash
 from llm.queries import findable, table
 
-#: Words of a shingle and least similarity of near copies; candidates are this many of 64 bits apart (at 0.8 about 10 differ).
-NEAR_WORDS, NEAR_SHARE, NEAR_BITS = 5, 0.8, 14
-
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -28,9 +25,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a Jaccard similarity of five-word shingles of at least 0.8, among near fingerprints."""
+    """One document of each component of operator 6: fingerprints of three-word shingles that differ in at most two bits."""
     findable(spark)
-    return simhash.keep_one_similar(docs, distance=NEAR_BITS, shingle=NEAR_WORDS, jaccard=NEAR_SHARE)
+    return simhash.keep_one(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

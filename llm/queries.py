@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventwin.session import shared_dir
-from llm import ann, chat, licenses, mixing, packing, quality, sharding, simhash, token_store, topk
+from llm import ann, chat, collocations, licenses, mixing, packing, prefix_trie, quality, sharding, simhash, token_store, topk, vector_dedup
 from llm.exprs import LOWER, UPPER
 
 
@@ -77,9 +77,24 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).withColumn("score", F.round("score", 9))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of each language, over all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate links and components of all vectors, at a cosine of 0.9."""
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_best_fit_packing, op3_chat_formatting, op4_jump_sharding, op5_source_mix, op6_simhash_dedup, op7_exact_top_k,
-    op8_quality_ranking, op9_nearest_neighbours, op10_license_scan)}
+    op8_quality_ranking, op9_nearest_neighbours, op10_license_scan, op11_prefix_trie, op12_phrase_mining, op13_embedding_dedup)}
 
 _ESCAPED = "replace({0}, '\\', '\\\\')"
 for _control in chat.CONTROLS:
@@ -114,6 +129,52 @@ FROM d LEFT JOIN o USING (doc_id) GROUP BY doc_id"""
 
 
 ORACLES = {
+    # the CRC-32 of the decimal id is worked out bit by bit
+    "op11_prefix_trie": r"""WITH RECURSIVE own AS (SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, ''))
+ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS ts FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+bits AS (SELECT conv_id, CAST(conv_id AS VARCHAR) AS s, 0 AS i, CAST(4294967295 AS BIGINT) AS v FROM own
+UNION ALL SELECT conv_id, s, i + 1, CASE WHEN w & 1 = 1 THEN xor(w >> 1, CAST(3988292384 AS BIGINT)) ELSE w >> 1 END
+FROM (SELECT *, CASE WHEN i % 8 = 0 THEN xor(v, CAST(ord(substr(s, i // 8 + 1, 1)) AS BIGINT)) ELSE v END AS w FROM bits WHERE i < 8 * length(s))),
+h AS (SELECT conv_id, xor(v, CAST(4294967295 AS BIGINT)) % 4 AS h FROM bits WHERE i = 8 * length(s)),
+rebuilt AS (SELECT o.conv_id, list_concat(coalesce(b.ts[1:h], []), o.ts[h + 1:]) AS ts FROM own o JOIN h USING (conv_id)
+LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20),
+prefixes AS (SELECT conv_id, d, ts[1:d] AS p, len(ts) = d AS ends FROM (SELECT *, unnest(range(len(ts) + 1)) AS d FROM rebuilt)),
+nodes AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM prefixes GROUP BY p, d),
+children AS (SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+figures AS (SELECT n.*, coalesce(n_children, 0) AS n_children,
+CASE WHEN n.d = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(n.p[n.d].text, '[^\x20\x09-\x0D]+')) END AS saved FROM nodes n LEFT JOIN children c ON n.p = c.p AND n.d = c.d),
+below AS (SELECT p[1:a] AS p, a AS d, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+FROM (SELECT *, unnest(range(d + 1)) AS a FROM figures) GROUP BY ALL)
+SELECT f.conv_id, f.d AS depth, q.conv_id AS parent_conv_id, f.n_convs, f.n_children, b.n_leaves, b.saved_tokens, f.ends_sha256
+FROM figures f JOIN below b ON f.p = b.p AND f.d = b.d LEFT JOIN nodes q ON q.d = f.d - 1 AND q.p = f.p[1:f.d - 1]""",
+    "op12_phrase_mining": f"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+ws AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM ws GROUP BY lang),
+grams AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: list_aggregate(ws[i:i + k - 1], 'string_agg', ' '))) AS phrase
+FROM ws, (VALUES (1), (2), (3)) AS ks(k)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 10),
+cand AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+cuts AS (SELECT c.lang, c.phrase, c.k, c.a, x.a AS l, y.a AS r, cut, CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(x.a AS HUGEINT) * y.a) AS score
+FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand) c
+JOIN f x ON x.lang = c.lang AND x.phrase = list_aggregate(c.ws[1:cut], 'string_agg', ' ')
+JOIN f y ON y.lang = c.lang AND y.phrase = list_aggregate(c.ws[cut + 1:], 'string_agg', ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_parts AS (SELECT lang, list_aggregate(ws[i:i + 1], 'string_agg', ' ') AS phrase, max(a) AS longer
+FROM (SELECT *, unnest([1, 2]) AS i FROM cand WHERE k = 3) GROUP BY ALL),
+kept AS (SELECT o.* FROM lowest o LEFT JOIN inner_parts i USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
+    "op13_embedding_dedup": """WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = len(e)
+AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN least l ON l.a = vec_id LEFT JOIN counts c ON c.a = vec_id""",
     "op10_license_scan": _license_sql(),
     # marks: 9 and 8 characters before a block's first text, 8 before each other text, 8 after the block
     "op3_chat_formatting": f"""WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -12,6 +12,8 @@ COLUMNS = {
     "op6_simhash_dedup": "doc_id fingerprint component_id", "op7_exact_top_k": "query_id rank vec_id score",
     "op8_quality_ranking": "doc_id held_out score predicted", "op9_nearest_neighbours": "query_id rank vec_id score",
     "op10_license_scan": "doc_id n_words n_base first_word last_word base_labels labels score",
+    "op11_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op12_phrase_mining": "lang rank phrase a l r n score", "op13_embedding_dedup": "vec_id n_links component_id kept",
     "pipeline": "doc_id piece start length ids_crc32 sequence_id offset"}
 
 
@@ -19,7 +21,7 @@ COLUMNS = {
 def test_columns_and_rows(spark, name):
     df = entry.queries()[name](spark, SF)
     assert set(COLUMNS[name].split()) <= set(df.columns)
-    table = {"op3_chat_formatting": "conversations", "op7_exact_top_k": "embeddings", "op9_nearest_neighbours": "embeddings"}.get(name, "documents")
+    table = {"op3_chat_formatting": "conversations", "op11_prefix_trie": "conversations", "op13_embedding_dedup": "embeddings", "op7_exact_top_k": "embeddings", "op9_nearest_neighbours": "embeddings"}.get(name, "documents")
     given = spark.read.parquet(f"{SF}/{table}.parquet")
     if "doc_id" in df.columns and name != "pipeline":
         assert df.select("doc_id").distinct().count() == given.count()

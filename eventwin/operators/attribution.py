@@ -1,10 +1,7 @@
 """How much each feature moves a model's output, per row and on average.
 
 Linear models: weight times distance from the mean, a plain expression. Tree ensembles: exact
-Shapley values with path-dependent expectations. A leaf contributes the product, over the features
-on its path, of "the row stays on the path" or, for a feature left out, the share of training rows
-that do. The Shapley value of such a product depends only on which path features a row satisfies, so
-rows are handled in bulk per leaf.
+Shapley values with path-dependent expectations (`operators.trees`).
 """
 
 from __future__ import annotations
@@ -12,7 +9,6 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Iterator, Sequence
-from math import factorial
 
 import numpy as np
 import pandas as pd
@@ -20,7 +16,9 @@ from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from eventwin.operators.boosting import BoostedTrees
 from eventwin.operators.scan import _q, _text
+from eventwin.operators.trees import Tree, shapley_values
 from eventwin.session import shared_dir
 
 # executors get the functions below by value and need no copy of this package
@@ -66,31 +64,8 @@ def dependence(attributed: DataFrame, features: Sequence[str], feature: str, col
 
 # trees -----------------------------------------------------------------------------------------
 
-def _leaves(nodes: pd.DataFrame, tree_weight: list[float], classifier: bool) -> list[tuple]:
-    """(features, lower limits, upper limits, cover ratios, value) of every leaf; covers are summed row weights."""
-    out = []
-    cover = lambda r: float(sum(r.stats) if classifier else r.stats[0])
-    for tree, rows in nodes.groupby("tree"):
-        node = {r.id: r for r in rows.itertuples()}
-        stack = [(0, {})]
-        while stack:
-            at, path = stack.pop()
-            here = node[at]
-            if here.left < 0:
-                value = (here.stats[1] / sum(here.stats) if classifier else here.prediction) * tree_weight[tree]
-                feats = sorted(path)
-                lo, hi, ratio = (np.array([path[f][k] for f in feats], dtype=float) for k in range(3))
-                out.append((np.array(feats, dtype=int), lo, hi, ratio, float(value)))
-                continue
-            for child, left in ((here.left, True), (here.right, False)):
-                lo, hi, ratio = path.get(here.feature, (-np.inf, np.inf, 1.0))
-                limits = (lo, min(hi, here.threshold)) if left else (max(lo, here.threshold), hi)
-                stack.append((child, {**path, here.feature: (*limits, ratio * cover(node[child]) / cover(here))}))
-    return out
-
-
-def tree_leaves(model: PipelineModel, spark) -> list[tuple]:
-    """The leaves of a fitted forest or boosted model; the size is set by the model, not by the data."""
+def _spark_trees(model: PipelineModel, spark) -> list[Tree]:
+    """The trees of a fitted forest or boosted model of Spark ML; their size is set by the model, not by the data."""
     ensemble = model.stages[-1]
     path = f"{shared_dir(spark)}/trees-{uuid.uuid4().hex}"
     ensemble.write().save(path)
@@ -105,71 +80,40 @@ def tree_leaves(model: PipelineModel, spark) -> list[tuple]:
         "nodeData.prediction as prediction", "nodeData.impurityStats as stats",
         "nodeData.split.featureIndex as feature", "get(nodeData.split.leftCategoriesOrThreshold, 0) as threshold",
     ).toPandas()
-    return _leaves(nodes, weights, classifier)
+    trees = []
+    for number, rows in nodes.groupby("tree"):
+        found = []
+        for r in rows.sort_values("id").itertuples():
+            leaf, total = r.left < 0, float(sum(r.stats))
+            value = (r.stats[1] / total if classifier else r.prediction) * weights[number] if leaf else 0.0
+            # these trees send a row left at the threshold too, and a missing value right
+            limit = 0.0 if leaf else float(np.nextafter(r.threshold, np.inf))
+            found.append((r.feature, limit, False, r.left, r.right, value, total if classifier else float(r.stats[0])))
+        trees.append(Tree.of(found))
+    return trees
 
 
-def _shares(z: np.ndarray, ratio: np.ndarray) -> np.ndarray:
-    """Shapley values of the game v(S) = prod(z in S) · prod(ratio outside S), for each row of `z`."""
-    d = len(ratio)
-    weight = [factorial(s) * factorial(d - s - 1) / factorial(d) for s in range(d)]
-    out = np.empty((len(z), d))
-    for i in range(d):
-        by_size = np.zeros((len(z), d))  # summed products over coalitions of each size without i
-        by_size[:, 0] = 1.0
-        for j in range(d):
-            if j != i:
-                joined = by_size[:, :-1] * z[:, [j]]
-                by_size *= ratio[j]
-                by_size[:, 1:] += joined
-        out[:, i] = (by_size @ weight) * (z[:, i] - ratio[i])
-    return out
+def trees_of(model: PipelineModel | BoostedTrees, spark) -> tuple[list[Tree], float]:
+    """A model's trees and what their sum starts from."""
+    return (model.trees, model.start) if isinstance(model, BoostedTrees) else (_spark_trees(model, spark), 0.0)
 
 
-def _patterns(codes: np.ndarray, d: int) -> np.ndarray:
-    return ((codes[:, None] >> np.arange(d)) & 1).astype(float)
-
-
-def shapley_values(x: np.ndarray, leaves: list[tuple], tables: dict[int, dict[int, np.ndarray]]) -> np.ndarray:
-    """Attributions of the rows of `x`; `tables` keeps each leaf's results by pattern between calls.
-
-    Rows go where the model sends them: left unless the value is above the limit, NaN to the right.
-    """
-    phi = np.zeros(x.shape)
-    for n, (feats, lo, hi, ratio, value) in enumerate(leaves):
-        d = len(feats)
-        if d == 0 or value == 0.0:
-            continue
-        given = x[:, feats]
-        on_path = (~(given <= lo) | np.isneginf(lo)) & ((given <= hi) | np.isposinf(hi))
-        seen, where = np.unique(on_path @ (1 << np.arange(d)), return_inverse=True)
-        known = tables.setdefault(n, {})
-        new = np.array([c for c in seen if c not in known], dtype=int)
-        if len(new):
-            known.update(zip(new.tolist(), value * _shares(_patterns(new, d), ratio)))
-        phi[:, feats] += np.array([known[c] for c in seen.tolist()])[where]
-    return phi
-
-
-def expected_output(leaves: list[tuple]) -> float:
-    """The model output with no feature known."""
-    return float(sum(value * np.prod(ratio) for _, _, _, ratio, value in leaves))
-
-
-def tree_attribution(df: DataFrame, model: PipelineModel, features: Sequence[str], keep: Sequence[str] = ()
+def tree_attribution(df: DataFrame, model: PipelineModel | BoostedTrees, features: Sequence[str], keep: Sequence[str] = ()
                      ) -> DataFrame:
     """`keep` and feature columns plus `phi` and `base`: base + sum(phi) is the model output of the row.
 
-    The output of a boosted model is its margin (half the log-odds), that of a forest its probability.
+    The output of a boosted model is its margin (the log-odds; half of them for Spark's), that of a forest its probability.
     """
     spark, columns = df.sparkSession, list(features)
-    leaves = tree_leaves(model, spark)
-    shipped, base = spark.sparkContext.broadcast(leaves), expected_output(leaves)
+    if isinstance(model, BoostedTrees) and columns != list(model.features):
+        raise ValueError("attributions are of the features that the model was fitted on, in their order")
+    trees, start = trees_of(model, spark)
+    shipped, base = spark.sparkContext.broadcast(trees), start + sum(t.expected() for t in trees)
     rows = df.select(*_q(keep), *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables: dict[int, dict[int, np.ndarray]] = {}
         for batch in batches:
-            phi = shapley_values(batch[columns].to_numpy(dtype=float), shipped.value, tables)
+            phi = shapley_values(batch[columns].to_numpy(dtype=float), shipped.value)
             yield batch.assign(phi=list(phi), base=base)
 
     schema = T.StructType([*rows.schema.fields, T.StructField("phi", T.ArrayType(T.DoubleType())),

@@ -10,6 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from eventwin.operators.boosting import BoostedTrees
 from eventwin.operators.metrics import compare_variants, evaluate, union_scores
 from eventwin.operators.scan import _q, _text
 from eventwin.sources.sinks import staged
@@ -71,8 +72,10 @@ def fit_boosted(train: DataFrame, features: Sequence[str], label: str = "label_s
     return _fit(estimator, train, features, label, 1.0, float(positive_weight))
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: PipelineModel | BoostedTrees, df: DataFrame) -> DataFrame:
     """`df` plus `score`, the probability of class 1, and `prediction`, 1 from a score above 0.5."""
+    if isinstance(model, BoostedTrees):
+        return model.predict(df)
     scored = model.transform(df)
     return scored.select(*_q(df.columns), vector_to_array("probability")[1].alias("score"),
                          F.col("prediction").cast("int").alias("prediction"))

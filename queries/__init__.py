@@ -1,8 +1,8 @@
 """Registered queries over the given tables, each with the SQL it must agree with where SQL can say it."""
 
-from queries import attribution, cleaning, features, intervals, metrics, models, parsing, preparation, profiles, sinks
+from queries import attribution, boosting, cleaning, features, intervals, metrics, models, parsing, preparation, profiles, sinks
 
-GROUPS = (intervals, cleaning, features, parsing, profiles, preparation, metrics, attribution, models, sinks)
+GROUPS = (intervals, cleaning, features, parsing, profiles, preparation, metrics, attribution, models, boosting, sinks)
 
 
 def all_queries() -> dict:

@@ -1,5 +1,3 @@
-from itertools import combinations
-from math import factorial
 
 import numpy as np
 import pytest
@@ -142,16 +140,6 @@ def test_ablation(matrix):
     assert scores.count() == 2 and set(delta) == {"f1_storm", "precision", "recall", "auc_roc"} and delta["auc_roc"] < 0
 
 
-def test_shapley_of_a_path_by_definition():
-    ratio = np.array([0.3, 0.6, 0.9, 0.2])
-    for bits in range(16):
-        z = np.array([[(bits >> i) & 1 for i in range(4)]], dtype=float)
-        game = lambda s: np.prod([z[0, i] if i in s else ratio[i] for i in range(4)])
-        want = [sum(factorial(len(s)) * factorial(3 - len(s)) / factorial(4) * (game({*s, i}) - game(set(s)))
-                    for k in range(4) for s in combinations([j for j in range(4) if j != i], k)) for i in range(4)]
-        assert np.allclose(A._shares(z, ratio)[0], want)
-
-
 @pytest.mark.parametrize("kind", ["boosted", "forest"])
 def test_tree_attribution_adds_up(spark, matrix, kind):
     train = matrix.where("split = 'train'")
@@ -161,10 +149,9 @@ def test_tree_attribution_adds_up(spark, matrix, kind):
         got = rows[r["id"]]["base"] + sum(rows[r["id"]]["phi"])
         want = 0.5 * np.log(r["score"] / (1 - r["score"])) if kind == "boosted" else r["score"]
         assert got == pytest.approx(want, abs=1e-9)
-    leaves = A.tree_leaves(model, spark)
+    trees, _ = A.trees_of(model, spark)
     x = np.array([[rows[i][c] for c in COLUMNS] for i in sorted(rows)])
-    known = {}
-    assert np.allclose(A.shapley_values(x, leaves, known), np.vstack([A.shapley_values(x[i:i + 1], leaves, known) for i in range(len(x))]))
+    assert np.allclose(A.shapley_values(x, trees), np.vstack([A.shapley_values(x[i:i + 1], trees) for i in range(len(x))]))
     # values that take part in no comparison go where the model sends them
     odd = spark.createDataFrame([(i, *[v if j == i % 4 else 0.5 for j in range(4)]) for i, v in enumerate([float("nan"), float("-inf"), float("inf")] * 4)],
                                 "id int, " + ", ".join(f"{c} double" for c in COLUMNS)).withColumn("label_storm", F.lit(0))

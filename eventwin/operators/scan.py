@@ -8,14 +8,20 @@ before its own, so none holds more than 65,536 rows of a group, however the valu
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from math import ceil, floor
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from eventwin.session import staged
+
 #: Bits below a digit's place, from the first digit to the last.
 SHIFTS = (48, 32, 16, 0)
-#: Bits left out of the bins that quantiles are looked for in: 256 bins for each power of two.
-BIN_SHIFT = 44
+#: A column's sketch errs by at most its number of values over this.
+SKETCH = 8_192
+#: Most distinct values of a range that one window puts in order; a range with more is cut into so many pieces.
+RANGE_VALUES, PIECES = 1 << 20, 256
 
 
 def _q(names: Sequence[str]) -> list[str]:
@@ -75,39 +81,127 @@ def running_totals(df: DataFrame, order: str, measures: Sequence[str], *, by: Se
     return found.selectExpr(*_q(df.columns), *[f"`_b_{m}` as `{m}_before`" for m in measures], *[f"`_n_{m}` as `{m}_total`" for m in measures])
 
 
+def _ranges(bounds: Sequence[tuple[float, float]], least: float, most: float, n: int, probs: Sequence[float]) -> list[tuple[float, float]]:
+    """Disjoint ranges of values, in order, that hold the ranks wanted, from what a sketch tells three of its errors below and above each.
+
+    With so few values that an error is less than one rank, all values are one range.
+    """
+    found: list[tuple[float, float]] = []
+    for p, (lo, hi) in sorted(zip(probs, bounds)):
+        lo, hi = (lo if n >= SKETCH and p > 3 / SKETCH else least), (hi if n >= SKETCH and p < 1 - 3 / SKETCH else most)
+        if found and lo <= found[-1][1]:
+            found[-1] = found[-1][0], max(hi, found[-1][1])
+        else:
+            found.append((lo, hi))
+    return found
+
+
+def _placed(values: DataFrame, ranges: Sequence[Sequence[tuple[float, float]]]) -> DataFrame:
+    """(place, part, v, c) from one pass over a column per place: how often each value inside a range occurs, and, with v null, how many
+    values lie outside: part says before which range."""
+    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        edges = [(np.array([lo for lo, _ in r], float), np.array([hi for _, hi in r], float)) for r in ranges]
+        outside = [np.zeros(len(r) + 1, np.int64) for r in ranges]
+
+        def told(i: int, parts, found, counts) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(parts), i), pa.int32()), pa.array(parts, pa.int32()), found, pa.array(counts, pa.int64())],
+                                              ["place", "part", "v", "c"])
+
+        for batch in batches:
+            for i, (lo, hi) in enumerate(edges):
+                given = batch.column(i).drop_null().to_numpy(zero_copy_only=False)
+                part = np.searchsorted(lo, given, side="right") - 1
+                inside = part >= 0
+                inside[inside] = given[inside] <= hi[part[inside]]
+                outside[i] += np.bincount(part[~inside] + 1, minlength=len(lo) + 1)
+                found, first, counts = np.unique(given[inside], return_index=True, return_counts=True)
+                if len(found):
+                    yield told(i, part[inside][first], pa.array(found, pa.float64()), counts)
+        for i, counts in enumerate(outside):
+            some = np.flatnonzero(counts)
+            yield told(i, some, pa.nulls(len(some), pa.float64()), counts[some])
+
+    return values.mapInArrow(place, "place int, part int, v double, c bigint").groupBy("place", "part", "v").agg(F.sum("c").alias("c"))
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str] | Mapping[str, str], probs: Sequence[float]) -> DataFrame:
     """Quantiles with linear interpolation: rows (column, prob, value, n); missing values are left out.
 
-    `columns` may map output names to SQL expressions. Two passes over the needed columns: counts per bin,
-    and the values of only those bins that hold a wanted rank.
+    `columns` may map output names to SQL expressions. Two passes over the needed columns: one aggregate makes a mergeable sketch of each
+    column, which tells a narrow range of values around each wanted rank; the other counts what lies between ranges and keeps the
+    values inside. Should a rank lie outside its range, that column's range becomes all of its values, so results are exact in any case.
     """
     named = dict(columns) if isinstance(columns, Mapping) else {c: f"`{c}`" for c in columns}
-    cells = ", ".join(f"{_text(name)}, cast({expr} as double)" for name, expr in named.items())
-    long = df.selectExpr(f"stack({len(named)}, {cells}) as (column, v)").where("v is not null and not isnan(v)")
-    binned = long.selectExpr("*", f"shiftright({sort_key('v')}, {BIN_SHIFT}) as bin")
-
-    wanted = ", ".join(f"{float(p)!r}D" for p in probs)
-    counts = binned.groupBy("column", "bin").agg(F.expr("count(1) as c")).selectExpr(
-        "*", "coalesce(sum(c) over (partition by column order by bin rows between unbounded preceding and "
-             "1 preceding), 0) as c0", "sum(c) over (partition by column) as n")
-    targets = (
-        counts.selectExpr("*", f"explode(array({wanted})) as prob")
-        .selectExpr("*", "explode(array(cast(floor((n - 1) * prob) as bigint), cast(ceil((n - 1) * prob) as bigint)))"
-                         " as r")
-        .where("r >= c0 and r < c0 + c")
-        .selectExpr("column", "bin", "prob", "r", "r - c0 as r_bin", "n")
-        .distinct()
-    )
+    names, spark = list(named), df.sparkSession
+    values = df.selectExpr(*[f"nanvl(cast({expr} as double), cast(null as double)) as c{i}" for i, expr in enumerate(named.values())])
+    shares = F.lit([min(max(p + d / SKETCH, 0.0), 1.0) for p in probs for d in (-3, 3)])
+    told = values.agg(*[e for i in range(len(names)) for e in (
+        F.count(f"c{i}").alias(f"n{i}"), F.min(f"c{i}").alias(f"a{i}"), F.max(f"c{i}").alias(f"b{i}"),
+        F.percentile_approx(f"c{i}", shares, SKETCH).alias(f"s{i}"))]).first()
+    kept = [i for i in range(len(names)) if told[f"n{i}"]]
+    size = {i: told[f"n{i}"] for i in kept}
+    bounds = {i: list(zip(told[f"s{i}"][::2], told[f"s{i}"][1::2])) for i in kept}
+    ranges = {i: _ranges(bounds[i], told[f"a{i}"], told[f"b{i}"], size[i], probs) for i in kept}
+    ranks = {i: sorted({r for p in probs for r in (floor((size[i] - 1) * p), ceil((size[i] - 1) * p))}) for i in kept}
+    missed = set(kept)
+    while missed:
+        found = staged(_placed(values.select(*[f"c{i}" for i in kept]), [ranges[i] for i in kept]), "quantile-ranges")
+        sums = {(kept[r["place"]], r["part"], r["outside"]): (r["c"], r["d"]) for r in found.groupBy(
+            "place", "part", F.expr("v is null as outside")).agg(F.sum("c").alias("c"), F.count("v").alias("d")).collect()}  # two rows for each range
+        wanted, missed = [], set()
+        for place, i in enumerate(kept):
+            before = 0
+            for part in range(len(ranges[i])):
+                before += sums.get((i, part, True), (0, 0))[0]
+                inside = sums.get((i, part, False), (0, 0))[0]
+                wanted += [(place, part, r, r - before) for r in ranks[i] if before <= r < before + inside]
+                before += inside
+            if sum(w[0] == place for w in wanted) < len(ranks[i]):
+                missed.add(i)
+                ranges[i] = [(told[f"a{i}"], told[f"b{i}"])]
+    at = _at_ranks(found.where("v is not null"), wanted, max((d for _, d in sums.values()), default=0)) if kept else {}
+    rows = []
+    for place, i in enumerate(kept):
+        for p in probs:
+            position = (size[i] - 1) * p
+            a, b = at[place, floor(position)], at[place, ceil(position)]
+            rows.append((names[i], float(p), a + (b - a) * (position - floor(position)), size[i]))
+    return spark.createDataFrame(rows, "column string, prob double, value double, n bigint")
+
+
+def _at_ranks(inside: DataFrame, wanted: list[tuple[int, int, int, int]], most: int) -> dict[tuple[int, int], float]:
+    """(place, rank) to value for wanted (place, part, rank, rank within the part) over counted values (place, part, v, c).
+
+    Parts with more than RANGE_VALUES values are cut at a sketch of theirs, and only the pieces that hold a wanted rank stay; so no
+    window is over more values than that.
+    """
+    spark = inside.sparkSession
+    while most > RANGE_VALUES:
+        steps = F.lit([i / PIECES for i in range(1, PIECES)])
+        cuts = inside.groupBy("place", "part").agg(F.percentile_approx("v", steps, PIECES * 4).alias("cuts"))
+        # a row of PIECES numbers for each range
+        cut = inside.join(F.broadcast(cuts), ["place", "part"]).selectExpr("place", "part", "size(filter(cuts, e -> e < v)) as piece", "v", "c")
+        held: dict[tuple, list] = {}
+        for r in cut.groupBy("place", "part", "piece").agg(F.sum("c").alias("c"), F.count("v").alias("d")).collect():
+            held.setdefault((r["place"], r["part"]), []).append((r["piece"], r["c"], r["d"]))
+        chosen, narrowed, most = {}, [], 0
+        for place, part, rank, left in wanted:
+            for piece, c, d in sorted(held[place, part]):
+                if left < c:
+                    narrowed.append((place, chosen.setdefault((place, part, piece), len(chosen)), rank, left))
+                    most = max(most, d)
+                    break
+                left -= c
+        wanted = narrowed
+        pieces = spark.createDataFrame([(*k, v) for k, v in chosen.items()], "place int, part int, piece int, next int")
+        inside = staged(cut.join(F.broadcast(pieces), ["place", "part", "piece"]).selectExpr("place", "next as part", "v", "c"), "quantile-pieces")
     # at most two ranks per column and probability
-    spots = F.broadcast(targets.select("column", "bin").distinct())
-    values = binned.join(spots, ["column", "bin"], "left_semi").groupBy("column", "bin", "v").agg(
-        F.expr("count(1) as c"))
-    ranked = running_totals(values, "v", ["c"], by=["column", "bin"])
-    hits = ranked.join(F.broadcast(targets), ["column", "bin"]).where("r_bin >= c_before and r_bin < c_before + c")
-    # lower and upper neighbour of the wanted position
-    ends = hits.groupBy("column", "prob", "n").agg(F.expr("min(v) as a"), F.expr("max(v) as b"))
-    return ends.selectExpr("column", "prob",
-                           "a + (b - a) * ((n - 1) * prob - floor((n - 1) * prob)) as value", "n")
+    targets = F.broadcast(spark.createDataFrame(wanted, "place int, part int, rank bigint, r bigint"))
+    before = F.expr("coalesce(sum(c) over (partition by place, part order by v rows between unbounded preceding and 1 preceding), 0L) as c0")
+    hits = inside.select("*", before).join(targets, ["place", "part"]).where("r >= c0 and r < c0 + c")
+    return {(r["place"], r["rank"]): r["v"] for r in hits.select("place", "rank", "v").collect()}
 
 
 def quantile(df: DataFrame, column: str, prob: float):

@@ -2,29 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
 from eventwin.operators.split import split_summary
-from eventwin.session import shared_dir
-
-
-def land(df: DataFrame, path: str, *, format: str = "parquet", mode: str = "overwrite") -> DataFrame:
-    """Write `df` and read it back: later steps start from the files instead of repeating its plan."""
-    writer = df.write.mode(mode)
-    (writer.option("header", True).csv if format == "csv" else writer.parquet)(path)
-    reader = df.sparkSession.read
-    return reader.schema(df.schema).csv(path, header=True) if format == "csv" else reader.parquet(path)
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """`df` written once to the shared folder, for tables that several jobs will read.
-
-    Unlike a cache it survives lost executors, and unlike a checkpoint it stays columnar.
-    """
-    return land(df, f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}", mode="errorifexists")
+from eventwin.session import land, staged  # noqa: F401  (also known by this module)
 
 
 def write_splits(matrix: DataFrame, folder: str, features: Sequence[str], *, label: str = "label_storm",

@@ -39,6 +39,24 @@ def test_quantiles_many_columns(spark):
     assert exact_quantiles(only_null, ["x"], [0.5]).count() == 0
 
 
+def test_quantile_ranges_are_narrow_and_misses_are_mended(spark, monkeypatch):
+    """Only values around the wanted ranks are kept, and a sketch that errs changes no result."""
+    rnd = np.random.default_rng(4)
+    values = np.concatenate([rnd.normal(size=60_000), np.full(30_000, 0.25), rnd.normal(size=10_000).round(1)])
+    df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(6)
+    ranges = []
+    placed = scan._placed
+    monkeypatch.setattr(scan, "_placed", lambda v, r: ranges.append(r) or placed(v, r))
+    probs = [0.001, 0.2, 0.5, 0.97]
+    check = lambda: all(r["value"] == pytest.approx(np.quantile(values, r["prob"]), rel=1e-12) for r in exact_quantiles(df, ["x"], probs).collect())
+    assert check() and len(ranges) == 1
+    inside = [((values >= lo) & (values <= hi)).sum() for lo, hi in ranges[0][0]]
+    assert len(inside) == 4 and sum(inside) - 30_000 * any(lo <= 0.25 <= hi for lo, hi in ranges[0][0]) < 2_000
+    monkeypatch.setattr(scan, "_ranges", lambda *_: [(5.0, 5.1)])
+    monkeypatch.setattr(scan, "RANGE_VALUES", 40)  # cut twice
+    assert check() and len(ranges) == 3 and ranges[2][0] == [(values.min(), values.max())]
+
+
 def test_clip_keeps_missing(spark):
     df = spark.createDataFrame([(float(i),) for i in range(101)] + [(None,)], "x double")
     got = [r["x"] for r in clip_at_quantile(df, "x").collect()]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventwin.functions.parse import class_strength, number, utc_time
+from eventwin.sources.json_arrays import read_json_array
 from eventwin.sources.schemas import ANALYSIS_FIELDS, EVENT_JSON, FLARE_JSON
 
 
@@ -29,11 +30,13 @@ def parse_events(raw: DataFrame, *, pick: str = "first") -> DataFrame:
         *analysis)
 
 
+def _objects(spark: SparkSession, path: str, schema: str, multi_line: bool) -> DataFrame:
+    return read_json_array(spark, path, schema) if multi_line else spark.read.schema(schema).json(path)
+
+
 def read_events(spark: SparkSession, path: str, *, pick: str = "first", multi_line: bool = True) -> DataFrame:
-    """Event catalogue. A JSON array spanning lines cannot be split among tasks: land it once as
-    Parquet (see `sinks.land`), or store one object per line and pass `multi_line=False`."""
-    raw = spark.read.schema(EVENT_JSON).option("multiLine", multi_line).json(path)
-    return parse_events(raw, pick=pick)
+    """Event catalogue: JSON arrays, read in byte ranges, or one object per line with `multi_line=False`."""
+    return parse_events(_objects(spark, path, EVENT_JSON, multi_line), pick=pick)
 
 
 def parse_flares(raw: DataFrame) -> DataFrame:
@@ -44,4 +47,4 @@ def parse_flares(raw: DataFrame) -> DataFrame:
 
 
 def read_flares(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
-    return parse_flares(spark.read.schema(FLARE_JSON).option("multiLine", multi_line).json(path))
+    return parse_flares(_objects(spark, path, FLARE_JSON, multi_line))

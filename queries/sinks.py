@@ -10,6 +10,7 @@ from eventwin.functions.times import time_micros
 from eventwin.operators import clean
 from eventwin.operators.prep import Preprocessor, fit_preprocessor
 from eventwin.session import shared_dir
+from eventwin.sources.json_arrays import read_json_array
 from eventwin.sources.series import export_series
 from eventwin.sources.sinks import land, write_scores, write_splits
 from queries import intervals, metrics, parsing, preparation
@@ -29,6 +30,30 @@ def exported(spark, d):
     return back.select(time_micros(back, "time").alias("time"), "V", "Np")
 
 
+def json_arrays(spark, d):
+    """Orders written as JSON arrays, all in one line or over lines, with braces, quotes and backslashes in texts, and read in ranges."""
+    text = F.concat(F.lit('}{]["'), "o_orderpriority", F.lit('\\\\", é\n[{'), "o_orderstatus")
+    rows = table(spark, d, "orders").select(F.to_json(F.struct(
+        F.col("o_orderkey").alias("id"), text.alias("text"), F.array(F.struct(F.col("o_totalprice").alias("price"))).alias("inner"))).alias("doc"))
+
+    def arrays(batches):
+        import pyarrow as pa
+
+        lines = lambda values: pa.RecordBatch.from_arrays([pa.array(values, pa.string())], ["value"])
+        first = True
+        yield lines(["["])
+        for batch in batches:
+            docs = batch.column(0).to_pylist()
+            yield lines([doc if first and not i else f",{'\n' * (i % 3)}{doc}" for i, doc in enumerate(docs)])
+            first = first and not docs
+        yield lines(["]\n"])
+
+    path = _folder(spark)
+    rows.mapInArrow(arrays, "value string").write.option("lineSep", " ").text(path)
+    return read_json_array(spark, path, "id bigint, text string, inner array<struct<price: double>>").selectExpr(
+        "id", "text", "inner[0].price as price")
+
+
 def labelled(spark, d):
     return land(intervals.max_label(spark, d), _folder(spark), format="csv")
 
@@ -59,10 +84,12 @@ def group_members(spark, d):
     return made.selectExpr(f"stack({len(rows)}, " + ", ".join(f"'{g}', '{c}', {c}" for g, c in rows) + ") as (feature_group, feature, value)")
 
 
-QUERIES = {"export_series_back": exported, "labelled_table_back": labelled, "splits_back": splits, "preprocessor_back": preprocessor,
+QUERIES = {"json_arrays_back": json_arrays, "export_series_back": exported, "labelled_table_back": labelled, "splits_back": splits, "preprocessor_back": preprocessor,
            "scores_back": scores, "feature_group_members": group_members}
 
 ORACLES = {
+    "json_arrays_back": """SELECT o_orderkey AS id, '}{]["' || o_orderpriority || chr(92) || chr(92) || '", é' || chr(10) || '[{' || o_orderstatus AS text,
+o_totalprice AS price FROM orders""",
     "export_series_back": parsing.ORACLES["trim_series"],
     "labelled_table_back": intervals.ORACLES["interval_max_label"],
     "splits_back": preparation.ORACLES["time_split"],

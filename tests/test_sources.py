@@ -144,3 +144,47 @@ def test_no_nan_and_landing(spark, tmp_path):
     for kind in ("parquet", "csv"):
         landed = sinks.land(no_nan(df), str(tmp_path / kind), format=kind)
         assert sorted(rows(landed, "i", "x")) == [(1, None), (2, 2.0)]
+
+
+# JSON arrays in byte ranges -----------------------------------------------------------------
+
+def odd_objects(n):
+    import random
+
+    draw = random.Random(n)
+    bits = ["}", "{", "[", "]", '"', "\\", "\n", "é", "\U0001f600", "a", ",", ":", " ", "\\\"", "}\\", "]}"]
+    text = lambda: "".join(draw.choice(bits) for _ in range(draw.randint(0, 25)))
+    return [{"id": i, text() or "k": text(), "deep": [{"x": [text(), {"y": text()}]}, []], "none": None} for i in range(n)]
+
+
+@pytest.mark.parametrize("indent", [None, 0, 3])
+@pytest.mark.parametrize("size", [64, 1_000, 1 << 27])
+def test_arrays_are_read_in_ranges(spark, tmp_path, indent, size):
+    """Ranges of any size give the same objects, however the array is laid out; most objects are longer than the smallest range."""
+    from eventwin.sources.json_arrays import array_objects
+    folder, want = tmp_path / "arrays", []
+    folder.mkdir()
+    for n in (0, 1, 40):
+        objects = odd_objects(n)
+        want += objects
+        (folder / f"{n}.json").write_text(json.dumps(objects, indent=indent, ensure_ascii=n == 1) + "\n" * n)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+        parts = spark.read.option("lineSep", "}").text(str(folder)).rdd.getNumPartitions()
+        got = [json.loads(r["value"]) for r in array_objects(spark, str(folder)).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert parts > 4 or size > 1_000
+    key = lambda o: json.dumps(o, sort_keys=True)
+    assert sorted(map(key, got)) == sorted(map(key, want))
+
+
+def test_arrays_with_other_elements_and_no_end(spark, tmp_path):
+    from eventwin.sources.json_arrays import array_objects, read_json_array
+    (tmp_path / "mixed.json").write_text('[1, "a}", [{"no": 1}], {"id": 5}, null, {"id": 6, "t": {"u": "cut')
+    assert sorted(r["value"] for r in array_objects(spark, str(tmp_path)).collect())[0].startswith('{"id": 5}')
+    got = read_json_array(spark, str(tmp_path), "id int").collect()
+    assert {r["id"] for r in got} >= {5} and len(got) == 2

@@ -16,6 +16,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -163,6 +164,18 @@ def _partials(points: DataFrame, instants: DataFrame, keys: Sequence[str], span:
     return _merge(edges.select(*k, "_t", *names).unionByName(middle), [*keys, "_t"], parts)
 
 
+def _overall_means(series: DataFrame, columns: Sequence[str]) -> dict[str, float | Decimal | None]:
+    """The means of all columns from one pass: any number near a column's values serves as the centre of its deviations."""
+    if not columns:
+        return {}
+    means = []
+    for i, c in enumerate(columns):
+        kind, mean = series.schema[c].dataType, F.avg(_measure(series, c))
+        means.append((F.round(mean, kind.scale).cast(kind) if isinstance(kind, T.DecimalType) else mean).alias(f"m{i}"))
+    row = series.agg(*means).first()
+    return {c: row[f"m{i}"] for i, c in enumerate(columns)}
+
+
 def interval_stats(
     events: DataFrame,
     series: DataFrame,
@@ -206,6 +219,8 @@ def interval_stats(
     inputs: list[Column] = []
     slot = {c: i for i, c in enumerate(wanted)}
     centres: dict[str, Column] = {}
+    spread = [c for c, stats in wanted.items() if "std" in stats]
+    middle = _overall_means(series, spread)
     if any(stat == "rows" for stat, _ in outputs.values()):
         parts.append(_Part("_rows", "count(1)", "sum"))
     for column, stats in wanted.items():
@@ -214,13 +229,13 @@ def interval_stats(
         inputs.append(value.alias(f"_v{i}"))
         shifted = f"_v{i}"
         if "std" in stats and exact:
-            centre = F.coalesce(series.select(F.round(F.avg(value), kind.scale).cast(kind)).scalar(), F.lit(0).cast(kind))
+            centre = F.lit(middle[column] or 0).cast(kind)
             unit = F.lit(10**kind.scale).cast(T.DecimalType(kind.scale + 1, 0))
             far = (value - centre).cast(T.DecimalType(DIGITS, kind.scale)) * unit
             inputs.append(far.cast(T.DecimalType(DIGITS, 0)).alias(f"_c{i}"))
             parts += [_Part(f"_u{i}", f"sum(_c{i})", "sum"), _Part(f"_q{i}", f"sum(_c{i} * _c{i})", "sum")]
         elif "std" in stats:
-            centres[column] = F.coalesce(series.select(F.avg(value)).scalar(), F.lit(0.0))
+            centres[column] = F.lit(middle[column] or 0.0)
             inputs.append((value - centres[column]).alias(f"_c{i}"))
             shifted = f"_c{i}"
             parts.append(_Part(f"_q{i}", f"sum({shifted} * {shifted})", "sum"))

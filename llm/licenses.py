@@ -3,8 +3,8 @@
 Every licence template is a sequence of words with mandatory key phrases. The index holds, for each template, its rarest mandatory
 word (highest inverse document frequency over all documents scanned) and that word's places in the template. A file's words are met
 with the index; each meeting gives a template and a start by relative position, the template's words are intersected with the
-file's at these places, and a start counts only if all key phrases stand there and the matched share of IDF weight is high enough.
-A template whose key phrases are present always has its rarest mandatory word present, so no start is missed.
+file's at these places, and a start counts if all key phrases stand there. The matched share of IDF weight is the score alone, so a
+file's labels depend on its own text. A template whose key phrases are present always has its rarest mandatory word present, so no start is missed.
 """
 
 from __future__ import annotations
@@ -21,17 +21,16 @@ WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 class Template(NamedTuple):
-    """`keys`: mandatory phrases, each standing in `text`; `share`: least matched part of the IDF weight; `base`: counted as such."""
+    """`keys`: mandatory phrases, each standing in `text`; `base`: counted as such."""
 
     label: str
     text: str
     keys: tuple[str, ...]
-    share: float = 0.5
     base: bool = False
 
 
 def phrase(label: str, text: str) -> Template:
-    return Template(label, text, (text,), 1.0, True)
+    return Template(label, text, (text,), True)
 
 
 #: Phrases whose every place counts.
@@ -49,7 +48,7 @@ TEMPLATES = (
     Template("gpl-3", "licensed under the gnu general public license version 3", ("gnu general public license version 3",)),
     Template("lgpl", "licensed under the gnu lesser general public license version", ("gnu lesser general public license",)),
     Template("mpl-2", "subject to the terms of the mozilla public license version 2 0", ("mozilla public license",)),
-    Template("cc-by-sa", "licensed under cc by sa 4 0", ("cc by sa",), 0.3),
+    Template("cc-by-sa", "licensed under cc by sa 4 0", ("cc by sa",)),
     Template("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
 )
 
@@ -78,7 +77,7 @@ def _span(words: list[str], key: list[str]) -> tuple[int, int]:
 
 
 def build_index(templates: Sequence[Template], n_documents: int, frequency: dict[str, int]) -> tuple[Column, Column, list[str]]:
-    """Postings (word, template, at), templates (words, weights, keys, share, base, label) as literals, and the looked-up words."""
+    """Postings (word, template, at), templates (words, weights, keys, base, label) as literals, and the looked-up words."""
     weight = lambda w: math.log((n_documents + 1) / (frequency.get(w, 0) + 1)) + 1e-9
     postings, forms, rare = [], [], set()
     for number, template in enumerate(templates):
@@ -92,7 +91,7 @@ def build_index(templates: Sequence[Template], n_documents: int, frequency: dict
         key_places = sorted({i for a, n in spans for i in range(a, a + n)})
         forms.append(F.struct(F.lit(template.label).alias("label"), _strings(words).alias("words"),
                               F.array(*[F.lit(weight(w)) for w in words]).alias("weights"), F.array(*map(F.lit, key_places)).alias("keys"),
-                              F.lit(float(template.share)).alias("share"), F.lit(template.base).alias("base"),
+                              F.lit(template.base).alias("base"),
                               F.lit(math.fsum(map(weight, words))).alias("total")))
     return F.array(*postings), F.array(*forms), sorted(rare)
 
@@ -109,12 +108,11 @@ def _matches(words: Column, postings: Column, forms: Column, rare: list[str]) ->
             same = lambda i: F.coalesce(F.get(words, found["start"] + i) == F.get(form["words"], i), F.lit(False))
             held = F.aggregate(positions(form["words"]), F.lit(0.0), lambda acc, i: acc + F.when(same(i), F.get(form["weights"], i)).otherwise(0.0))
             score = F.when(F.forall(form["keys"], same), F.least(held / form["total"], F.lit(1.0))).otherwise(F.lit(-1.0))
-            return F.struct(form["label"].alias("label"), form["base"].alias("base"), found["start"].alias("start"), score.alias("score"),
-                            form["share"].alias("share"))
+            return F.struct(form["label"].alias("label"), form["base"].alias("base"), found["start"].alias("start"), score.alias("score"))
 
         return let(F.get(forms, found["template"]), at)
 
-    verified = F.filter(F.transform(starts, check), lambda m: m["score"] >= m["share"] - 1e-6)
+    verified = F.filter(F.transform(starts, check), lambda m: m["score"] >= 0)
     return F.when(F.arrays_overlap(words, _strings(rare)), verified)
 
 
@@ -138,6 +136,6 @@ def scan_licenses(docs: DataFrame, *, phrases: Sequence[Template] = PHRASES, tem
                         joined(base).alias("base_labels"), joined(found).alias("labels"),
                         F.coalesce(F.array_max(F.transform(found, lambda m: m["score"])), F.lit(0.0)).alias("score"))
 
-    none = F.array().cast("array<struct<label:string,base:boolean,start:int,score:double,share:double>>")
+    none = F.array().cast("array<struct<label:string,base:boolean,start:int,score:double>>")
     out = let(words_of(F.col("text")), lambda w: let(F.coalesce(_matches(w, postings, forms, rare), none), lambda m: row(w, m)))
     return docs.select(F.col("doc_id").cast("bigint"), out.alias("r")).select("doc_id", "r.*")

@@ -105,7 +105,7 @@ for _control in chat.CONTROLS:
 def _license_sql() -> str:
     """All starts of all templates by plain joins on word and place."""
     every = [*licenses.PHRASES, *licenses.TEMPLATES]
-    heads = ", ".join(f"({n}, '{t.label}', {t.share}, {str(t.base).lower()})" for n, t in enumerate(every))
+    heads = ", ".join(f"({n}, '{t.label}', {str(t.base).lower()})" for n, t in enumerate(every))
     places = []
     for n, t in enumerate(every):
         words = t.text.split()
@@ -113,15 +113,14 @@ def _license_sql() -> str:
                 for i in range(first, first + len(key.split()))}
         places += [f"({n}, {i}, '{w}', {str(i in keys).lower()})" for i, w in enumerate(words)]
     return f"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{licenses.WORDS}') AS ws FROM documents),
-t AS (SELECT * FROM (VALUES {heads}) AS x(template, label, share, base)),
+t AS (SELECT * FROM (VALUES {heads}) AS x(template, label, base)),
 p AS (SELECT * FROM (VALUES {", ".join(places)}) AS x(template, pos, word, is_key)),
 w AS (SELECT * FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM d) WHERE word IN (SELECT word FROM p)),
 f AS (SELECT word, count(DISTINCT doc_id) AS df FROM w GROUP BY word),
 v AS (SELECT p.*, ln((n + 1) / (coalesce(df, 0) + 1)) + 1e-9 AS weight FROM p LEFT JOIN f USING (word), (SELECT CAST(count(*) AS DOUBLE) AS n FROM documents)),
 s AS (SELECT template, sum(weight) AS total, count(*) FILTER (is_key) AS n_keys FROM v GROUP BY template),
 m AS (SELECT doc_id, template, i - pos AS start, sum(weight) AS held, count(*) FILTER (is_key) AS k FROM w JOIN v USING (word) GROUP BY ALL),
-o AS (SELECT doc_id, label, base, start, least(held / total, 1) AS score FROM m JOIN s USING (template) JOIN t USING (template)
-WHERE k = n_keys AND held / total >= share - 1e-6)
+o AS (SELECT doc_id, label, base, start, least(held / total, 1) AS score FROM m JOIN s USING (template) JOIN t USING (template) WHERE k = n_keys)
 SELECT doc_id, CAST(len(any_value(ws)) AS BIGINT) AS n_words, count(start) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
 max(start) FILTER (base) AS last_word, coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base), '') AS base_labels,
 coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(round(max(score), 9), 0) AS score

@@ -123,7 +123,7 @@ def test_licenses(spark):
         assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(","))) and 0 <= r.score <= 1
         assert not found or r.score > 0.999
     labels = {r.doc_id: r.labels for r in got}
-    assert labels[5] == "gpl,gpl-3" and labels[6] == labels[8] == labels[9] == "" and labels[10] in ("", "mit")
+    assert labels[5] == "gpl,gpl-3" and labels[6] == labels[8] == labels[9] == "" and labels[10] == "mit"
     assert labels[7] == "cc-by-nc" and labels[4] == "cc-by-nc,mit" and labels[11] == "cc-by-nc"
     assert licenses.scan_licenses(documents(spark, [])).count() == 0
 
@@ -136,3 +136,11 @@ def test_license_templates_match_in_part(spark):
     assert got[1].labels == "bsd" and got[1].score > 0.999
     assert got[3].labels == "" and got[3].score == 0
     assert got[2].score < 1
+
+
+def test_labels_depend_on_the_text_alone(spark):
+    """Whatever the other rows make of the words' weights, a key phrase that stands whole gives its label."""
+    text = "the terms of the GNU General Public License apply here"
+    for others in ("licensed under the version", "gnu general public license", "nothing"):
+        rows = [(1, text), *[(i, others) for i in range(2, 200)]]
+        assert {r.doc_id: r for r in licenses.scan_licenses(documents(spark, rows)).collect()}[1].labels == "gpl"

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from eventwin.functions.times import time_micros
 from eventwin.sources.catalogues import parse_events, parse_flares
-from eventwin.sources.schemas import EVENT_JSON, FLARE_JSON
+from eventwin.sources.schemas import EVENT_JSON, FLARE_JSON, SOLAR_WIND_COLUMNS
 from eventwin.sources.series import combine_series, parse_kp, parse_kp_lines, parse_solar_wind_lines, parse_wide_series, trim_series
 from queries.tables import table, typed_events
 
@@ -21,26 +21,39 @@ def fixed_width(spark, d):
     return parsed.select(time_micros(parsed, "time").alias("us"), "kp")
 
 
-# positions after year, day, hour and minute; the rest of a line is filled up with zeros
+_MEASURES = SOLAR_WIND_COLUMNS[4:]
+# positions (after year, day, hour and minute) with an own source; all others hold eighths that differ from place to place
 _CELLS = {13: "l_quantity", 21: "l_extendedprice", 25: "l_discount", 37: "l_linenumber", 41: "l_tax"}
+#: Positions on a line that ends early.
+_SHORT = 38
+
+
+def _eighths(i: int, divide: str) -> str:
+    return f"(l_orderkey * {i} + l_linenumber) % 797 {divide}"
 
 
 def whitespace(spark, d):
+    """All 50 measures of full, short and header lines, some with fill values."""
     head = ["year(l_shipdate)", "dayofyear(l_shipdate)", "l_linenumber", "cast(l_quantity as int)"]
     def cell(i):
-        source = _CELLS.get(i, "0")
+        source = _CELLS.get(i, _eighths(i, "/ 8D"))
         if i == 13:
             return f"if(l_partkey % 3 = 0, '99.99', cast({source} as string))"
         return "if(l_partkey % 5 = 0, '99999.9', cast(l_extendedprice as string))" if i == 21 else f"cast({source} as string)"
     full = ", ".join([*(f"cast({h} as string)" for h in head), *(cell(i) for i in range(4, 54))])
-    short = ", ".join([*(f"cast({h} as string)" for h in head), *(cell(i) for i in range(4, 38))])
+    short = ", ".join([*(f"cast({h} as string)" for h in head), *(cell(i) for i in range(4, _SHORT))])
     lines = table(spark, d, "lineitem").selectExpr(
-        "l_orderkey", "l_partkey", "l_suppkey",
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         f"if(l_suppkey % 13 = 0, 'YEAR DAY HR MN', if(l_suppkey % 7 = 0, concat_ws('  ', {short}), "
         f"concat(' ', concat_ws(' ', {full})))) as value")
     parsed = parse_solar_wind_lines(lines)
-    return parsed.select("l_orderkey", "l_partkey", "l_suppkey", time_micros(parsed, "time").alias("us"),
-                         "Bmag", "V", "Np", "AE", "SYM_H")
+    return parsed.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", time_micros(parsed, "time").alias("us"), *_MEASURES)
+
+
+def _measure_sql(i: int, name: str) -> str:
+    given = {13: "CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_quantity END", 21: "CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE l_extendedprice END"}
+    source = f"CAST({given.get(i) or _CELLS.get(i) or _eighths(i, '/ CAST(8 AS DOUBLE)')} AS DOUBLE)"
+    return f'CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE {source} END AS "{name}"' if i >= _SHORT else f'{source} AS "{name}"'
 
 
 def first_analysis(spark, d):
@@ -116,11 +129,9 @@ ORACLES = {
 min(CAST(format('{:.3f}', CAST(o_orderkey % 28 AS DOUBLE) / 3) AS DOUBLE)) AS kp FROM orders
 WHERE o_orderkey % 17 <> 0 AND o_orderkey % 19 <> 0 AND o_orderkey % 23 <> 0 AND o_orderkey % 29 <> 0 AND o_orderdate >= DATE '1996-01-01'
 AND o_orderdate + to_hours(CAST(o_orderkey % 8 * 3 AS INTEGER)) < DATE '2000-01-01' GROUP BY 1""",
-    "whitespace_parse": """SELECT l_orderkey, l_partkey, l_suppkey,
+    "whitespace_parse": f"""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
 epoch_us(l_shipdate + to_hours(l_linenumber) + to_minutes(CAST(l_quantity AS INTEGER))) AS us,
-CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_quantity END AS "Bmag",
-CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE l_extendedprice END AS "V", l_discount AS "Np",
-CAST(l_linenumber AS DOUBLE) AS "AE", CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE l_tax END AS "SYM_H"
+{", ".join(_measure_sql(i, name) for i, name in enumerate(_MEASURES, 4))}
 FROM lineitem WHERE l_suppkey % 13 <> 0 AND year(l_shipdate) BETWEEN 1995 AND 2030""",
     "json_first_element": """WITH c AS (SELECT *, o_orderkey % 3 = 2 AS has FROM orders)
 SELECT CAST(o_orderkey AS VARCHAR) AS "activityID", epoch_us(o_orderdate) AS us,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventwin.functions.parse import FILL_VALUES, fills_to_null, number, to_numbers, utc_time
 from eventwin.functions.times import from_date_and_hours, from_year_day
@@ -39,43 +39,90 @@ def read_wide_csv(spark: SparkSession, path: Paths) -> DataFrame:
     return parse_wide_series(spark.read.csv(path, header=True))
 
 
-def parse_kp_lines(lines: DataFrame, start: str, end: str) -> DataFrame:
-    """(time, kp) from fixed-width lines (`value`) for start ≤ time < end + 1 day; one row per time."""
+def _kp_cells(lines: DataFrame) -> DataFrame:
+    """`value`, `kp` and `time` of fixed-width lines."""
     # 1-based position and length of each field.
     fields = {"y": (1, 4), "m": (6, 2), "d": (9, 2), "h": (12, 4), "kp": (47, 6)}
     cells = ", ".join(f"{number(f'substring(value, {at}, {size})')} as {n}" for n, (at, size) in fields.items())
     # the generator keeps the filters below from cutting each line again per condition
-    cut = lines.where("value <> '' and not startswith(value, '#')").selectExpr("value", f"inline(array(struct({cells})))")
-    timed = cut.withColumn("time", from_date_and_hours(F.col("y"), F.col("m"), F.col("d"), F.col("h"))).where(
-        f"time >= timestamp'{start} 00:00:00' and time < timestamp'{end} 00:00:00' + interval 1 day and kp is not null")
+    cut = lines.selectExpr("value", f"inline(array(struct({cells})))")
+    return cut.withColumn("time", from_date_and_hours(F.col("y"), F.col("m"), F.col("d"), F.col("h")))
+
+
+def _kp_period(start: str, end: str) -> str:
+    return f"time >= timestamp'{start} 00:00:00' and time < timestamp'{end} 00:00:00' + interval 1 day"
+
+
+def parse_kp_lines(lines: DataFrame, start: str, end: str) -> DataFrame:
+    """(time, kp) from fixed-width lines (`value`) for start ≤ time < end + 1 day; one row per time."""
+    timed = _kp_cells(lines.where("value <> '' and not startswith(value, '#')")).where(f"{_kp_period(start, end)} and kp is not null")
     return keep_first(timed.select("time", "kp", "value"), ["time"], ["value"]).select("time", "kp")
 
 
+def judge_kp_lines(lines: DataFrame, start: str, end: str) -> DataFrame:
+    """Every fixed-width line (value, time, kp) with `reason`: why `parse_kp_lines` leaves it out, null for those that it takes."""
+    return _kp_cells(lines).selectExpr("value", "time", "kp", f"""case when coalesce(value, '') = '' then 'blank' when startswith(value, '#') then 'comment'
+when time is null then 'no time' when not ({_kp_period(start, end)}) then 'outside the period' when kp is null then 'no value' end as reason""")
+
+
 def read_kp_text(spark: SparkSession, path: Paths, start: str, end: str) -> DataFrame:
     return parse_kp_lines(spark.read.text(path), start, end)
 
 
-def parse_solar_wind_lines(lines: DataFrame, *, year_min: int = 1995, year_max: int = 2030,
-                           fills=FILL_VALUES) -> DataFrame:
-    """All solar-wind columns plus `time` from lines (`value`); other columns of `lines` are kept.
+#: Closed ranges of the fields that make up a line's time; the years are arguments.
+_FIELDS = {"day": (1, 366), "hour": (0, 23), "minute": (0, 59)}
 
-    Short lines leave their last columns missing, over-long lines lose their surplus; lines without
-    a valid year, day, hour and minute (headers among them) are dropped.
-    """
-    kept = [c for c in lines.columns if c != "value"]
+
+def _solar_wind_cells(lines: DataFrame, kept: Sequence[str]) -> DataFrame:
     words = r"split(trim(value), '\\s+')"
     # numbers spelled `1d` or `1f` are rare: look for them once per line
     checked = (rf"if(value rlike '(?i)[0-9.][df](\\s|$)', transform({words}, x -> if(x rlike '(?i)^[^i]*[df]$', null, x)), "
                f"{words})")
-    # the generator keeps the filters below from splitting each line once per condition
+    # the generator keeps filters from splitting each line once per condition
     parts = lines.selectExpr(*kept, f"explode(array({checked})) as _p")
-    cells = parts.selectExpr(*kept, *[f"nanvl(try_cast(get(_p, {i}) as double), null) as `{c}`"
-                                      for i, c in enumerate(SOLAR_WIND_COLUMNS)])
-    valid = keep_between(cells, {"year": (year_min, year_max), "day": (1, 366), "hour": (0, 23), "minute": (0, 59)})
-    timed = valid.withColumn("time", from_year_day(*[F.col(c) for c in ("year", "day", "hour", "minute")]))
+    return parts.selectExpr(*kept, *[f"nanvl(try_cast(get(_p, {i}) as double), null) as `{c}`" for i, c in enumerate(SOLAR_WIND_COLUMNS)])
+
+
+def _solar_wind_values(cells: DataFrame, fills) -> DataFrame:
+    timed = cells.withColumn("time", from_year_day(*[F.col(c) for c in ("year", "day", "hour", "minute")]))
     return fills_to_null(timed, SOLAR_WIND_COLUMNS[4:], fills)
 
 
+def parse_solar_wind_lines(lines: DataFrame, *, year_min: int = 1995, year_max: int = 2030,
+                           fills=FILL_VALUES) -> DataFrame:
+    """All solar-wind columns plus `time` from lines (`value`); other columns of `lines` are kept.
+
+    Short lines leave their last columns missing, over-long lines lose their surplus; lines without
+    a valid year, day, hour and minute (headers among them) are dropped.
+    """
+    cells = _solar_wind_cells(lines, [c for c in lines.columns if c != "value"])
+    return _solar_wind_values(keep_between(cells, {"year": (year_min, year_max), **_FIELDS}), fills)
+
+
+def judge_solar_wind_lines(lines: DataFrame, *, year_min: int = 1995, year_max: int = 2030, fills=FILL_VALUES) -> DataFrame:
+    """Every line with its text, columns and time as `parse_solar_wind_lines` makes them, and `reason`: why that leaves it out, else null.
+
+    The first reason counts: blank, a field of the time that isn't a number, one that is out of its range.
+    """
+    fields = {"year": (year_min, year_max), **_FIELDS}
+    cells = _solar_wind_cells(lines, lines.columns)
+    reasons = [f"when {c} is null then 'no {c}'" for c in fields] + [f"when {c} not between {lo} and {hi} then '{c} out of range'" for c, (lo, hi) in fields.items()]
+    judged = cells.withColumn("reason", F.expr(f"case when trim(coalesce(value, '')) = '' then 'blank' {' '.join(reasons)} end"))
+    return _solar_wind_values(judged, fills)
+
+
+def write_judged(judged: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) lines, written side by side in one pass over the text."""
+    judged.withColumn("rejected", F.col("reason").isNotNull()).write.partitionBy("rejected").parquet(path)
+    back = judged.sparkSession.read.schema(T.StructType([*judged.schema.fields, T.StructField("rejected", T.BooleanType())])).parquet(path)
+    return back.where("not rejected").drop("rejected", "reason"), back.where("rejected").drop("rejected")
+
+
+def line_report(judged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by…, reason, n): how many lines were accepted or left out for each reason."""
+    return judged.groupBy(*by, F.expr("coalesce(reason, 'accepted') as reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def read_solar_wind_text(spark: SparkSession, path: Paths, **options) -> DataFrame:
     """Solar-wind files; all yearly files are read in one pass. One row per time: the first by file, then by text."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"),

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from eventwin.functions.times import time_micros
+from eventwin.session import shared_dir
 from eventwin.sources.catalogues import parse_events, parse_flares
 from eventwin.sources.schemas import EVENT_JSON, FLARE_JSON, SOLAR_WIND_COLUMNS
-from eventwin.sources.series import combine_series, parse_kp, parse_kp_lines, parse_solar_wind_lines, parse_wide_series, trim_series
+from eventwin.sources.series import (
+    combine_series, judge_solar_wind_lines, line_report, parse_kp, parse_kp_lines, parse_solar_wind_lines, parse_wide_series, trim_series, write_judged)
 from queries.tables import table, typed_events
 
 
@@ -50,6 +54,15 @@ def whitespace(spark, d):
     return parsed.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", time_micros(parsed, "time").alias("us"), *_MEASURES)
 
 
+def line_reasons(spark, d):
+    """Lines of all kinds, parted in one pass; what was accepted and why others were not, counted from the written parts."""
+    lines = table(spark, d, "lineitem").selectExpr("case when l_suppkey % 13 = 0 then 'YEAR DAY HR MN' when l_suppkey % 29 = 0 then '  ' else concat_ws(' ', "
+        "if(l_partkey % 11 = 0, 3000, year(l_shipdate)), if(l_partkey % 17 = 0, 367, dayofyear(l_shipdate)), if(l_linenumber = 7, 'x', cast(l_linenumber as string)), "
+        "cast(l_quantity as int) + if(l_partkey % 19 = 0, 60, 0), l_extendedprice) end as value")
+    accepted, rejected = write_judged(judge_solar_wind_lines(lines), f"{shared_dir(spark)}/judged-{uuid.uuid4().hex}")
+    return line_report(accepted.selectExpr("cast(null as string) as reason")).unionByName(line_report(rejected))
+
+
 def _measure_sql(i: int, name: str) -> str:
     given = {13: "CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_quantity END", 21: "CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE l_extendedprice END"}
     source = f"CAST({given.get(i) or _CELLS.get(i) or _eighths(i, '/ CAST(8 AS DOUBLE)')} AS DOUBLE)"
@@ -119,6 +132,7 @@ def trimmed(spark, d):
 
 
 QUERIES = {
+    "line_reasons": line_reasons,
     "fixed_width_parse": fixed_width, "whitespace_parse": whitespace, "json_first_element": first_analysis,
     "flare_json": flares, "kp_table_parse": kp_table, "wide_table_parse": wide_table, "combine_series": combined,
     "trim_series": trimmed,
@@ -133,6 +147,9 @@ AND o_orderdate + to_hours(CAST(o_orderkey % 8 * 3 AS INTEGER)) < DATE '2000-01-
 epoch_us(l_shipdate + to_hours(l_linenumber) + to_minutes(CAST(l_quantity AS INTEGER))) AS us,
 {", ".join(_measure_sql(i, name) for i, name in enumerate(_MEASURES, 4))}
 FROM lineitem WHERE l_suppkey % 13 <> 0 AND year(l_shipdate) BETWEEN 1995 AND 2030""",
+    "line_reasons": """SELECT CASE WHEN l_suppkey % 13 = 0 THEN 'no year' WHEN l_suppkey % 29 = 0 THEN 'blank' WHEN l_linenumber = 7 THEN 'no hour'
+WHEN l_partkey % 11 = 0 OR year(l_shipdate) NOT BETWEEN 1995 AND 2030 THEN 'year out of range' WHEN l_partkey % 17 = 0 THEN 'day out of range'
+WHEN l_partkey % 19 = 0 THEN 'minute out of range' ELSE 'accepted' END AS reason, count(*) AS n FROM lineitem GROUP BY 1""",
     "json_first_element": """WITH c AS (SELECT *, o_orderkey % 3 = 2 AS has FROM orders)
 SELECT CAST(o_orderkey AS VARCHAR) AS "activityID", epoch_us(o_orderdate) AS us,
 CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_custkey AS DOUBLE) END AS "activeRegionNum", o_orderpriority AS note,

@@ -188,3 +188,22 @@ def test_arrays_with_other_elements_and_no_end(spark, tmp_path):
     assert sorted(r["value"] for r in array_objects(spark, str(tmp_path)).collect())[0].startswith('{"id": 5}')
     got = read_json_array(spark, str(tmp_path), "id int").collect()
     assert {r["id"] for r in got} >= {5} and len(got) == 2
+
+
+# lines that are left out ----------------------------------------------------------------------
+
+def test_every_line_is_accepted_or_has_a_reason(spark, tmp_path):
+    wind = ["2015 1 0 0 1 2", "YEAR DAY HR MN", "", "   ", None, "1990 1 0 0", "2015 367 0 0", "2015 1 24 0", "2015 1 0 60", "2015 1 x 0", "2015 60 1 5 9.5"]
+    lines = spark.createDataFrame([(v, f"f{i % 2}") for i, v in enumerate(wind)], "value string, file string")
+    judged = series.judge_solar_wind_lines(lines)
+    accepted, rejected = series.write_judged(judged, str(tmp_path / "wind"))
+    key = lambda df: sorted(map(str, df.drop("value").collect()))
+    assert key(accepted) == key(series.parse_solar_wind_lines(lines)) and accepted.count() == 2
+    assert sorted(r["reason"] for r in rejected.collect()) == sorted(
+        ["blank"] * 3 + ["no year", "no hour", "year out of range", "day out of range", "hour out of range", "minute out of range"])
+    assert sum(r["n"] for r in series.line_report(judged, ["file"]).collect()) == len(wind)
+    kp = ["# c", "", "2015 01 01 00.0".ljust(46) + " 1.333", "2015 13 01 00.0".ljust(46) + " 1.333", "2014 01 01 00.0".ljust(46) + " 1.333",
+          "2015 01 02 00.0".ljust(46) + " none ", "short", None]
+    judged = series.judge_kp_lines(spark.createDataFrame([(v,) for v in kp], "value string"), "2015-01-01", "2015-12-31")
+    assert {r["reason"]: r["n"] for r in series.line_report(judged).collect()} == {
+        "comment": 1, "blank": 2, "accepted": 1, "no time": 2, "outside the period": 1, "no value": 1}

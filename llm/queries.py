@@ -109,7 +109,7 @@ def _license_sql() -> str:
     places = []
     for n, t in enumerate(every):
         words = t.text.split()
-        keys = {i for key in t.keys for at in [f" {t.text} ".index(f" {key} ")] for first in [t.text[:at].count(" ") + (at > 0)]
+        keys = {i for key in t.keys for at in [f" {t.text} ".index(f" {key} ")] for first in [t.text[:at].count(" ")]
                 for i in range(first, first + len(key.split()))}
         places += [f"({n}, {i}, '{w}', {str(i in keys).lower()})" for i, w in enumerate(words)]
     return f"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{licenses.WORDS}') AS ws FROM documents),

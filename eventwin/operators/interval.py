@@ -13,6 +13,7 @@ the rows a single key or period holds.
 
 from __future__ import annotations
 
+import math
 import warnings
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
@@ -26,6 +27,9 @@ STATS = ("rows", "count", "mean", "min", "max", "std")
 TILE = 60_000_000  # microseconds; upper bound for the number of instants of one key in a tile
 FAN = 4_096  # tiles of one level in a tile of the next
 DIGITS = 18  # of a decimal's distance from the overall mean, in units of its last place
+LIMB = 30  # bits of a whole number that is summed on its own
+MOST_LIMBS = 8  # a DOUBLE is read down to 2^-240 of the largest one of its column
+LEAST_UNIT = -1022  # power of two below which no DOUBLE is read
 
 NO_TIME = -9_000_000_000_000_000_000  # far below the first representable timestamp
 
@@ -164,16 +168,79 @@ def _partials(points: DataFrame, instants: DataFrame, keys: Sequence[str], span:
     return _merge(edges.select(*k, "_t", *names).unionByName(middle), [*keys, "_t"], parts)
 
 
-def _overall_means(series: DataFrame, columns: Sequence[str]) -> dict[str, float | Decimal | None]:
-    """The means of all columns from one pass: any number near a column's values serves as the centre of its deviations."""
-    if not columns:
-        return {}
-    means = []
-    for i, c in enumerate(columns):
-        kind, mean = series.schema[c].dataType, F.avg(_measure(series, c))
-        means.append((F.round(mean, kind.scale).cast(kind) if isinstance(kind, T.DecimalType) else mean).alias(f"m{i}"))
-    row = series.agg(*means).first()
-    return {c: row[f"m{i}"] for i, c in enumerate(columns)}
+@dataclass(frozen=True)
+class _Units:
+    """The DOUBLE values of a column as whole numbers in units of 2^`unit`, cut into `limbs` of `LIMB` bits."""
+
+    unit: int
+    limbs: int
+
+    @classmethod
+    def spanning(cls, low: float | None, high: float | None, whole: bool | None) -> "_Units":
+        """Down to the last bit of the smallest magnitude `low` and up to the largest one; `whole` if there are no fractions."""
+        if not high:
+            return cls(0, 1)
+        top, last = math.frexp(high)[1], math.frexp(low)[1] - 53
+        unit = max(max(last, 0) if whole else last, top - LIMB * MOST_LIMBS, LEAST_UNIT)
+        return cls(unit, max(1, -(-(top - unit) // LIMB)))
+
+    def cut(self, value: str, i: int) -> list[str]:
+        """The limbs of `value`, each with its sign. A product with a power of two and a remainder lose no bit."""
+        def limb(j: int) -> str:
+            scaled = f"abs({value}) * double('{2.0 ** -(self.unit + LIMB * j)!r}')"
+            return f"cast(signum({value}) as bigint) * cast(floor({scaled} % {2**LIMB}D) as bigint) as _l{i}_{j}"
+
+        return [limb(j) for j in range(self.limbs)]
+
+    def pairs(self, s: int) -> list[tuple[int, int]]:
+        return [(j, s - j) for j in range(self.limbs) if 0 <= s - j < self.limbs]
+
+    def sums(self, i: int) -> list[_Part]:
+        return [_Part(f"_u{i}_{j}", f"sum(_l{i}_{j})", "sum") for j in range(self.limbs)]
+
+    def squares(self, i: int) -> list[_Part]:
+        """Sums of the products of limbs by their common power; at most eight of 60 bits, so a row's fit a long."""
+        products = [" + ".join(f"_l{i}_{a} * _l{i}_{b}" for a, b in self.pairs(s)) for s in range(2 * self.limbs - 1)]
+        return [_Part(f"_q{i}_{s}", f"sum(cast({p} as decimal(19, 0)))", "sum") for s, p in enumerate(products)]
+
+    def total(self, i: int) -> str:
+        return _magnitude([f"cast(_u{i}_{j} as decimal(38, 0))" for j in range(self.limbs)])
+
+    def spread(self, i: int) -> str:
+        """n * sum of squares - square of sum, exact until it is read as one DOUBLE."""
+        u = lambda j: f"cast(_u{i}_{j} as decimal(20, 0))"
+        squared = [" + ".join(f"{u(a)} * {u(b)}" for a, b in self.pairs(s)) for s in range(2 * self.limbs - 1)]
+        return _magnitude([f"cast(cast(_n{i} as decimal(20, 0)) * _q{i}_{s} - ({p}) as decimal(38, 0))" for s, p in enumerate(squared)])
+
+
+def _magnitude(limbs: Sequence[str]) -> str:
+    """The whole number sum(limbs[s] * 2^(LIMB * s)) as DOUBLE: carries first, so only digits of one sign are added up."""
+    base = f"{2**LIMB}BD"
+
+    def carried(sign: str) -> str:
+        step = (f"struct(cast((x.c + p - pmod(x.c + p, {base})) / {base} as decimal(38, 0)) as c, "
+                f"x.t + x.w * cast(pmod(x.c + p, {base}) as double) as t, x.w * {2**LIMB}D as w)")
+        return (f"aggregate(array({', '.join(sign + l for l in limbs)}), struct(cast(0 as decimal(38, 0)) as c, 0D as t, 1D as w), "
+                f"(x, p) -> {step}, x -> struct(x.c as c, x.t + x.w * cast(x.c as double) as t))")
+
+    return f"if({carried('')}.c < 0, -{carried('-')}.t, {carried('')}.t)"
+
+
+def _survey(series: DataFrame, centred: Sequence[str], limbed: Sequence[str]) -> tuple[dict[str, Decimal], dict[str, _Units]]:
+    """From one pass: a centre for each DECIMAL column of `centred`, the units for each DOUBLE one of `limbed`."""
+    if not centred and not limbed:
+        return {}, {}
+    found = []
+    for i, c in enumerate(centred):
+        kind = series.schema[c].dataType
+        found.append(F.round(F.avg(c), kind.scale).cast(kind).alias(f"m{i}"))
+    for i, c in enumerate(limbed):
+        size = F.abs(_measure(series, c))
+        size = F.when((size > 0) & (size < float("inf")), size)
+        found += [F.min(size).alias(f"lo{i}"), F.max(size).alias(f"hi{i}"), F.min(size % 1 == 0).alias(f"w{i}")]
+    row = series.agg(*found).first()
+    return ({c: row[f"m{i}"] or Decimal(0) for i, c in enumerate(centred)},
+            {c: _Units.spanning(row[f"lo{i}"], row[f"hi{i}"], row[f"w{i}"]) for i, c in enumerate(limbed)})
 
 
 def interval_stats(
@@ -193,9 +260,11 @@ def interval_stats(
     `min`, `max`, `std` (population). Intervals without values give null, `rows`/`count` give 0.
     A null event time, or a null key, matches nothing. `tile` sets the smallest tile in microseconds.
     DECIMAL columns are summed exactly, for `std` as distances from their overall mean rounded to their
-    scale; totals that 38 digits can't hold are an error. Other columns are summed as DOUBLE, for `std`
-    around their overall mean, which keeps about eight digits of a deviation relative to the distance
-    from that mean.
+    scale; totals that 38 digits can't hold are an error. Other columns are read as DOUBLE and summed exactly too,
+    as a few whole numbers per value, so `mean` and `std` are right to the last digits wherever the values lie
+    and don't depend on how rows are partitioned. Bits below 2^-240 of the column's largest magnitude, or below 2^-1022,
+    are cut; more than 2^33 values in an interval are an error. Infinite values make the mean infinite (NaN if both
+    signs occur) and `std` NaN.
     """
     keys = list(keys)
     for frame, needed, what in ((events, [event_time, *keys], "events"),
@@ -218,40 +287,37 @@ def interval_stats(
     parts: list[_Part] = []
     inputs: list[Column] = []
     slot = {c: i for i, c in enumerate(wanted)}
-    centres: dict[str, Column] = {}
-    spread = [c for c, stats in wanted.items() if "std" in stats]
-    middle = _overall_means(series, spread)
+    decimal = {c for c in wanted if isinstance(series.schema[c].dataType, T.DecimalType)}
+    summed = [c for c, stats in wanted.items() if stats & {"mean", "std"} and c not in decimal]
+    middle, units = _survey(series, [c for c in wanted if c in decimal and "std" in wanted[c]], summed)
     if any(stat == "rows" for stat, _ in outputs.values()):
         parts.append(_Part("_rows", "count(1)", "sum"))
     for column, stats in wanted.items():
         i, value, kind = slot[column], _measure(series, column), series.schema[column].dataType
-        exact = isinstance(kind, T.DecimalType)
         inputs.append(value.alias(f"_v{i}"))
-        shifted = f"_v{i}"
-        if "std" in stats and exact:
-            centre = F.lit(middle[column] or 0).cast(kind)
+        if column in units:
+            parts += units[column].sums(i)
+            parts += units[column].squares(i) if "std" in stats else []
+        elif "std" in stats:
+            centre = F.lit(middle[column]).cast(kind)
             unit = F.lit(10**kind.scale).cast(T.DecimalType(kind.scale + 1, 0))
             far = (value - centre).cast(T.DecimalType(DIGITS, kind.scale)) * unit
             inputs.append(far.cast(T.DecimalType(DIGITS, 0)).alias(f"_c{i}"))
             parts += [_Part(f"_u{i}", f"sum(_c{i})", "sum"), _Part(f"_q{i}", f"sum(_c{i} * _c{i})", "sum")]
-        elif "std" in stats:
-            centres[column] = F.lit(middle[column] or 0.0)
-            inputs.append((value - centres[column]).alias(f"_c{i}"))
-            shifted = f"_c{i}"
-            parts.append(_Part(f"_q{i}", f"sum({shifted} * {shifted})", "sum"))
         if stats & {"count", "mean", "std"}:
             parts.append(_Part(f"_n{i}", f"count(_v{i})", "sum"))
-        if "mean" in stats or column in centres:
-            parts.append(_Part(f"_s{i}", f"sum({shifted})", "sum"))
-        if "min" in stats or column in centres:
+        if "mean" in stats and column in decimal:
+            parts.append(_Part(f"_s{i}", f"sum(_v{i})", "sum"))
+        if "min" in stats or column in units:
             parts.append(_Part(f"_lo{i}", f"min(_v{i})", "min"))
-        if "max" in stats or column in centres:
+        if "max" in stats or column in units:
             parts.append(_Part(f"_hi{i}", f"max(_v{i})", "max"))
 
     k = _quoted(keys)
     instants = (
         series.select(*k, time_micros(series, series_time).alias("_ts"), *inputs)
         .where("_ts is not null")
+        .selectExpr("*", *[e for c, u in units.items() for e in u.cut(f"if(abs(_v{slot[c]}) < double('Infinity'), _v{slot[c]}, null)", slot[c])])
         .groupBy(*k, "_ts")
         .agg(*[F.expr(f"{p.first} as {p.name}") for p in parts])
     )
@@ -265,16 +331,19 @@ def interval_stats(
             return F.expr(f"cast({'_lo' if stat == 'min' else '_hi'}{i} as double) as `{name}`")
         if stat in ("rows", "count"):
             return F.expr(f"coalesce({'_rows' if stat == 'rows' else f'_n{i}'}, 0L) as `{name}`")
-        mean = f"(cast(_s{i} as double) / nullif(_n{i}, 0))"
+        if column in units:
+            scaled = f"/ _n{i} * double('{2.0 ** units[column].unit!r}')"
+            exact = f"{units[column].total(i)} {scaled}" if stat == "mean" else f"sqrt({units[column].spread(i)}) {scaled}"
+            exact = f"coalesce({exact}, raise_error('the sums of {column} need more than 38 digits'))"
+            endless = f"_lo{i} + _hi{i}" if stat == "mean" else "double('NaN')"
+            found = f"if(_lo{i} > double('-Infinity') and _hi{i} < double('Infinity'), {exact}, {endless})"
+            return F.expr(f"if(_n{i} > 0, {found}, null) as `{name}`")
         if stat == "mean":
-            return (F.expr(mean) + centres[column] if column in centres else F.expr(mean)).alias(name)
-        if column in centres:  # equal values have no spread, whatever the sums lost
-            spread = f"sqrt(greatest(cast(_q{i} as double) / nullif(_n{i}, 0) - {mean} * {mean}, 0D))"
-            spread = f"if(_lo{i} = _hi{i}, 0D, {spread})"
-        else:  # n * sum of squares - square of sum, in units of the last place: whole numbers
-            total = f"cast(_n{i} as decimal(20, 0)) * _q{i} - _u{i} * _u{i}"
-            total = f"coalesce({total}, raise_error('the squares of {column} need more than 38 digits'))"
-            spread = f"sqrt(cast({total} as double)) / nullif(_n{i}, 0) / {10.0 ** series.schema[column].dataType.scale!r}D"
+            return F.expr(f"cast(_s{i} as double) / nullif(_n{i}, 0) as `{name}`")
+        # n * sum of squares - square of sum, in units of the last place: whole numbers
+        total = f"cast(_n{i} as decimal(20, 0)) * _q{i} - _u{i} * _u{i}"
+        total = f"coalesce({total}, raise_error('the squares of {column} need more than 38 digits'))"
+        spread = f"sqrt(cast({total} as double)) / nullif(_n{i}, 0) / {10.0 ** series.schema[column].dataType.scale!r}D"
         return F.expr(f"if(_n{i} > 0, {spread}, null) as `{name}`")
 
     # events without a time match nothing: give them scattered impossible times, not one shared partition

@@ -99,6 +99,14 @@ def stats_large_decimals(spark, d):
     return interval_stats(_signups(spark, d), series, Interval(-744, 744), outputs, event_time="ts", series_time="ts").drop("ts")
 
 
+def stats_close_doubles(spark, d):
+    """DOUBLE values near 1e9 that differ in thousandths, in intervals that hold all purchases of a month."""
+    series = _purchases(spark, d, "1000000000D + cast(cast(value as decimal(12,2)) * 100 as bigint) / 8388608D as value")
+    outputs = {"n": ("count", "value"), "mean": ("mean", "value"), "sd": ("std", "value")}
+    found = interval_stats(_signups(spark, d), series, Interval(-744, 744), outputs, event_time="ts", series_time="ts")
+    return found.selectExpr("event_id", "n", "round(mean, 5) as mean", "round(sd, 14) as sd")
+
+
 def stats_one_year(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
     items = table(spark, d, "lineitem").selectExpr("l_shipdate", "cast(l_extendedprice as decimal(12,2)) as price")
@@ -119,6 +127,7 @@ QUERIES = {
     "interval_stats_orders_by_date": stats_orders_by_date,
     "interval_stats_orders_by_key": stats_orders_by_key,
     "interval_stats_large_decimals": stats_large_decimals,
+    "interval_stats_close_doubles": stats_close_doubles,
     "interval_stats_one_year": stats_one_year,
 }
 
@@ -206,6 +215,11 @@ SELECT o_orderkey, n, mean_qty, max_price, std_price FROM orders JOIN w ON t0 =
     "interval_stats_large_decimals": f"""
 WITH {_A}, s AS (SELECT ts, 1000000000000 + CAST(value AS DECIMAL(12,2)) AS value FROM events WHERE event_type = 'purchase')
 SELECT a.event_id, count(value) AS n, (CAST(CAST(sum(value) AS VARCHAR) AS DOUBLE) / count(value)) AS mean, {_std('value')} AS sd
+FROM a LEFT JOIN s ON s.ts BETWEEN a.ts - INTERVAL 744 HOUR AND a.ts + INTERVAL 744 HOUR GROUP BY a.event_id""",
+    "interval_stats_close_doubles": f"""
+WITH {_A}, s AS (SELECT ts, CAST(CAST(value AS DECIMAL(12,2)) * 100 AS HUGEINT) AS h FROM events WHERE event_type = 'purchase')
+SELECT a.event_id, count(h) AS n, round(1000000000 + CAST(sum(h) AS DOUBLE) / count(h) / 8388608, 5) AS mean,
+round(CASE WHEN count(h) > 0 THEN sqrt(CAST(CAST(count(h) * sum(h * h) - sum(h) * sum(h) AS VARCHAR) AS DOUBLE)) / count(h) / 8388608 END, 14) AS sd
 FROM a LEFT JOIN s ON s.ts BETWEEN a.ts - INTERVAL 744 HOUR AND a.ts + INTERVAL 744 HOUR GROUP BY a.event_id""",
     "interval_stats_one_year": f"""
 WITH s AS (SELECT l_shipdate, count(*) AS c, sum(p) AS p, sum(h) AS h, sum(h * h) AS hh, min(p) AS lo, max(p) AS hi

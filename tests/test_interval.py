@@ -3,6 +3,7 @@
 import math
 import random
 from datetime import datetime, timedelta
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -193,3 +194,71 @@ def test_events_of_one_hot_instant_are_split(spark):
             spark.conf.unset(k)
     assert len(rows) == 60_000 and {r["hi"] for r in rows if r["id"] % 3 == 0} == {28.0}
     assert "skew=true" in plan
+
+
+def exact_stats(values):
+    """(mean, population std) from fractions."""
+    v = [Fraction(x) for x in values]
+    n = len(v)
+    spread = n * sum(x * x for x in v) - sum(v) ** 2
+    root = math.isqrt(int(spread * 4**400))  # 400 bits after the point
+    return float(sum(v) / n), float(Fraction(root, n * 2**400))
+
+
+DOUBLES = {
+    "far from zero": [1e9 + k * 1e-3 / 7 for k in range(40)],
+    "both signs": [(-1) ** k * (1e6 + k / 3) for k in range(40)],
+    "cancelling": [1e15, 0.1, -1e15, 0.2, 1e-9, -1e-9, 0.1],
+    "one outlier": [1e18, *[0.001 + k * 1e-9 for k in range(30)]],
+    "negative mean": [-0.1 * k for k in range(1, 30)],
+    "whole": [float(k * k * 12_345) for k in range(30)],
+    "whole and huge": [3e300, 1e300, -2e300],
+    "tiny": [1e-280, 3e-281, -5e-282],
+    "equal": [0.1] * 17,
+    "zeros": [0.0, -0.0],
+    "one": [-7.25],
+}
+
+
+@pytest.mark.parametrize("name", DOUBLES)
+def test_doubles_are_summed_exactly(spark, name):
+    """Every prefix of the values as a window of its own, to twelve digits of mean and deviation."""
+    values = DOUBLES[name]
+    hour = timedelta(hours=1)
+    series = [("a", T0 + i * hour, x) for i, x in enumerate(values)]
+    events = [(i, "a", T0 + (i - len(values)) * hour) for i in range(len(values))]
+    span = I.Interval(0, len(values))  # the window of event i ends at value i
+    got = run(spark, events, series, span)
+    for i in range(len(values)):
+        mean, sd = exact_stats(values[: i + 1])
+        assert math.isclose(got[i][2], mean, rel_tol=1e-14) and math.isclose(got[i][5], sd, rel_tol=1e-12), (i, got[i], mean, sd)
+    if name in ("equal", "zeros", "one"):
+        assert {row[5] for row in got.values()} == {0.0}
+
+
+def test_double_results_do_not_depend_on_partitions(spark):
+    random_ = random.Random(3)
+    series = [("a", T0 + timedelta(minutes=random_.randrange(5_000)), random_.lognormvariate(0, 9)) for _ in range(800)]
+    events = [(i, "a", T0 + timedelta(minutes=random_.randrange(-100, 5_000))) for i in range(60)]
+    results = [run(spark, events, rows, I.Interval(-10, 20), tile=tile, parts=parts)
+               for rows, tile, parts in ((series, None, 1), (series[::-1], 7_000_000, 5), (series, 3_600_000_000, 3))]
+    assert results[0] == results[1] == results[2]
+
+
+def test_infinite_doubles(spark):
+    up, hour = float("inf"), timedelta(hours=1)
+    series = [("a", T0, 1.0), ("a", T0 + hour, up), ("a", T0 + 2 * hour, 2.0), ("a", T0 + 3 * hour, -up), ("a", T0 + 9 * hour, 5.0)]
+    events = [(0, "a", T0), (1, "a", T0 + hour), (2, "a", T0 + 2 * hour), (3, "a", T0 + 9 * hour)]
+    got = run(spark, events, series, I.Interval(0, 1))
+    assert got[0][2] == got[1][2] == up and got[2][2] == -up and got[3][2:] == (5.0, 5.0, 5.0, 0.0)
+    assert all(math.isnan(got[i][5]) for i in range(3))
+    both = run(spark, events, series, I.Interval(0, 2))
+    assert math.isnan(both[1][2])
+
+
+def test_units_of_a_column():
+    assert I._Units.spanning(None, None, None) == I._Units(0, 1)
+    assert I._Units.spanning(1.0, 1000.0, True) == I._Units(0, 1)
+    assert I._Units.spanning(1.0, 1000.0, False) == I._Units(-52, 3)
+    assert I._Units.spanning(5e-324, 1e308, False).limbs == I.MOST_LIMBS
+    assert I._Units.spanning(5e-324, 1e-300, False).unit == I.LEAST_UNIT

@@ -201,8 +201,8 @@ def exact_stats(values):
     v = [Fraction(x) for x in values]
     n = len(v)
     spread = n * sum(x * x for x in v) - sum(v) ** 2
-    root = math.isqrt(int(spread * 4**400))  # 400 bits after the point
-    return float(sum(v) / n), float(Fraction(root, n * 2**400))
+    root = math.isqrt(int(spread * 4**1_200))  # 1,200 bits after the point
+    return float(sum(v) / n), float(Fraction(root, n * 2**1_200))
 
 
 DOUBLES = {

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventwin.operators import checks
+from eventwin.operators.levels import fit_levels
 from eventwin.operators.prep import fit_preprocessor
 from eventwin.operators.split import assign_split, excluded_rows, split_summary
 from queries.tables import ranked_quantile, table
@@ -55,6 +56,21 @@ def one_hot(spark, d):
     return _fitted(rows, ["priority"], True).transform(rows, keep=["o_orderkey"])
 
 
+def _many_levels(spark, d):
+    return orders_with_split(spark, d).selectExpr("o_orderkey", "split", "if(o_orderkey % 11 = 0, null, concat('c', cast(cust as bigint))) as customer", "priority")
+
+
+def level_table(spark, d):
+    """Every customer is a level."""
+    rows = _many_levels(spark, d)
+    return fit_levels(rows.where("split = 'train'"), ["customer", "priority"]).table.drop("place")
+
+
+def level_positions(spark, d):
+    rows = _many_levels(spark, d)
+    return fit_levels(rows.where("split = 'train'"), ["customer", "priority"]).positions(rows)
+
+
 def report(spark, d):
     """With an empty split, infinities and a label that isn't 0 or 1, which must fail."""
     rows = orders_with_split(spark, d).withColumns({
@@ -74,7 +90,8 @@ def nulls(spark, d):
 
 QUERIES = {
     "time_split": split_rows, "time_split_summary": summary, "time_split_excluded": excluded, "impute_median": impute,
-    "standardize": standardise, "mode_impute_onehot": one_hot, "checks_report": report, "null_counts": nulls, "leaky_names": leaks,
+    "standardize": standardise, "mode_impute_onehot": one_hot, "level_table": level_table, "level_positions": level_positions,
+    "checks_report": report, "null_counts": nulls, "leaky_names": leaks,
 }
 
 _O = """o AS (SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, o_totalprice AS price,
@@ -92,6 +109,17 @@ def _scaled(c: str) -> str:
 
 
 _PARAMS = "p AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in FEATURES) + " FROM f WHERE split = 'train')"
+_CELLS = """c AS (SELECT o_orderkey, split, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE 'c' || CAST(cust AS BIGINT) END AS customer, priority FROM o),
+g AS (SELECT 'customer' AS "column", customer AS level, count(*) AS n FROM c WHERE split = 'train' AND customer IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'priority', priority, count(*) FROM c WHERE split = 'train' AND priority IS NOT NULL GROUP BY 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY level) - 1 AS position FROM g)"""
+
+
+def _level_of(c: str) -> str:
+    mode = f"(SELECT level FROM r WHERE \"column\" = '{c}' ORDER BY n DESC, level LIMIT 1)"
+    return f"(SELECT o_orderkey, position FROM c LEFT JOIN r ON \"column\" = '{c}' AND level = coalesce({c}, {mode}))"
+
+
 _LEVELS = ("1-URGENT", "a\\b`c", "4-NOT SPECIFIED", "O'Neil")
 
 ORACLES = {
@@ -104,6 +132,9 @@ round(100 * CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM o), 1) AS pct_of_ro
     "standardize": f"WITH {_O}, {_FILLED}, {_PARAMS} SELECT o_orderkey, split, {', '.join(_scaled(c) for c in FEATURES)} FROM f, p",
     "mode_impute_onehot": f"WITH {_O}, z AS (SELECT o_orderkey, coalesce(priority, {_MODE}) AS v FROM o) SELECT o_orderkey, "
                           + ", ".join("CAST(v = '" + v.replace("'", "''") + f"' AS DOUBLE) AS \"priority_{v}\"" for v in _LEVELS) + " FROM z",
+    "level_table": f"WITH {_O}, {_CELLS} SELECT * FROM r",
+    "level_positions": f"""WITH {_O}, {_CELLS} SELECT o_orderkey, split, a.position AS customer, b.position AS priority
+FROM o JOIN {_level_of("customer")} a USING (o_orderkey) JOIN {_level_of("priority")} b USING (o_orderkey)""",
     "checks_report": f"""WITH {_O}, c AS (SELECT split, gap, flat + CASE WHEN o_orderkey % 97 = 0 THEN CAST('inf' AS DOUBLE) ELSE 0 END AS flat,
 CASE WHEN o_orderkey % 101 = 0 THEN 2 ELSE label_storm END AS label FROM o),
 g AS (SELECT s.split, count(c.split) AS n, count(c.split) - count(gap) AS missing, count(*) FILTER (isinf(flat)) AS endless,

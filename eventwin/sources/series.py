@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from eventwin.functions.parse import FILL_VALUES, fills_to_null, number, to_numbers, utc_time
 from eventwin.functions.times import from_date_and_hours, from_year_day
 from eventwin.operators.clean import keep_between, keep_first, rename_aliases, require
 from eventwin.sources.schemas import EXPORTED_COLUMNS, KP_ALIASES, SOLAR_WIND_COLUMNS, TIME_ALIASES
+from eventwin.sources.versions import record, recorded
 
 Paths = str | Sequence[str]
 
@@ -164,8 +167,13 @@ def export_series(df: DataFrame, path: str, columns: Sequence[str] = EXPORTED_CO
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    try:
+        spark.read.format("binaryFile").load(path).schema
+        return True
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
 
 
 def build_series_once(spark: SparkSession, folder: str, out: str, start_year: int, end_year: int, *,
@@ -178,3 +186,67 @@ def build_series_once(spark: SparkSession, folder: str, out: str, start_year: in
             raise FileNotFoundError(f"missing yearly files: {missing}")
         export_series(read_solar_wind_text(spark, files), out)
     return spark.read.parquet(out).drop("year")
+
+
+_BUILT = "version bigint, year int, mark string, files bigint, bytes bigint, build string, strays bigint"
+
+
+def yearly_files(spark: SparkSession, folder: str, resolution: str = "5min") -> DataFrame:
+    """(year, files, bytes, mark) of the yearly files, or folders of parts, from their listing alone.
+
+    `mark` changes with the path, the size or the time of change of any file.
+    """
+    name = f"omni_{resolution}"
+    try:
+        listed = spark.read.format("binaryFile").load(f"{folder}/{name}*.asc").select("path", "length", "modificationTime")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        listed = spark.createDataFrame([], "path string, length bigint, modificationTime timestamp")
+    year = F.regexp_extract("path", rf"{name}(\d{{1,9}})\.asc", 1)
+    one = F.concat_ws(" ", "path", "length", F.unix_micros("modificationTime"))
+    return listed.where(year != "").groupBy(year.cast("int").alias("year")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.sha2(F.concat_ws("\n", F.sort_array(F.collect_list(one))), 256).alias("mark"))
+
+
+def built_years(spark: SparkSession, out: str) -> list[Row]:
+    """What `update_series` has committed to `out`: the last row of each year, by year."""
+    rows = recorded(spark, f"{out}/ledger", _BUILT)
+    last = rows.groupBy("year").agg(F.max_by(F.struct(*rows.columns), F.struct("version", "build")).alias("r"))
+    return last.select("r.*").orderBy("year").collect()
+
+
+def update_series(spark: SparkSession, folder: str, out: str, start_year: int, end_year: int, *, resolution: str = "5min",
+                  **options) -> list[int]:
+    """Parse the yearly files of `folder` that are new or changed since they were last built into `out`; the years built.
+
+    Each year is committed on its own by a row of the ledger, so a run that is lost goes on where it stopped, and
+    readers see a year as it was until its new files are complete. A missing year is an error before anything is built.
+    """
+    found = {r["year"]: r for r in yearly_files(spark, folder, resolution).where(F.col("year").between(start_year, end_year)).collect()}
+    if missing := [y for y in range(start_year, end_year + 1) if y not in found]:
+        raise FileNotFoundError(f"{folder} lacks the yearly files of {missing}")
+    known = {r["year"]: r for r in built_years(spark, out)}
+    changed = [y for y in sorted(found) if y not in known or known[y]["mark"] != found[y]["mark"]]
+    for year in changed:
+        build = uuid.uuid4().hex
+        path = f"{out}/data/file_year={year}/build={build}"
+        rows = trim_series(read_solar_wind_text(spark, f"{folder}/omni_{resolution}{year}.asc", **options))
+        rows.repartitionByRange("time").sortWithinPartitions("time").write.parquet(path)
+        strays = spark.read.parquet(path).where(F.year("time") != year).count()
+        version = known[year]["version"] + 1 if year in known else 1
+        record(spark, f"{out}/ledger", (version, year, found[year]["mark"], found[year]["files"], found[year]["bytes"], build, strays), _BUILT)
+    return changed
+
+
+def updated_series(spark: SparkSession, out: str, start_year: int, end_year: int) -> DataFrame:
+    """The series of the committed years, one row per time as a single reading of all their files gives it.
+
+    Times are compared across files only if a file holds times of another year.
+    """
+    built = [r for r in built_years(spark, out) if start_year <= r["year"] <= end_year]
+    if missing := sorted(set(range(start_year, end_year + 1)) - {r["year"] for r in built}):
+        raise FileNotFoundError(f"{out} lacks the years {missing}")
+    paths = [f"{out}/data/file_year={r['year']}/build={r['build']}" for r in built]
+    rows = spark.read.option("basePath", f"{out}/data").parquet(*paths).drop("build")
+    return (keep_first(rows, ["time"], ["file_year"]) if any(r["strays"] for r in built) else rows).drop("file_year")

@@ -11,8 +11,10 @@ from eventwin.operators import clean
 from eventwin.operators.prep import Preprocessor, fit_preprocessor
 from eventwin.session import shared_dir
 from eventwin.sources.json_arrays import read_json_array
-from eventwin.sources.series import export_series
-from eventwin.sources.sinks import land, write_scores, write_splits
+from eventwin.sources.schemas import EXPORTED_COLUMNS, SOLAR_WIND_COLUMNS
+from eventwin.sources.series import export_series, update_series, updated_series
+from eventwin.sources.sinks import land, publish_splits, write_scores, write_splits
+from eventwin.sources.versions import Build, published
 from queries import intervals, metrics, parsing, preparation
 from queries.tables import table
 
@@ -64,6 +66,48 @@ def splits(spark, d):
     return spark.read.parquet(f"{path}/matrix").select("o_orderkey", "split")
 
 
+def all_splits(spark, d):
+    """Matrix, names and summary of the version that was published last: after one of half the rows, before one that was lost."""
+    rows, path = preparation.orders_with_split(spark, d), _folder(spark)
+    publish_splits(rows.where("o_orderkey % 2 = 0"), path, preparation.FEATURES[:2])
+    publish_splits(rows, path, preparation.FEATURES)
+    Build(spark, path).add("matrix", rows.where("o_orderkey % 3 = 0"))
+    got = published(spark, path)
+    numbers = ("n_rows", "n_features", "n_storms", "storm_rate", "year_min", "year_max", "pct_of_rows")
+    cells = lambda names: "array(" + ", ".join(f"cast({n} as double)" for n in names) + ")"
+    parts = [got["matrix"].selectExpr("'matrix' as part", "cast(o_orderkey as bigint) as id", "concat_ws('|', split, priority) as text",
+                                      f"{cells([*preparation.FEATURES, 'year', 'label_storm'])} as cells"),
+             got["features"].selectExpr("'features' as part", "cast(position as bigint) as id", "feature as text", "cast(array() as array<double>) as cells"),
+             got["summary"].selectExpr("'summary' as part", "-1L as id", "split as text", f"{cells(numbers)} as cells")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).selectExpr("part", "id", "text", *[f"get(cells, {i}) as x{i}" for i in range(7)])
+
+
+#: Years of the files; one line in ten of the second file belongs to the third year.
+_YEARS = (2000, 2001, 2002)
+
+
+def yearly_updates(spark, d):
+    """Yearly files built, one changed and one added, built again, with a build that was lost on the way."""
+    raw, out = _folder(spark), _folder(spark)
+    events = table(spark, d, "events").selectExpr("event_id", "2000 + event_id % 3 as file_year", "ts")
+
+    def write(year, shift):
+        cells = [f"if(file_year = 2001 and event_id % 10 = 0, 2002, file_year)", "dayofyear(ts) % 28 + 1", "hour(ts)", "minute(ts)",
+                 *[f"event_id % 797 + {i + shift}" for i in range(4, len(SOLAR_WIND_COLUMNS))]]
+        line = "concat_ws(' ', " + ", ".join(f"cast({c} as string)" for c in cells) + ") as value"
+        events.where(f"file_year = {year}").selectExpr(line).write.mode("overwrite").text(f"{raw}/omni_5min{year}.asc")
+
+    for year in _YEARS[:2]:
+        write(year, year - 2000)  # the second file is not what it will be
+    first = update_series(spark, raw, out, 2000, 2001)
+    write(2001, 0)
+    write(2002, 0)
+    built = [first, update_series(spark, raw, out, 2000, 2002), update_series(spark, raw, out, 2000, 2002)]
+    spark.range(5).selectExpr("timestamp_seconds(id) as time", "1D as V").write.parquet(f"{out}/data/file_year=2000/build=lost")
+    back = updated_series(spark, out, 2000, 2002)
+    return back.select(time_micros(back, "time").alias("us"), *EXPORTED_COLUMNS[1:], F.lit(str(built)).alias("built"))
+
+
 def preprocessor(spark, d):
     rows, path = preparation.orders_with_split(spark, d), _folder(spark)
     fit_preprocessor(rows.where("split = 'train'"), preparation.FEATURES, scale=False).save(spark, path)
@@ -84,15 +128,32 @@ def group_members(spark, d):
     return made.selectExpr(f"stack({len(rows)}, " + ", ".join(f"'{g}', '{c}', {c}" for g, c in rows) + ") as (feature_group, feature, value)")
 
 
-QUERIES = {"json_arrays_back": json_arrays, "export_series_back": exported, "labelled_table_back": labelled, "splits_back": splits, "preprocessor_back": preprocessor,
+QUERIES = {"json_arrays_back": json_arrays, "export_series_back": exported, "labelled_table_back": labelled, "splits_back": splits, "published_splits": all_splits, "series_updates": yearly_updates,
+           "preprocessor_back": preprocessor,
            "scores_back": scores, "feature_group_members": group_members}
 
+_NUMBERS = ", ".join(f"CAST({n} AS DOUBLE) AS x{i}" for i, n in enumerate(
+    ("n_rows", "n_features", "n_storms", "storm_rate", "year_min", "year_max", "pct_of_rows")))
+_LINE = " || ' ' || ".join(f"CAST(event_id % 797 + {i} AS VARCHAR)" for i in range(4, len(SOLAR_WIND_COLUMNS)))
+
 ORACLES = {
     "json_arrays_back": """SELECT o_orderkey AS id, '}{]["' || o_orderpriority || chr(92) || chr(92) || '", é' || chr(10) || '[{' || o_orderstatus AS text,
 o_totalprice AS price FROM orders""",
     "export_series_back": parsing.ORACLES["trim_series"],
     "labelled_table_back": intervals.ORACLES["interval_max_label"],
     "splits_back": preparation.ORACLES["time_split"],
+    "published_splits": f"""WITH s AS ({preparation.ORACLES["time_split_summary"]}), {preparation._O}
+SELECT 'matrix' AS part, o_orderkey AS id, concat_ws('|', split, priority) AS text, CAST(price AS DOUBLE) AS x0, CAST(gap AS DOUBLE) AS x1, flat AS x2, cust AS x3,
+CAST(year AS DOUBLE) AS x4, CAST(label_storm AS DOUBLE) AS x5, CAST(NULL AS DOUBLE) AS x6 FROM o
+UNION ALL SELECT 'features', position, feature, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM (VALUES {", ".join(f"({i}, '{f}')" for i, f in enumerate(preparation.FEATURES))}) AS v(position, feature)
+UNION ALL SELECT 'summary', -1, split, {_NUMBERS} FROM s""",
+    "series_updates": f"""WITH l AS (SELECT event_id, 2000 + event_id % 3 AS file_year, CASE WHEN event_id % 3 = 1 AND event_id % 10 = 0 THEN 2002 ELSE 2000 + event_id % 3 END AS y,
+dayofyear(ts) % 28 + 1 AS day, hour(ts) AS h, minute(ts) AS m, {_LINE} AS cells FROM events),
+t AS (SELECT *, epoch_us(CAST(make_date(CAST(y AS INTEGER), 1, 1) AS TIMESTAMP)) + ((day - 1) * 1440 + h * 60 + m) * 60000000 AS us FROM l),
+r AS (SELECT *, row_number() OVER (PARTITION BY us ORDER BY file_year, cells) AS rn FROM t)
+SELECT us, {", ".join(f'CAST(event_id % 797 + {SOLAR_WIND_COLUMNS.index(c)} AS DOUBLE) AS "{c}"' for c in EXPORTED_COLUMNS[1:])},
+'[[2000, 2001], [2001, 2002], []]' AS built FROM r WHERE rn = 1""",
     "preprocessor_back": preparation.ORACLES["impute_median"],
     "scores_back": metrics.ORACLES["score_table"],
     "feature_group_members": """SELECT 'geomagnetic_indices' AS feature_group, 'omni_w24_72_max_AE' AS feature, max(value) AS value FROM events

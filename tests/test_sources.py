@@ -207,3 +207,56 @@ def test_every_line_is_accepted_or_has_a_reason(spark, tmp_path):
     judged = series.judge_kp_lines(spark.createDataFrame([(v,) for v in kp], "value string"), "2015-01-01", "2015-12-31")
     assert {r["reason"]: r["n"] for r in series.line_report(judged).collect()} == {
         "comment": 1, "blank": 2, "accepted": 1, "no time": 2, "outside the period": 1, "no value": 1}
+
+
+# versions and updates ---------------------------------------------------------------------------
+
+def test_published_versions(spark, tmp_path):
+    from eventwin.sources.versions import Build, published
+    folder = str(tmp_path / "set")
+    with pytest.raises(FileNotFoundError):
+        published(spark, folder)
+    numbers = []
+    for n in (3, 4):
+        build = Build(spark, folder)
+        build.add("a", spark.range(n).selectExpr("id", "id % 2 as part"), ["part"])
+        assert n == 3 or published(spark, folder)["a"].count() == 3  # written, not published
+        build.add("b", spark.range(n))
+        numbers.append(build.publish())
+    lost = Build(spark, folder)
+    lost.add("a", spark.range(9))
+    got = published(spark, folder)
+    assert numbers == [1, 2] and {name: df.count() for name, df in got.items()} == {"a": 4, "b": 4}
+    assert {name: df.count() for name, df in published(spark, folder, 1).items()} == {"a": 3, "b": 3}
+    with pytest.raises(FileNotFoundError):
+        published(spark, folder, 7)
+
+
+def test_updates_equal_a_single_reading(spark, tmp_path, monkeypatch):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    with pytest.raises(FileNotFoundError, match="2015, 2016"):
+        series.update_series(spark, str(raw), out, 2015, 2016)
+    write_years(raw)
+    assert series.update_series(spark, str(raw), out, 2015, 2016) == [2015, 2016]
+    assert series.update_series(spark, str(raw), out, 2015, 2016) == []
+
+    def whole():
+        files = [str(raw / f"omni_5min{y}.asc") for y in (2015, 2016)]
+        return sorted(map(str, series.trim_series(series.read_solar_wind_text(spark, files)).collect()))
+
+    read = lambda: sorted(map(str, series.updated_series(spark, out, 2015, 2016).collect()))
+    assert read() == whole() and len(whole()) == 6
+    before = read()
+    (raw / "omni_5min2016.asc").write_text(wind_line(2016, 5, 0, 0) + wind_line(2016, 6, 0, 0))
+    with monkeypatch.context() as patch:  # lost between the files and the commit
+        def lost(*_):
+            raise RuntimeError("lost")
+        patch.setattr(series, "record", lost)
+        with pytest.raises(RuntimeError):
+            series.update_series(spark, str(raw), out, 2015, 2016)
+    assert read() == before
+    assert series.update_series(spark, str(raw), out, 2015, 2016) == [2016]
+    assert read() == whole() != before
+    with pytest.raises(FileNotFoundError, match="2017"):
+        series.updated_series(spark, out, 2015, 2017)

@@ -245,6 +245,30 @@ def best_split(histogram: np.ndarray, n_cuts: Sequence[int], penalty: float, lea
     return best
 
 
+@dataclass(frozen=True)
+class Binned:
+    """Training rows as blocks of bins, made once for any number of fits over the same rows."""
+
+    blocks: DataFrame
+    features: list[str]
+    cuts: list[np.ndarray]
+    weight: float  # of positives
+    unit: float
+
+
+def bin_rows(train: DataFrame, features: Sequence[str], label: str = "label_storm", *, positive_weight: float | None = None, bins: int = 254,
+             key: str | None = None) -> Binned:
+    """The rows labelled 0 or 1, cut at quantiles and stored. Positives weigh negatives / positives unless given."""
+    from eventwin.operators.models import class_sizes
+
+    features = list(features)
+    n0, n1 = class_sizes(train, label)
+    weight = n0 / n1 if positive_weight is None else float(positive_weight)
+    unit = 2.0 ** min(PRECISION, 61 - math.ceil(math.log2(n0 + n1 * weight + 1)), 52 - math.ceil(math.log2(BLOCK_ROWS * max(weight, 1.0))))
+    cuts = cut_points(train.where(f"`{label}` in (0, 1)"), features, min(bins, MISSING - 1))
+    return Binned(_blocks(train, features, label, key, cuts), features, cuts, weight, unit)
+
+
 def fit_trees(train: DataFrame, features: Sequence[str], label: str = "label_storm", *, rounds: int = 500, depth: int = 4, step: float = 0.05,
               rows: float = 0.8, columns: float = 0.8, positive_weight: float | None = None, penalty: float = 1.0, gamma: float = 0.0,
               least_child: float = 1.0, bins: int = 254, seed: int = 42, key: str | None = None) -> BoostedTrees:
@@ -255,20 +279,27 @@ def fit_trees(train: DataFrame, features: Sequence[str], label: str = "label_sto
     hash of `key` (of all values without one, so equal rows are drawn together) and a share `columns` of the features. Missing values go to
     the side of greater gain. Positives weigh negatives / positives unless given.
     """
-    from eventwin.operators.models import class_sizes
+    binned = bin_rows(train, features, label, positive_weight=positive_weight, bins=bins, key=key)
+    return grow_trees(binned, rounds=rounds, depth=depth, step=step, rows=rows, columns=columns, penalty=penalty, gamma=gamma,
+                      least_child=least_child, seed=seed)
 
-    features, random = list(features), np.random.default_rng(seed)
-    n0, n1 = class_sizes(train, label)
-    weight = n0 / n1 if positive_weight is None else float(positive_weight)
-    unit = 2.0 ** min(PRECISION, 61 - math.ceil(math.log2(n0 + n1 * weight + 1)), 52 - math.ceil(math.log2(BLOCK_ROWS * max(weight, 1.0))))
-    cuts = cut_points(train.where(f"`{label}` in (0, 1)"), features, min(bins, MISSING - 1))
-    blocks = _blocks(train, features, label, key, cuts)
-    per_tree = max(1, round(columns * len(features)))
-    model, since = BoostedTrees(features, [], 0.0, cuts), []
+
+def grow_trees(binned: Binned, kept: Sequence[str] | None = None, *, rounds: int = 500, depth: int = 4, step: float = 0.05, rows: float = 0.8,
+               columns: float = 0.8, penalty: float = 1.0, gamma: float = 0.0, least_child: float = 1.0, seed: int = 42) -> BoostedTrees:
+    """`fit_trees` over rows that are binned already, from the features `kept` alone (all by default).
+
+    With rows drawn by a key, this is the model that `fit_trees` fits to a table of only these features.
+    """
+    names, random = [f for f in binned.features if kept is None or f in set(kept)], np.random.default_rng(seed)
+    place = [binned.features.index(f) for f in names]  # in the blocks
+    blocks, n_features, cuts = binned.blocks, len(binned.features), [binned.cuts[i] for i in place]
+    per_tree = max(1, round(columns * len(names)))
+    model, since = BoostedTrees(names, [], 0.0, cuts), []
     for number in range(rounds):
-        drawn = np.sort(random.permutation(len(features))[:per_tree])
+        drawn = np.sort(random.permutation(len(names))[:per_tree])
+        stored = np.array([place[i] for i in drawn], dtype=int)
         tree, salt = _Grown(), seed * 1_000_003 + number
-        histograms = lambda counted: _histograms(blocks, since, tree.arrays(), counted, drawn, len(features), weight, rows, salt, unit) / unit
+        histograms = lambda counted: _histograms(blocks, since, tree.arrays(), counted, stored, n_features, binned.weight, rows, salt, binned.unit) / binned.unit
         level = dict(zip([0], histograms([0])))
         for deep in range(depth + 1):
             children = []
@@ -278,8 +309,7 @@ def fit_trees(train: DataFrame, features: Sequence[str], label: str = "label_sto
                 found = best_split(histogram, [len(cuts[c]) for c in drawn], penalty, least_child) if deep < depth else None
                 if found and found[0] > max(gamma, LEAST_GAIN):
                     gain, column, bin, missing_left = found
-                    feature = int(drawn[column])
-                    left, right = tree.split(node, feature, bin, float(cuts[feature][bin]), missing_left)
+                    left, right = tree.split(node, int(stored[column]), bin, float(cuts[drawn[column]][bin]), missing_left)
                     model.gains.append((number, node, gain))
                     children.append((node, left, right))
             if not children:
@@ -289,10 +319,10 @@ def fit_trees(train: DataFrame, features: Sequence[str], label: str = "label_sto
         for row in tree.rows:
             if row[3] >= 0:
                 row[5] = 0.0
-        model.trees.append(Tree.of(tree.rows))
+        model.trees.append(Tree.of([[place.index(row[0]) if row[3] >= 0 else -1, *row[1:]] for row in tree.rows]))
         since.append(tree.arrays())
         if len(since) == STORE_EVERY and number + 1 < rounds:
-            blocks, since = _stored(blocks, since, len(features)), []
+            blocks, since = _stored(blocks, since, n_features), []
     return model
 
 

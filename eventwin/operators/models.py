@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from eventwin.operators.boosting import BoostedTrees
+from eventwin.operators.boosting import BoostedTrees, bin_rows, grow_trees
 from eventwin.operators.metrics import compare_variants, evaluate, union_scores
 from eventwin.operators.scan import _q, _text
 from eventwin.sources.sinks import staged
@@ -107,3 +109,32 @@ def ablation(train: DataFrame, test: DataFrame, features: Sequence[str], dropped
     full = full_model or fit(train, list(features))
     scores = compare_models({"full": full, "reduced": fit(train, kept)}, test, label=label, split=split)
     return scores, compare_variants(scores, "full", "reduced")
+
+
+def group_ablation(train: DataFrame, test: DataFrame, features: Sequence[str], groups: Mapping[str, Sequence[str]], *,
+                   label: str = "label_storm", split: str = "split", key: str | None = None, positive_weight: float | None = None,
+                   bins: int = 254, at_once: int = 4, **trees) -> tuple[DataFrame, DataFrame, dict[str, BoostedTrees]]:
+    """(score rows, comparison, models) of second-order trees on all `features` and without each group of them.
+
+    Models are named `full` and `without <group>`; the comparison has a row (feature_group, metric, full, reduced, delta) per group and
+    metric. Training rows are binned and stored once; the fits hide the group's features and up to `at_once` of them run side
+    by side, so that the jobs of one fill the executors while another picks its splits. All fits draw the same rows.
+    A group without any of the features has the full model's scores; one with all of them is an error.
+    """
+    kept = {"full": list(features)} | {f"without {g}": [c for c in features if c not in set(members)] for g, members in groups.items()}
+    if empty := [name for name, names in kept.items() if not names]:
+        raise ValueError(f"no features are left in {empty}")
+    binned = bin_rows(train, features, label, positive_weight=positive_weight, bins=bins, key=key)
+    rows = staged(test, "ablation-test")
+
+    def fitted(name: str) -> tuple[BoostedTrees, DataFrame]:
+        model = grow_trees(binned, kept[name], **trees)
+        return model, score_model(model, rows, name, label=label, split=split)
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        tasks = {name: pool.submit(inheritable_thread_target(train.sparkSession)(fitted), name) for name in kept}
+        found = {name: task.result() for name, task in tasks.items()}
+    scores = union_scores(*[rows for _, rows in found.values()])
+    compared = [compare_variants(scores, "full", f"without {g}").withColumn("feature_group", F.lit(g)) for g in groups]
+    wanted = ("feature_group", "metric", "full", "reduced", "delta")
+    return scores, union_scores(*compared).select(*wanted) if compared else None, {name: model for name, (model, _) in found.items()}

@@ -62,7 +62,16 @@ def ablated(spark, d):
     return M.ablation(m.where("split = 'train'"), m.where("split = 'test'"), list(FEATURES), ["late"], fit)[1]
 
 
-QUERIES = {"second_order_split": split_search, "second_order_depth_two": depth_two, "second_order_three_rounds": three_rounds,
+def group_scores(spark, d):
+    """Trees on two binary features, on both and without either: counts of their predictions, and how recall differs from the full model's."""
+    rows = _two(spark, d).withColumn("split", F.lit("all"))
+    scores, compared, _ = M.group_ablation(rows, rows, ["closed", "urgent"], {"state": ["closed"], "priority": ["urgent"]}, key="o_orderkey",
+                                           rounds=1, depth=1, rows=1.0, columns=1.0, step=STEP, penalty=PENALTY)
+    delta = compared.where("metric = 'recall'").selectExpr("concat('without ', feature_group) as model", "round(delta, 9) + 0D as recall_delta")
+    return scores.select("model", "tp", "fp", "tn", "fn").join(delta, "model", "left")
+
+
+QUERIES = {"second_order_groups": group_scores, "second_order_split": split_search, "second_order_depth_two": depth_two, "second_order_three_rounds": three_rounds,
            "second_order_scores": scored, "second_order_ablation": ablated}
 
 _SEARCHED_SQL = {"quantity": "l_quantity", "line": "CAST(l_linenumber AS DOUBLE)",
@@ -85,7 +94,22 @@ CASE WHEN o_totalprice > 180000 + CASE WHEN o_orderstatus = 'F' THEN -30000 ELSE
 THEN 1 ELSE 0 END AS y FROM orders),
 weight AS (SELECT CAST(count(*) FILTER (y = 0) AS DOUBLE) / count(*) FILTER (y = 1) AS w FROM o)"""
 
+_SIDES = " UNION ALL ".join(f"SELECT {i} AS place, '{c}' AS feature, {c} AS x, y, w FROM o, weight" for i, c in enumerate(("closed", "urgent")))
+
 ORACLES = {
+    "second_order_groups": f"""WITH {_TWO},
+s AS (SELECT place, feature, x, sum(CASE WHEN y = 1 THEN -0.5 * w ELSE 0.5 END) AS g, sum(CASE WHEN y = 1 THEN 0.25 * w ELSE 0.25 END) AS h,
+count(*) FILTER (y = 1) AS n1, count(*) FILTER (y = 0) AS n0 FROM ({_SIDES}) GROUP BY ALL),
+t AS (SELECT place, feature, sum(g) AS g, sum(h) AS h, min(h) AS least, (sum(g * g / (h + {PENALTY})) - sum(g) * sum(g) / (sum(h) + {PENALTY})) / 2 AS gain FROM s GROUP BY ALL),
+p AS (SELECT s.place, s.feature, n0, n1, t.gain, CASE WHEN least >= 1 AND t.gain > 1e-6 THEN -s.g / (s.h + {PENALTY}) ELSE -t.g / (t.h + {PENALTY}) END > 0 AS yes
+FROM s JOIN t USING (place)),
+c AS (SELECT place, feature, any_value(gain) AS gain, coalesce(sum(n1) FILTER (yes), 0) AS tp, coalesce(sum(n0) FILTER (yes), 0) AS fp,
+coalesce(sum(n0) FILTER (NOT yes), 0) AS tn, coalesce(sum(n1) FILTER (NOT yes), 0) AS fn FROM p GROUP BY ALL),
+f AS (SELECT * FROM c ORDER BY gain DESC, place LIMIT 1),
+m AS (SELECT 'full' AS model, tp, fp, tn, fn FROM f UNION ALL
+SELECT CASE feature WHEN 'closed' THEN 'without priority' ELSE 'without state' END, tp, fp, tn, fn FROM c)
+SELECT m.model, CAST(m.tp AS BIGINT) AS tp, CAST(m.fp AS BIGINT) AS fp, CAST(m.tn AS BIGINT) AS tn, CAST(m.fn AS BIGINT) AS fn,
+CASE WHEN m.model <> 'full' THEN round(CAST(m.tp AS DOUBLE) / (m.tp + m.fn) - CAST(f.tp AS DOUBLE) / (f.tp + f.fn), 9) + 0 END AS recall_delta FROM m, f""",
     "second_order_split": f"""WITH l AS (SELECT *, CASE WHEN l_extendedprice * (1 + l_discount) + CASE WHEN l_linenumber % 3 = 0 THEN 20000 ELSE 0 END > 60000
 THEN 1 ELSE 0 END AS y FROM lineitem),
 weight AS (SELECT CAST(count(*) FILTER (y = 0) AS DOUBLE) / count(*) FILTER (y = 1) AS w FROM l),

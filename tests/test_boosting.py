@@ -218,3 +218,22 @@ def test_attribution_of_a_fitted_model(spark):
         assert got[r["id"]]["base"] + sum(got[r["id"]]["phi"]) == pytest.approx(r["margin"], abs=1e-9)
     with pytest.raises(ValueError):
         A.tree_attribution(df, model, NAMES[::-1])
+
+
+def test_fits_without_a_group_equal_fits_of_their_own(spark):
+    """Hidden features change nothing else: the same trees as from a table without them, over stored margins too."""
+    df, _, _ = table(spark)
+    rows = df.withColumn("split", F.expr("if(id % 4 = 0, 'test', 'validation')"))
+    groups = {"first": ["a"], "rest": ["b", "c", "d"], "none of these": ["z"]}
+    options = dict(rounds=18, depth=3, rows=0.7, columns=0.6, step=0.3)
+    scores, compared, models = M.group_ablation(rows, rows, NAMES, groups, key="id", at_once=3, **options)
+    nodes = lambda model: [tuple(r) for r in model.nodes(spark).orderBy("tree", "node").collect()]
+    for name, kept in {"full": NAMES, "without first": NAMES[1:], "without rest": ["a"]}.items():
+        assert nodes(models[name]) == nodes(B.fit_trees(rows, kept, key="id", **options)), name
+    assert nodes(models["without none of these"]) == nodes(models["full"])
+    assert scores.count() == 8 and {r["model"] for r in scores.collect()} == set(models)
+    got = {(r["feature_group"], r["metric"]): r for r in compared.collect()}
+    assert len(got) == 12 and all(got["none of these", m]["delta"] == 0 for m in ("f1_storm", "precision", "recall", "auc_roc"))
+    assert all(r["delta"] == r["reduced"] - r["full"] for r in got.values()) and got["first", "auc_roc"]["delta"] < 0
+    with pytest.raises(ValueError, match="without all"):
+        M.group_ablation(rows, rows, NAMES, {"all": NAMES}, rounds=1)

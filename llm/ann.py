@@ -2,10 +2,10 @@
 
 Centroids are fitted on a bounded sample by splitting: a list that holds too large a share of the sample is cut again, so lists are
 balanced. Every vector is indexed: it goes to the list of its nearest centroid, and a vector near a boundary also to others that are
-nearly as near; with more centroids than LOOKED_AT these are found by best-first search in an in-memory graph. A query reads every list whose centroid lies
-within a ratio of the nearest one's distance; the ratio alone decides how many, from exact distances to all centroids. Posting lists
-are stored in segments of bounded size, so a list that holds a third of all vectors (copies can't be split) is work for many tasks.
-Distances to all vectors of the read lists are exact.
+nearly as near. Centroids are found in an in-memory graph: a best-first walk with a beam finds the nearest ones, and for a query the
+walk then goes on through every centroid within a ratio of the nearest one's distance, so the ratio alone decides how many lists are
+read. Posting lists are stored in segments of bounded size, so a list that holds a third of all vectors (copies can't be split) is
+work for many tasks. Distances to all vectors of the read lists are exact.
 """
 
 from __future__ import annotations
@@ -19,22 +19,28 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from eventwin.sources.sinks import staged
 from llm.vectors import as_rows, matrix, pack
 
-#: Vectors that the centroids are fitted on, drawn by a hash of row places; all vectors are indexed.
-SAMPLE_ROWS = 20_000
+#: Vectors that the centroids are fitted on, drawn by a hash of row places, and more where lists would get fewer than so many each; all
+#: vectors are indexed.
+SAMPLE_ROWS, SAMPLE_EACH = 20_000, 4
 #: Vectors that a list should hold, and the most centroids: their graph is sent to all tasks.
-LIST_ROWS, MOST_LISTS = 250, 4_096
+LIST_ROWS, MOST_LISTS = 250, 16_384
 #: A vector is also put in up to three more lists whose centroids are at most this times as far as its nearest.
 REPLICA_RATIO, REPLICAS = 1.05, 4
-#: Centroids that the graph search keeps while it looks for a vector's nearest, and the number of centroids up to which all are looked
-#: at instead (a beam of 64 found 99% of nearest lists among 800).
-ASSIGN_BEAM, LOOKED_AT = 64, 4_096
+#: Centroids that the graph search keeps while it looks for those nearest to a vector and to a query.
+ASSIGN_BEAM, SEARCH_BEAM = 48, 64
+#: A query's walk passes through centroids at most this times as far as the ones whose lists it reads.
+WALK_RATIO = 1.05
 #: A query reads all lists whose centroids are at most this times as far as its nearest; so many at least. A query that finds too few
 #: neighbours in them reads all lists.
 SEARCH_RATIO, LEAST_LISTS = 1.2, 8
-#: Neighbours of a centroid in the graph; some are drawn at random, which keeps it connected over clusters.
-LINKS, FAR_LINKS = 16, 4
+#: Neighbours of a centroid in the graph, chosen among so many nearest ones; some are drawn at random, which keeps it connected over clusters.
+LINKS, LINKS_FROM, FAR_LINKS = 16, 48, 4
+#: A walk starts from the nearest of this many times the square root of the number of centroids, drawn at random.
+ENTRIES = 8
 SEGMENT_ROWS = 1_024
-BATCH = 512
+BATCH = 256
+#: Components of vectors that a task compares with centroids at once.
+COMPARED = 1 << 22
 #: Rows that a batch of assigned ones holds at most, and queries whose nearest a task holds at once.
 BATCH_OUT, HELD_QUERIES = 4_096, 16_384
 
@@ -78,7 +84,7 @@ def fit_centroids(sample, lists: int, seed: int = 7):
             heapq.heappush(heap, (-len(half), tie, group[half]))
     centroids = np.stack([distinct[g].mean(0) for _, _, g in heap])
     for _ in range(4):
-        owner = np.concatenate([_squares(distinct[i:i + 2048], centroids).argmin(1) for i in range(0, len(distinct), 2048)])
+        owner = np.concatenate([_squares(distinct[i:i + 512], centroids).argmin(1) for i in range(0, len(distinct), 512)])
         sums, counts = np.zeros_like(centroids), np.bincount(owner, minlength=lists)
         np.add.at(sums, owner, distinct)
         centroids = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centroids)
@@ -93,25 +99,36 @@ class Graph:
 
         n, random = len(centroids), np.random.default_rng(seed)
         self.centroids, self.norms = centroids, (centroids * centroids).sum(1)
-        near = min(LINKS, n - 1)
+        near = min(LINKS_FROM, n - 1)
         links = []
-        for i in range(0, n, 1024):
-            far = _squares(centroids[i:i + 1024], centroids)
+        for i in range(0, n, 256):
+            far = _squares(centroids[i:i + 256], centroids)
             far[np.arange(len(far)), np.arange(i, i + len(far))] = np.inf
-            links.append(np.argpartition(far, near - 1, axis=1)[:, :near] if near else np.empty((len(far), 0), int))
+            nearest = np.argpartition(far, near - 1, axis=1)[:, :near] if near else np.empty((len(far), 0), int)
+            order = np.argsort(np.take_along_axis(far, nearest, 1), axis=1, kind="stable")
+            links.append(self._spread(np.take_along_axis(nearest, order, 1), np.take_along_axis(far, np.take_along_axis(nearest, order, 1), 1)))
         ring = (np.arange(n)[:, None] + 1) % n  # every centroid can be reached
         self.links = np.hstack([*[np.vstack(links)], ring, random.integers(0, n, (n, FAR_LINKS - 1))])
-        self.entries = random.choice(n, min(n, 8), replace=False)
+        self.entries = random.choice(n, min(n, math.ceil(ENTRIES * math.sqrt(n))), replace=False)
 
-    def nearest(self, points, most: int | None = None):
-        """(distances, centroids), nearest first, of the `most` centroids nearest to each point, or of all: all are looked at."""
+    def _spread(self, near, far):
+        """LINKS of each row's near centroids, nearest first: first those nearer to the row than to any link before, then the nearest rest."""
         import numpy as np
 
-        squares, n = _squares(points, self.centroids), len(self.centroids)
-        near = np.argpartition(squares, most - 1, axis=1)[:, :most] if most and most < n else np.tile(np.arange(n), (len(points), 1))
-        squares = np.take_along_axis(squares, near, 1)
+        points = self.centroids[near]
+        between = self.norms[near][:, :, None] + self.norms[near][:, None, :] - 2 * points @ points.transpose(0, 2, 1)
+        kept = np.zeros(near.shape, bool)
+        for i in range(near.shape[1]):
+            kept[:, i] = ~(kept[:, :i] & (between[:, i, :i] < far[:, i, None])).any(1)
+        return np.take_along_axis(near, np.argsort(~kept, axis=1, kind="stable")[:, :LINKS], 1)
+
+    def _all(self, points):
+        """(distances, centroids), nearest first, of all centroids: for a beam that would hold them all."""
+        import numpy as np
+
+        squares = _squares(points, self.centroids)
         order = np.argsort(squares, axis=1, kind="stable")
-        return np.sqrt(np.take_along_axis(squares, order, 1)), np.take_along_axis(near, order, 1)
+        return np.sqrt(np.take_along_axis(squares, order, 1)), order
 
     def search(self, points, most: int):
         """(distances, centroids), nearest first, of up to `most` centroids found for each point."""
@@ -119,14 +136,15 @@ class Graph:
 
         n, count = len(self.centroids), len(points)
         if n <= most:
-            return self.nearest(points)
+            return self._all(points)
         at = np.arange(count)[:, None]
         norms = (points * points).sum(1)[:, None]
         far = lambda c: np.maximum(norms + self.norms[c] - 2 * np.einsum("pd,pcd->pc", points, self.centroids[c]), 0)
         seen = np.zeros((count, n), bool)
-        beam = np.tile(self.entries, (count, 1))
-        seen[at, beam] = True
-        squares, done = far(beam), np.zeros((count, len(self.entries)), bool)
+        squares = _squares(points, self.centroids[self.entries])
+        kept = np.argpartition(squares, min(most, len(self.entries)) - 1, axis=1)[:, :most]
+        beam, squares, done = self.entries[kept], np.take_along_axis(squares, kept, 1), np.zeros(kept.shape, bool)
+        seen[:, self.entries] = True
         while True:
             open_squares = np.where(done, np.inf, squares)
             step = np.argsort(open_squares, axis=1, kind="stable")[:, :4]  # four at a time
@@ -152,12 +170,47 @@ class Graph:
         order = np.argsort(squares, axis=1, kind="stable")
         return np.sqrt(np.take_along_axis(squares, order, 1)), np.take_along_axis(beam, order, 1)
 
+    def within(self, points, ratio: float, beam: int, least: int = 1):
+        """(points, centroids): all met whose distance is at most `ratio` times the nearest one's, and each point's `least` nearest.
+
+        The walk starts from the beam around a point and goes on, without a bound on their number, from every centroid near enough.
+        """
+        import numpy as np
+
+        count, n = len(points), len(self.centroids)
+        far, found = self.search(points, max(beam, least))
+        limit = far[:, 0] * ratio + 1e-12
+        met = np.isfinite(far)
+        chosen = met & ((far <= limit[:, None]) | (np.arange(far.shape[1]) < least))
+        at, first = np.nonzero(chosen)
+        out = [(at, found[at, first])]
+        if met.sum() < count * n:
+            walk, norms = limit * WALK_RATIO, (points * points).sum(1)
+            at, first = np.nonzero(met)
+            seen = np.zeros(count * n, bool)
+            seen[at * n + found[at, first]] = True
+            at, first = np.nonzero(met & (far <= walk[:, None]))
+            nodes = found[at, first]
+            step = max(1, COMPARED // points.shape[1])
+            while len(nodes):
+                links = (at[:, None] * n + self.links[nodes]).ravel()
+                links = np.unique(links[~seen[links]])
+                seen[links] = True
+                at, nodes = np.divmod(links, n)
+                products = [np.einsum("pd,pd->p", points[at[i:i + step]], self.centroids[nodes[i:i + step]]) for i in range(0, len(at), step)]
+                apart = np.sqrt(np.maximum(norms[at] + self.norms[nodes] - 2 * np.concatenate([np.empty(0), *products]), 0))
+                inside = apart <= limit[at]
+                out.append((at[inside], nodes[inside]))
+                on = apart <= walk[at]
+                at, nodes = at[on], nodes[on]
+        return tuple(map(np.concatenate, zip(*out)))
+
 
 def _assigned(graphs: dict, ratio: float, *, beam: int | None = None, least: int = 1, most: int | None = None):
     """Rows (row, id, dim, length, vector) to rows with `key`, one for each list within `ratio` of the nearest, `least` to `most`.
 
-    With `beam` more than LOOKED_AT centroids are searched in the graph, else all are looked at. A dimension that the sample lacks is
-    one list of its own, -1: it's searched in full.
+    Lists are found in the graph, all that the ratio allows unless `most` is given. A dimension that the sample lacks is one list of
+    its own, -1: it's searched in full.
     """
     def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -174,15 +227,15 @@ def _assigned(graphs: dict, ratio: float, *, beam: int | None = None, least: int
                         places.append(own)
                         continue
                     points = matrix(b"".join(vectors[i] for i in own), len(own), int(dim))
-                    if beam and len(graph.centroids) > LOOKED_AT:
-                        far, lists = (x[:, :most] for x in graph.search(points, beam))
+                    if most is None:
+                        at, lists = graph.within(points, ratio, beam or SEARCH_BEAM, least)
                     else:
-                        far, lists = graph.nearest(points, most)
-                    near = far <= far[:, :1] * ratio + 1e-12
-                    near[:, :least] = True
-                    near[~np.isfinite(far)] = False
-                    keys.append(lists[near])
-                    places.append(np.repeat(own, near.sum(1)))
+                        far, found = (x[:, :most] for x in graph.search(points, beam or ASSIGN_BEAM))
+                        near = np.isfinite(far) & ((far <= far[:, :1] * ratio + 1e-12) | (np.arange(far.shape[1]) < least))
+                        at, first = np.nonzero(near)
+                        lists = found[at, first]
+                    keys.append(lists)
+                    places.append(own[at])
                 if keys:
                     key, place = np.concatenate(keys).astype(np.int32), np.concatenate(places)
                     for i in range(0, len(key), BATCH_OUT):
@@ -264,7 +317,8 @@ def nearest(df: DataFrame, is_query: Column, *, k: int = 10, id_column: str = "v
     rows = staged(as_rows(df, id_column, vector_column, zero=False), "vectors")
     n = rows.count()
     sample: dict = {}
-    for r in rows.orderBy(F.xxhash64("row"), "row").limit(SAMPLE_ROWS).select("dim", "vector").collect():
+    most = max(SAMPLE_ROWS, SAMPLE_EACH * min(MOST_LISTS, math.ceil(n / LIST_ROWS)))
+    for r in rows.orderBy(F.xxhash64("row"), "row").limit(most).select("dim", "vector").collect():
         sample.setdefault(r.dim, []).append(bytes(r.vector))
     drawn = sum(map(len, sample.values()))
     graphs = {}

@@ -139,3 +139,38 @@ def test_graph_search_finds_the_nearest():
     want = ann._squares(points, graph.centroids).argmin(1)
     assert (found[:, 0] == want).mean() > 0.95 and (np.diff(far[np.isfinite(far).all(1)], axis=1) >= 0).all()
     assert all(len(set(f[np.isfinite(d)].tolist())) == np.isfinite(d).sum() for f, d in zip(found, far))
+
+
+@pytest.mark.parametrize("kind", ["random", "clusters"])
+def test_walk_finds_every_centroid_in_the_ratio(kind):
+    random = np.random.default_rng(12)
+    v = lengths("unit", random, 6000, 32)
+    if kind == "clusters":
+        v = v[random.integers(0, 150, 6000)] + random.normal(size=(6000, 32)) * 0.05
+    graph = ann.Graph(ann.fit_centroids(v, 1200))
+    far = np.sqrt(ann._squares(v[:200], graph.centroids))
+    want, got = far <= far.min(1)[:, None] * ann.SEARCH_RATIO, np.zeros(far.shape, int)
+    at, found = graph.within(v[:200], ann.SEARCH_RATIO, ann.SEARCH_BEAM, ann.LEAST_LISTS)
+    np.add.at(got, (at, found), 1)
+    assert got.max() == 1 and (got.sum(1) >= ann.LEAST_LISTS).all()
+    assert (want & (got == 1)).sum() >= 0.97 * want.sum()
+    at, found = graph.within(v[:3], 1e9, ann.SEARCH_BEAM)  # no bound on how many
+    assert len(found) == 3 * len(graph.centroids)
+
+
+def test_all_lists_come_from_the_graph(spark, monkeypatch):
+    """With more centroids than a beam holds no vector is compared with all of them."""
+    random = np.random.default_rng(13)
+    monkeypatch.setattr(ann, "LIST_ROWS", 10)
+    v = lengths("unit", random, 100, 16)[random.integers(0, 100, 3000)] + random.normal(size=(3000, 16)) * 0.05
+    graph = ann.Graph(ann.fit_centroids(v, 300))
+    monkeypatch.setattr(graph, "_all", None, raising=False)
+    for options in ({"beam": ann.ASSIGN_BEAM, "most": ann.REPLICAS}, {"least": ann.LEAST_LISTS}):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array(range(50)), pa.array([16] * 50, pa.int32()), pa.array([1.0] * 50),
+                                            pa.array([x.tobytes() for x in v[:50]], pa.binary())], ["row", "id", "dim", "length", "vector"])
+        out = pa.Table.from_batches(ann._assigned({16: graph}, 1.05, **options)([batch])).to_pydict()
+        assert set(out["row"]) == set(range(50)) and len(set(zip(out["row"], out["key"]))) == len(out["key"])
+    found = ann.nearest(frame(spark, [(i, x.tolist()) for i, x in enumerate(v)]), F.col("id") % 100 == 0).collect()
+    want = near(list(enumerate(v)), 100, 10)
+    hits = sum((r.vec_id in {j for _, j in want[r.query_id]}) for r in found)
+    assert len(found) == 300 and hits >= 270

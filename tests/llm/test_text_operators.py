@@ -144,3 +144,23 @@ def test_labels_depend_on_the_text_alone(spark):
     for others in ("licensed under the version", "gnu general public license", "nothing"):
         rows = [(1, text), *[(i, others) for i in range(2, 200)]]
         assert {r.doc_id: r for r in licenses.scan_licenses(documents(spark, rows)).collect()}[1].labels == "gpl"
+
+
+def test_whole_licenses(spark):
+    """A published text gives its label with a full score, a text of the same words in other places none."""
+    wholes = [t for t in licenses.TEMPLATES if len(t.text.split()) > 50]
+    assert {t.label for t in wholes} == {"mit", "bsd", "isc", "zlib"}
+    rows = [(i, f"Copyright 2020\n{t.text.upper()}\nend") for i, t in enumerate(wholes)]
+    rows += [(10 + i, " ".join(reversed(t.text.split()))) for i, t in enumerate(wholes)] + [(20, " ".join(t.text for t in wholes))]
+    got = {r.doc_id: r for r in licenses.scan_licenses(documents(spark, rows)).collect()}
+    for i, t in enumerate(wholes):
+        assert (got[i].labels, got[i].base_labels) == (t.label, "") and got[i].score > 0.999
+        assert got[10 + i].labels == "" and got[10 + i].score == 0
+    assert got[20].labels == "bsd,isc,mit,zlib"
+
+
+def test_license_index_holds_the_rarest_places():
+    """Both looked-up words are mandatory, rarest first; a phrase of one word stands for both."""
+    frequency = {"a": 5, "b": 1, "c": 3, "d": 9}
+    *_, rare, looked = licenses.build_index([licenses.phrase("x", "a b c"), licenses.Template("y", "b d a", ("d a",)), licenses.phrase("z", "d d")], 10, frequency)
+    assert rare == ["a", "b", "d"] and looked == ["a", "b", "c", "d"]

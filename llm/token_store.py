@@ -3,7 +3,7 @@
 Method: a dictionary is trained on serialized id arrays (a bounded sample of chunks of documents' ids, from any place in them) and
 every document is compressed by itself with it, so a short document costs few bytes and is read alone. Layout under a folder:
 
-    dictionary/  hash, bytes of the dictionary, bytes per id
+    dictionary/  hash, bytes of the dictionary, bytes per id, samples it was trained on
     segments/    part, segment, first_id, last_id, start (ids before it in its part), dictionary_hash,
                  doc_ids[], counts[], offsets[] (place of each frame), payload (frames one after another)
     manifest/    part, base (ids in all earlier parts)
@@ -31,6 +31,8 @@ DICTIONARY_BYTES = 64 << 10
 SEGMENT_BYTES = 4 << 20
 SEGMENT_DOCUMENTS = 20_000
 LEVEL = 3
+#: With fewer samples, or room for fewer bytes, zstandard can't train a dictionary.
+LEAST_SAMPLES, LEAST_BYTES = 7, 256
 
 SEGMENT_SCHEMA = ("part int, segment int, first_id bigint, last_id bigint, start bigint, n_tokens bigint, dictionary_hash string, "
                   "doc_ids array<bigint>, counts array<bigint>, offsets array<bigint>, payload binary")
@@ -55,10 +57,11 @@ def _width(vocabulary: str) -> int:
     return 2 if Tokenizer.from_file(vocabulary).get_vocab_size() <= 1 << 16 else 4
 
 
-def train_dictionary(docs: DataFrame, *, vocabulary: str, width: int) -> bytes:
+def train_dictionary(docs: DataFrame, *, vocabulary: str, width: int) -> tuple[bytes, int]:
     """A zstandard dictionary from at most SAMPLE_CHUNKS chunks of ids of SAMPLE_DOCUMENTS documents, drawn by a hash of row places.
 
-    Too few ids to train on give an empty dictionary: frames then stand alone.
+    Also the number of chunks it was trained on. Fewer than LEAST_SAMPLES chunks or room for fewer than LEAST_BYTES (an eighth of
+    them) give an empty dictionary, trained on none: frames then stand alone. Any other error of training is raised.
     """
     import zstandard
 
@@ -73,10 +76,10 @@ def train_dictionary(docs: DataFrame, *, vocabulary: str, width: int) -> bytes:
     drawn = docs.select(F.col("text").cast("string"), place.alias("place")).orderBy("place").limit(SAMPLE_DOCUMENTS)
     rows = drawn.select("text").mapInArrow(chunks, "ids binary").orderBy(F.xxhash64("ids"), "ids").limit(SAMPLE_CHUNKS).collect()
     samples = [bytes(r.ids) for r in rows]
-    try:
-        return zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, samples)) // 8), samples).as_bytes()
-    except (zstandard.ZstdError, ValueError):  # too few or too short samples
-        return b""
+    room = min(DICTIONARY_BYTES, sum(map(len, samples)) // 8)
+    if len(samples) < LEAST_SAMPLES or room < LEAST_BYTES:
+        return b"", 0
+    return zstandard.train_dictionary(room, samples).as_bytes(), len(samples)
 
 
 def dictionary_hash(dictionary: bytes) -> str:
@@ -95,9 +98,10 @@ def write_token_files(docs: DataFrame, path: str, *, vocabulary: str | None = No
     spark, vocabulary, end = docs.sparkSession, vocabulary or default_vocabulary(), struct.pack("<I", end_id)
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     width = _width(vocabulary)
-    dictionary = train_dictionary(docs, vocabulary=vocabulary, width=width)
+    dictionary, samples = train_dictionary(docs, vocabulary=vocabulary, width=width)
     name = dictionary_hash(dictionary)
-    spark.createDataFrame([(name, bytearray(dictionary), width)], "hash string, bytes binary, width int").write.parquet(f"{path}/dictionary")
+    described = spark.createDataFrame([(name, bytearray(dictionary), width, samples)], "hash string, bytes binary, width int, samples int")
+    described.write.parquet(f"{path}/dictionary")
 
     def segments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)

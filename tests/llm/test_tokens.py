@@ -150,3 +150,28 @@ def test_pack_documents(spark):
     few = packing.pack_documents(documents(spark, rows), capacity=64, open_sequences=4)
     check_packing(few.collect(), [(i, t) for i, t, *_ in rows], 64)
     assert packing.pack_documents(documents(spark, [])).count() == 0
+
+
+def test_dictionary_is_trained_or_told_not_to_be(spark, tmp_path, monkeypatch):
+    def described(rows, name):
+        token_store.write_token_files(documents(spark, rows), str(tmp_path / name))
+        return spark.read.parquet(f"{tmp_path / name}/dictionary").first()
+
+    words = [(i, " ".join(f"w{(i * j) % 97}" for j in range(200))) for i in range(40)]
+    trained = described(words, "trained")
+    assert trained.samples == 40 and len(trained.bytes) >= token_store.LEAST_BYTES
+    few = described(words[:3], "few")
+    assert few.samples == 0 and len(few.bytes) == 0
+    assert {r.doc_id: bytes(r.ids) for r in token_store.read_token_files(spark, str(tmp_path / "few")).collect()} == {
+        i: packed(ids_of(t) + [2]) for i, t in words[:3]}
+    monkeypatch.setattr(token_store, "LEAST_SAMPLES", 0)  # then the library's own error comes through
+    with pytest.raises(Exception, match="cannot train"):
+        described([(1, words[1][1] * 2)], "failing")
+
+
+@pytest.mark.parametrize("text", ["", "a", "the same text " * 300])
+def test_dictionary_of_equal_texts(spark, tmp_path, text):
+    path = str(tmp_path / "files")
+    token_store.write_token_files(documents(spark, [(i, text) for i in range(1000)]), path)
+    got = token_store.read_token_files(spark, path).collect()
+    assert sorted(r.doc_id for r in got) == list(range(1000)) and {bytes(r.ids) for r in got} == {packed(ids_of(text) + [2])}

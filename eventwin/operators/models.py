@@ -39,7 +39,10 @@ def _weighted(train: DataFrame, features: Sequence[str], label: str, w0: float,
 def _fit(estimator, train: DataFrame, features: Sequence[str], label: str, w0: float, w1: float) -> PipelineModel:
     assembler, rows = _weighted(train, features, label, w0, w1)
     estimator.setLabelCol("_label").setWeightCol(WEIGHT).setFeaturesCol("features")
-    return PipelineModel([assembler, estimator.fit(rows)])
+    fitted = PipelineModel([assembler, estimator.fit(rows)])
+    #: weights of a negative and a positive row in this fit; not saved with the model
+    fitted.class_weights = w0, w1
+    return fitted
 
 
 def fit_logistic(train: DataFrame, features: Sequence[str], label: str = "label_storm", *, c: float = 0.1,

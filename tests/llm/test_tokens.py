@@ -2,12 +2,13 @@
 
 import random
 import struct
+import sys
 import zlib
 
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models
 
 from helpers import AWKWARD, documents, with_clashes
 from llm import packing, token_ids, token_store
@@ -46,6 +47,42 @@ def test_generations_of_words(monkeypatch):
         assert np.frombuffer(encode(text), "<u4").tolist() == ids_of(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["word", "Straße", "ÿ", "the", "'ll", "'", "&&&", "|", "[", "\\", "]", "^_`", "{~}", "<|", "endoftext", "|>", "7",
+                                 "\n", " ", "\n\n", " \n", "\n ", "\r", "×", "\x1f", "\u200b"]), max_size=30).map("".join))
+def test_lines_and_marks(text):
+    assert np.frombuffer(encoder(default_vocabulary())(text), "<u4").tolist() == ids_of(text)
+
+
+def test_new_words_share_a_call(monkeypatch):
+    monkeypatch.setattr(token_ids, "WORDS_A_CALL", 400, raising=False)
+    encode = token_ids._encoder(default_vocabulary())
+    letters, calls = random.Random(3), []
+    words = ["".join(letters.choices("abcdeèXYZ", k=9)) + letters.choice(["", "", ".", "&&&"]) for _ in range(1000)]
+    text = "".join(w + letters.choice([" ", " ", "\n"]) for w in words) + "end"
+
+    def count(frame, event, called):
+        if event == "c_call" and type(getattr(called, "__self__", None)).__module__.startswith("tokenizers"):
+            calls.append(called.__name__)
+
+    sys.setprofile(count)
+    try:
+        ids = encode(text)
+    finally:
+        sys.setprofile(None)
+    assert np.frombuffer(ids, "<u4").tolist() == ids_of(text)
+    assert 3 <= len(calls) <= 3 + 2  # three runs of at most 400 words, and two kinds of marks
+
+
+@pytest.mark.parametrize("token", ["aĠ", "Ċa", "ĠaĊb"])
+def test_vocabulary_whose_tokens_reach_over_words(token):
+    characters = ["a", "b", "Ġ", "Ċ"]
+    vocabulary = {t: i for i, t in enumerate([*characters, *dict.fromkeys(token[:i] for i in range(2, len(token) + 1))])}
+    steps = [(token[:i], token[i]) for i in range(1, len(token))]
+    with pytest.raises(ValueError, match="reaches over"):
+        token_ids._plain_words(Tokenizer(models.BPE(vocabulary, steps)))
+
+
 def test_token_files_round_trip(spark, tmp_path):
     rows = AWKWARD + [(100 + i, f"filler text number {i} " * (i % 7)) for i in range(300)]
     path = str(tmp_path / "files")

@@ -25,6 +25,19 @@ def number(text: str) -> str:
     return f"nanvl(try_cast(if({text} rlike '(?i)^[^i]*[df] *$', null, {text}) as double), null)"
 
 
+#: Expressions of a wide projection between two that are `apart`.
+EVERY = 12
+
+
+def apart(text: str) -> str:
+    """SQL for `text` itself, by a lambda, which keeps its projection out of whole-stage code.
+
+    Whole-stage code puts a projection into one method, and Java only interprets methods over 8,000 bytes, which some twenty
+    casts or lists of fill values exceed. Outside it Spark cuts the code of the other expressions into small methods.
+    """
+    return f"get(transform(array({text}), x -> x), 0)"
+
+
 def no_nan(df: DataFrame) -> DataFrame:
     """All DOUBLE/FLOAT columns with NaN replaced by null."""
     floats = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
@@ -42,10 +55,13 @@ def fills_to_null(df: DataFrame, columns: Iterable[str],
     """Values equal to a fill number become null; `fills` may be given per column."""
     chosen = {c: tuple(fills.get(c, ()) if isinstance(fills, Mapping) else fills) for c in columns}
 
+    marked = [c for c in df.columns if chosen.get(c)][EVERY - 1::EVERY]
+
     def cleaned(c: str) -> str:
         if not chosen.get(c):
             return f"`{c}`"
-        return f"if(`{c}` in ({', '.join(f'{float(v)!r}D' for v in chosen[c])}), null, `{c}`) as `{c}`"
+        kept = apart(f"`{c}`") if c in marked else f"`{c}`"
+        return f"if(`{c}` in ({', '.join(f'{float(v)!r}D' for v in chosen[c])}), null, {kept}) as `{c}`"
 
     return df.selectExpr(*[cleaned(c) for c in df.columns])
 

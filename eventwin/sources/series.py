@@ -6,10 +6,12 @@ import uuid
 import warnings
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
-from eventwin.functions.parse import FILL_VALUES, fills_to_null, number, to_numbers, utc_time
+from eventwin.functions.parse import EVERY, FILL_VALUES, apart, fills_to_null, number, to_numbers, utc_time
 from eventwin.functions.times import from_date_and_hours, from_year_day
 from eventwin.operators.clean import keep_between, keep_first, rename_aliases, require
 from eventwin.sources.schemas import EXPORTED_COLUMNS, KP_ALIASES, SOLAR_WIND_COLUMNS, TIME_ALIASES
@@ -76,14 +78,28 @@ def read_kp_text(spark: SparkSession, path: Paths, start: str, end: str) -> Data
 _FIELDS = {"day": (1, 366), "hour": (0, 23), "minute": (0, 59)}
 
 
+def _plain_numbers():
+    """Function of lines: the numbers of those that hold nothing but spaces and short decimals, null for all others."""
+    number = r"-?[0-9]{1,15}(\.[0-9]{1,15})?([eE][-+]?[0-9]{1,2})?"
+
+    @F.arrow_udf("array<double>")
+    def numbers(lines: pa.Array) -> pa.Array:
+        plain = pc.match_substring_regex(lines, rf"^ *{number}( +{number})* *$")
+        words = pc.ascii_split_whitespace(pc.ascii_trim(pc.if_else(plain, lines, None), " "))
+        return pa.ListArray.from_arrays(words.offsets, pc.cast(words.values, pa.float64()), mask=words.is_null())
+
+    return numbers
+
+
 def _solar_wind_cells(lines: DataFrame, kept: Sequence[str]) -> DataFrame:
     words = r"split(trim(value), '\\s+')"
     # numbers spelled `1d` or `1f` are rare: look for them once per line
     checked = (rf"if(value rlike '(?i)[0-9.][df](\\s|$)', transform({words}, x -> if(x rlike '(?i)^[^i]*[df]$', null, x)), "
                f"{words})")
-    # the generator keeps filters from splitting each line once per condition
-    parts = lines.selectExpr(*kept, f"explode(array({checked})) as _p")
-    return parts.selectExpr(*kept, *[f"nanvl(try_cast(get(_p, {i}) as double), null) as `{c}`" for i, c in enumerate(SOLAR_WIND_COLUMNS)])
+    # nearly all lines are plain; the generator keeps filters from splitting each other line once per condition
+    parts = lines.withColumn("_n", _plain_numbers()("value")).selectExpr(*kept, "_n", f"explode(array(if(_n is null, {checked}, null))) as _p")
+    word = lambda i: apart(f"get(_p, {i})") if i % EVERY == EVERY - 1 else f"get(_p, {i})"
+    return parts.selectExpr(*kept, *[f"coalesce(get(_n, {i}), nanvl(try_cast({word(i)} as double), null)) as `{c}`" for i, c in enumerate(SOLAR_WIND_COLUMNS)])
 
 
 def _solar_wind_values(cells: DataFrame, fills) -> DataFrame:

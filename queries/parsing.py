@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from eventwin.functions.parse import apart
 from eventwin.functions.times import time_micros
 from eventwin.session import shared_dir
 from eventwin.sources.catalogues import parse_events, parse_flares
@@ -43,7 +44,9 @@ def whitespace(spark, d):
         source = _CELLS.get(i, _eighths(i, "/ 8D"))
         if i == 13:
             return f"if(l_partkey % 3 = 0, '99.99', cast({source} as string))"
-        return "if(l_partkey % 5 = 0, '99999.9', cast(l_extendedprice as string))" if i == 21 else f"cast({source} as string)"
+        if i == 21:
+            return "if(l_partkey % 5 = 0, '99999.9', cast(l_extendedprice as string))"
+        return f"cast({apart(source) if i == 37 else source} as string)"
     full = ", ".join([*(f"cast({h} as string)" for h in head), *(cell(i) for i in range(4, 54))])
     short = ", ".join([*(f"cast({h} as string)" for h in head), *(cell(i) for i in range(4, _SHORT))])
     lines = table(spark, d, "lineitem").selectExpr(

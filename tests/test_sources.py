@@ -240,6 +240,21 @@ def test_words_of_any_spelling(spark):
     assert "ArrowEvalPython" in got._jdf.queryExecution().toString()
 
 
+def test_text_of_lines(spark):
+    from queries import parsing
+    rows = [(k, p, s, n, q, 12345.67 * (p or 1), 0.07, 0.001 * (s or 1), t) for k, p, s, n, q, t in (
+        (1, 1, 1, 1, 17.0, "1996-03-13"), (-7, 3, 7, 2, 1e7, "1996-12-31"), (10**15, 5, 13, 3, 0.5, "2030-01-01"), (797, 15, 91, 7, 50.0, "1995-02-28"),
+        (5, None, 14, 4, None, "1997-01-01"), (None, 2, None, 5, 3.0, None), (6, 4, 21, None, 2.0, "1998-06-01"))]
+    df = spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                               "l_discount double, l_tax double, l_shipdate string").selectExpr("* except (l_shipdate)", "cast(l_shipdate as timestamp_ntz) as l_shipdate")
+    own = {13: "if(l_partkey % 3 = 0, '99.99', cast(l_quantity as string))", 21: "if(l_partkey % 5 = 0, '99999.9', cast(l_extendedprice as string))", 25: "l_discount", 37: "l_linenumber", 41: "l_tax"}
+    words = ["year(l_shipdate)", "dayofyear(l_shipdate)", "l_linenumber", "cast(l_quantity as int)"]
+    words = [f"cast({w} as string)" for w in words + [own.get(i, f"(l_orderkey * {i} + l_linenumber) % 797 / 8D") for i in range(4, 54)]]
+    want = df.selectExpr("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", f"""if(l_suppkey % 13 = 0, 'YEAR DAY HR MN', if(l_suppkey % 7 = 0,
+concat_ws('  ', {", ".join(words[:38])}), concat(' ', concat_ws(' ', {", ".join(words)})))) as value""")
+    assert sorted(map(repr, parsing._lines(df).collect())) == sorted(map(repr, want.collect()))
+
+
 # versions and updates ---------------------------------------------------------------------------
 
 def test_published_versions(spark, tmp_path):
